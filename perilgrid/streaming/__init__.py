@@ -1,0 +1,5 @@
+"""No streaming operators exist in this engine's scope.
+
+Every geometry function, the bucket function and the hex binner are stateless
+column expressions, so they can be applied to a streaming DataFrame as they are.
+"""
