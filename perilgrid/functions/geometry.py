@@ -70,27 +70,38 @@ def edges(poly: Column) -> Column:
     return F.flatten(F.transform(poly["rings"], ring_edges))
 
 
-def position(x: Column, y: Column, segments: Column) -> Column:
+def position(x: Column, y: Column, segments: Column, start: Column | None = None) -> Column:
     """Locate (x, y) against ring segments: 0 outside, 1 inside, 2 or 3 on the boundary.
 
     Even-odd rule over all rings, so holes count as outside. Bit 0 toggles on every
     segment crossed by the ray towards +x; bit 1 is set when a segment holds the point.
+    ``start`` carries the crossings of segments left out because every ray crosses them.
     """
 
     def visit(acc: Column, e: Column) -> Column:
-        dx, dy = e["x1"] - e["x0"], e["y1"] - e["y0"]
-        straddles = (e["y0"] > y) != (e["y1"] > y)
-        crossed = F.when(straddles, F.when(x < dx * (y - e["y0"]) / dy + e["x0"], 1).otherwise(0)).otherwise(0)
-        touching = (
-            (x >= F.least(e["x0"], e["x1"]))
-            & (x <= F.greatest(e["x0"], e["x1"]))
-            & (dx * (y - e["y0"]) - dy * (x - e["x0"]) == 0)
-        )
-        hit = acc.bitwiseXOR(crossed).bitwiseOR(F.when(touching, 2).otherwise(0))
         out_of_reach = (y < F.least(e["y0"], e["y1"])) | (y > F.greatest(e["y0"], e["y1"]))
-        return F.when(out_of_reach, acc).otherwise(hit)
+        return F.when(out_of_reach, acc).otherwise(_apply(acc, x, y, e))
+
+    return F.aggregate(segments, F.lit(OUTSIDE) if start is None else start, visit)
+
+
+def _apply(acc: Column, x: Column, y: Column, e: Column) -> Column:
+    """Fold one segment into the position code: toggle bit 0 if crossed, set bit 1 if touched."""
+    ends = e["x0"], e["y0"], e["x1"], e["y1"]
+    crossed = F.when(crosses(x, y, *ends), 1).otherwise(0)
+    return acc.bitwiseXOR(crossed).bitwiseOR(F.when(touches(x, y, *ends), 2).otherwise(0))
+
+
+def crosses(x: Column, y: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """The ray from (x, y) towards +x crosses the segment; its upper end does not count."""
+    straddles = (y0 > y) != (y1 > y)
+    return F.when(straddles, x < (x1 - x0) * (y - y0) / (y1 - y0) + x0).otherwise(False)
+
 
-    return F.aggregate(segments, F.lit(OUTSIDE), visit)
+def touches(x: Column, y: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """(x, y) lies on the segment."""
+    on_line = (x1 - x0) * (y - y0) - (y1 - y0) * (x - x0) == 0
+    return on_line & ((x - x0) * (x - x1) <= 0) & ((y - y0) * (y - y1) <= 0)
 
 
 def st_intersects(geom: Column, poly: Column) -> Column:

@@ -36,12 +36,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
-def _rounded(df: DataFrame, **digits: int) -> DataFrame:
-    """Double sums depend on the order of addition; compare them at the data's precision."""
-    return df.withColumns({c: F.round(c, d) for c, d in digits.items()})
-
-
-_LOSS_DIGITS = {"sum_s_udf_met1": 2, "avg_s_udf_met1": 4, "sum_gross_loss": 4}
+DIGITS = 4  # the test data's precision; double sums are compared rounded to it
 
 
 # --- scans ---------------------------------------------------------------------------------
@@ -50,7 +45,7 @@ _LOSS_DIGITS = {"sum_s_udf_met1": 2, "avg_s_udf_met1": 4, "sum_gross_loss": 4}
 @query
 def scan_feature_table(spark, sf_dir):
     root = new_dir(spark, "scan")
-    write_feature_table(inputs.sites(spark, sf_dir), root, "siteexposure_event")
+    write_feature_table(inputs.sites(spark, sf_dir, heavy=True), root, "siteexposure_event")
     return read_feature_table(spark, root, "siteexposure_event").select(*_site_columns())
 
 
@@ -142,7 +137,7 @@ def wkt_parse(spark, sf_dir):
 
 @query
 def grid_count(spark, sf_dir):
-    return reports.grid_count(inputs.sites(spark, sf_dir), inputs.grid(spark, sf_dir))
+    return reports.grid_count(inputs.sites(spark, sf_dir, heavy=True), inputs.grid(spark, sf_dir))
 
 
 @query
@@ -158,7 +153,7 @@ def grid_count_sql(spark, sf_dir):
 
 @query
 def grid_enrich(spark, sf_dir):
-    return reports.grid_enrich(inputs.sites(spark, sf_dir), inputs.grid(spark, sf_dir))
+    return reports.grid_enrich(inputs.sites(spark, sf_dir, heavy=True), inputs.grid(spark, sf_dir))
 
 
 @query
@@ -173,13 +168,14 @@ def grid_enrich_saved(spark, sf_dir):
 
 @query
 def fire_exposure(spark, sf_dir):
-    exposure = reports.exposure_in_footprints(inputs.sites(spark, sf_dir), inputs.footprints(spark, sf_dir))
-    return _rounded(exposure, sum_s_udf_met1=2, avg_s_udf_met1=4)
+    return reports.exposure_in_footprints(
+        inputs.sites(spark, sf_dir, heavy=True), inputs.footprints(spark, sf_dir), digits=DIGITS
+    )
 
 
 @query
 def fire_contains(spark, sf_dir):
-    return reports.contained_pairs(inputs.sites(spark, sf_dir), inputs.footprints(spark, sf_dir))
+    return reports.contained_pairs(inputs.sites(spark, sf_dir, heavy=True), inputs.footprints(spark, sf_dir))
 
 
 @query
@@ -189,7 +185,7 @@ def fire_contains_head(spark, sf_dir):
 
 @query
 def fire_semi_join(spark, sf_dir):
-    return reports.sites_in_footprints(inputs.sites(spark, sf_dir), inputs.footprints(spark, sf_dir))
+    return reports.sites_in_footprints(inputs.sites(spark, sf_dir, heavy=True), inputs.footprints(spark, sf_dir))
 
 
 @query
@@ -202,28 +198,24 @@ def fire_lookup_site(spark, sf_dir):
 
 @query
 def loss_by_portfolio(spark, sf_dir):
-    report = reports.loss_by_portfolio(inputs.sites(spark, sf_dir), inputs.losses(spark, sf_dir))
-    return _rounded(report, **_LOSS_DIGITS)
+    return reports.loss_by_portfolio(inputs.sites(spark, sf_dir), inputs.losses(spark, sf_dir), digits=DIGITS)
 
 
 @query
 def loss_by_portfolio_bbox(spark, sf_dir):
-    report = reports.loss_by_portfolio(
-        inputs.sites(spark, sf_dir), inputs.losses(spark, sf_dir), box=reports.GULF_BOX
+    return reports.loss_by_portfolio(
+        inputs.sites(spark, sf_dir), inputs.losses(spark, sf_dir), box=reports.GULF_BOX, digits=DIGITS
     )
-    return _rounded(report, **_LOSS_DIGITS)
 
 
 @query
 def loss_by_site_bbox(spark, sf_dir):
-    report = reports.loss_by_site(inputs.sites(spark, sf_dir), inputs.losses(spark, sf_dir))
-    return _rounded(report, **_LOSS_DIGITS)
+    return reports.loss_by_site(inputs.sites(spark, sf_dir), inputs.losses(spark, sf_dir), digits=DIGITS)
 
 
 @query
 def loss_by_site_bucket(spark, sf_dir):
-    report = reports.loss_by_site_bucket(inputs.sites(spark, sf_dir), inputs.losses(spark, sf_dir))
-    return _rounded(report, **_LOSS_DIGITS)
+    return reports.loss_by_site_bucket(inputs.sites(spark, sf_dir), inputs.losses(spark, sf_dir), digits=DIGITS)
 
 
 # --- coverage ------------------------------------------------------------------------------
@@ -270,7 +262,7 @@ def cov_histogram_alias(spark, sf_dir):
 
 
 def _portfolio_sites(spark, sf_dir) -> DataFrame:
-    return reports.portfolio_scan(inputs.sites(spark, sf_dir), PORTFOLIO).select(*_SITE, "geom")
+    return reports.portfolio_scan(inputs.sites(spark, sf_dir, heavy=True), PORTFOLIO).select(*_SITE, "geom")
 
 
 def _hex(spark, sf_dir, last) -> DataFrame:
@@ -340,7 +332,7 @@ def hex_bin_saved(spark, sf_dir):
 
 @query
 def hex_bin_counts(spark, sf_dir):
-    return reports.hex_bin_counts(inputs.sites(spark, sf_dir), inputs.zooms(spark, sf_dir))
+    return reports.hex_bin_counts(inputs.sites(spark, sf_dir, heavy=True), inputs.zooms(spark, sf_dir))
 
 
 # --- ingest round trips --------------------------------------------------------------------
@@ -374,7 +366,7 @@ def _through_text(spark, rows: DataFrame, name: str, keys: list[str] | None, nul
 def ingest_site_exposure(spark, sf_dir):
     loaded = _through_text(
         spark,
-        inputs.sites(spark, sf_dir),
+        inputs.sites(spark, sf_dir, heavy=True),
         "siteexposure_event",
         ["sitenum"],
         null_token="NULL",
@@ -448,7 +440,7 @@ def ingest_wildfire_geojson(spark, sf_dir):
 @query
 def ingest_quality_counts(spark, sf_dir):
     """Lines whose shape text is cut off fail; the others are written."""
-    rows = inputs.sites(spark, sf_dir)
+    rows = inputs.sites(spark, sf_dir, heavy=True)
     whole = g.wkt_from_point(F.col("geom"))
     broken = F.col("site_id").endswith("7")
     text = _as_text(

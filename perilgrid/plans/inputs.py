@@ -111,8 +111,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    located = _table(spark, sf_dir, "lineitem").selectExpr("*", f"{_LON} AS lon", f"{_LAT} AS lat")
+def spread(scan: DataFrame) -> DataFrame:
+    """Hand the rows of a scan to every core when its files have fewer splits than that.
+
+    Meant for plain scans ahead of CPU-heavy work. A table with enough splits, as any large
+    one has, stays as it is and is not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def sites(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """Site exposure; ``heavy`` asks for enough partitions to keep every core busy."""
+    lines = _table(spark, sf_dir, "lineitem")
+    located = (spread(lines) if heavy else lines).selectExpr("*", f"{_LON} AS lon", f"{_LAT} AS lat")
     return located.selectExpr(*_projection(SITE_COLUMNS), "named_struct('x', lon, 'y', lat) AS geom")
 
 
@@ -133,12 +145,15 @@ def zooms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     shaped = _table(spark, sf_dir, "supplier").selectExpr(*_projection(FOOTPRINT_COLUMNS))
 
-    def ring(offsets):
-        cx, cy, r = F.col("cx"), F.col("cy"), F.col("r")
-        return F.array(*[point(cx + r * F.lit(dx), cy + r * F.lit(dy)) for dx, dy in offsets])
+    def literal(offsets):
+        return F.array(*[point(F.lit(dx), F.lit(dy)) for dx, dy in offsets])
+
+    def place(offset):
+        return point(F.col("cx") + F.col("r") * offset["x"], F.col("cy") + F.col("r") * offset["y"])
 
     with_hole = F.col("OBJECTID") % HOLE_EVERY == 0
-    rings = F.when(with_hole, F.array(ring(STAR), ring(HOLE))).otherwise(F.array(ring(STAR)))
+    offsets = F.when(with_hole, F.array(literal(STAR), literal(HOLE))).otherwise(F.array(literal(STAR)))
+    rings = F.transform(offsets, lambda ring: F.transform(ring, place))
     return shaped.withColumn("geometry", polygon(rings)).drop("cx", "cy", "r")
 
 

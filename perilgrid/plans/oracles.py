@@ -29,7 +29,8 @@ _BINS = 'SELECT min(max_10) AS "MIN_VAL", max(max_10) AS "MAX_VAL", "BIN", count
 
 
 def _loss(by: str, where: str = "", extra: str = "") -> str:
-    return f"""SELECT s.{by}, round(sum(s.s_udf_met1), 2) AS sum_s_udf_met1, round(avg(s.s_udf_met1), 4) AS avg_s_udf_met1,
+    return f"""SELECT s.{by}, round(sum(s.s_udf_met1), 4) AS sum_s_udf_met1,
+      round(sum(s.s_udf_met1), 4) / count(s.s_udf_met1) AS avg_s_udf_met1,
       round(sum(l.gross_loss), 4) AS sum_gross_loss{extra}
       FROM sites s LEFT JOIN losses l ON s.site_id = l.site_id {where} GROUP BY s.{by}"""
 
@@ -81,7 +82,8 @@ _GRID_JOIN = """FROM sites se JOIN grid nze ON CAST(se.nz_grid_id AS BIGINT) = n
 _GRID_ENRICH = w(f"SELECT portfolio_id, site_id, g_country_id, geo_unit_id {_GRID_JOIN}", "sites", "grid")
 _SITE_ROWS = f"""SELECT {FID}, portfolio_id, peril_id, account_id, site_id, nz_grid_id, site_lat, site_long, geom_x, geom_y,
   cov1val, cov2val, cov3val, cov4val, s_udf_met1 FROM sites"""
-_EXPOSURE = f"""SELECT portfolio_id, round(sum(s_udf_met1), 2) AS sum_s_udf_met1, round(avg(s_udf_met1), 4) AS avg_s_udf_met1
+_EXPOSURE = f"""SELECT portfolio_id, round(sum(s_udf_met1), 4) AS sum_s_udf_met1,
+  round(sum(s_udf_met1), 4) / count(s_udf_met1) AS avg_s_udf_met1
   FROM located JOIN sites USING ({FID}) WHERE inside OR on_edge GROUP BY portfolio_id"""
 _CONTAINED = f"""SELECT {FID}, {_SITE}, OBJECTID FROM located JOIN sites USING ({FID}) WHERE inside AND NOT on_edge"""
 

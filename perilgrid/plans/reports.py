@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perilgrid.functions.buckets import width_bucket
-from perilgrid.functions.geometry import Box, st_intersects
+from perilgrid.functions.geometry import OUTSIDE, Box, edges, position
 from perilgrid.operators import hexbin
 from perilgrid.operators.keyed_join import sized_join
-from perilgrid.operators.rollup import loss_rollup
+from perilgrid.operators.rollup import loss_rollup, sum_and_avg
 from perilgrid.operators.spatial_join import spatial_join
 from perilgrid.schema import FID
 
@@ -46,9 +46,21 @@ def grid_match(sites: DataFrame, grid: DataFrame, **join_options) -> DataFrame:
     Site keys are text and grid keys are numbers; a key that is not a number matches nothing.
     """
     keyed = sites.select("portfolio_id", "site_id", FID, "geom", F.expr("try_cast(nz_grid_id AS BIGINT)").alias("_cell"))
-    cells = grid.select(F.col("nz_grid_id").alias("_cell"), "g_country_id", "geo_unit_id", "SHAPE")
-    inside = st_intersects(F.col("geom"), F.col("SHAPE"))
-    return sized_join(keyed, cells, ["_cell"], inside, **join_options)
+    # segments are laid out once per cell, not once per candidate site
+    cells = grid.select(
+        F.col("nz_grid_id").alias("_cell"),
+        "g_country_id",
+        "geo_unit_id",
+        F.col("SHAPE.bbox").alias("_box"),
+        edges(F.col("SHAPE")).alias("_edges"),
+    )
+    x, y = F.col("geom.x"), F.col("geom.y")
+    inside = (
+        x.between(F.col("_box.xmin"), F.col("_box.xmax"))
+        & y.between(F.col("_box.ymin"), F.col("_box.ymax"))
+        & (position(x, y, F.col("_edges")) != OUTSIDE)
+    )
+    return sized_join(keyed, cells, ["_cell"], inside, **join_options).drop("_cell", "_box", "_edges")
 
 
 def grid_enrich(sites: DataFrame, grid: DataFrame) -> DataFrame:
@@ -59,11 +71,11 @@ def grid_count(sites: DataFrame, grid: DataFrame) -> DataFrame:
     return grid_match(sites, grid).agg(F.count(F.lit(1)).alias("n"))
 
 
-def exposure_in_footprints(sites: DataFrame, footprints: DataFrame) -> DataFrame:
+def exposure_in_footprints(sites: DataFrame, footprints: DataFrame, digits: int | None = None) -> DataFrame:
     """Exposure by portfolio over (site, footprint) pairs; overlapping footprints count twice."""
     pairs = spatial_join(sites.select("portfolio_id", "s_udf_met1", FID, "geom"), footprints.select("geometry"))
     return pairs.groupBy("portfolio_id").agg(
-        F.sum("s_udf_met1").alias("sum_s_udf_met1"), F.avg("s_udf_met1").alias("avg_s_udf_met1")
+        *sum_and_avg(F.sum("s_udf_met1"), F.count("s_udf_met1"), "s_udf_met1", digits)
     )
 
 
@@ -122,15 +134,19 @@ def coverage_histogram(
     return bins if n is None else bins.limit(n)
 
 
-def loss_by_portfolio(sites: DataFrame, losses: DataFrame, box: Box | None = None) -> DataFrame:
+def loss_by_portfolio(
+    sites: DataFrame, losses: DataFrame, box: Box | None = None, digits: int | None = None
+) -> DataFrame:
     """Exposure and loss by portfolio; with a box only sites strictly inside it."""
     if box is not None:
         sites = sites.where(box.contains(F.col("geom")))
-    return loss_rollup(sites, losses, "portfolio_id")
+    return loss_rollup(sites, losses, "portfolio_id", digits=digits)
 
 
-def loss_by_site(sites: DataFrame, losses: DataFrame, box: Box = GULF_BOX) -> DataFrame:
-    return loss_rollup(sites.where(box.intersects(F.col("geom"))), losses, "site_id")
+def loss_by_site(
+    sites: DataFrame, losses: DataFrame, box: Box = GULF_BOX, digits: int | None = None
+) -> DataFrame:
+    return loss_rollup(sites.where(box.intersects(F.col("geom"))), losses, "site_id", digits=digits)
 
 
 def loss_by_site_bucket(
@@ -140,10 +156,11 @@ def loss_by_site_bucket(
     first: float = HISTOGRAM_RANGE[0],
     last: float = HISTOGRAM_RANGE[1],
     buckets: int = HISTOGRAM_RANGE[2],
+    digits: int | None = None,
 ) -> DataFrame:
     """Loss by site with the site id itself put into a bucket; a non-numeric id gets null."""
     value = F.col("site_id").try_cast("double")
-    return loss_by_site(sites, losses, box).withColumn("bin", width_bucket(value, first, last, buckets))
+    return loss_by_site(sites, losses, box, digits).withColumn("bin", width_bucket(value, first, last, buckets))
 
 
 def site_zoom_count(sites: DataFrame, zooms: DataFrame, portfolio_id: int) -> DataFrame:

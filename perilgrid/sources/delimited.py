@@ -41,7 +41,10 @@ def field(index: int, data_type: T.DataType) -> Column:
     Strings stay as they are, including empty ones and the token ``NULL``.
     """
     text = F.get(F.col("fields"), F.lit(index))
-    return text if isinstance(data_type, T.StringType) else F.trim(text).try_cast(data_type)
+    if isinstance(data_type, T.StringType):
+        return text
+    # most unparsable fields are empty or NULL: sorting them out first avoids a failed parse each
+    return F.when(~text.isin("", "NULL"), F.trim(text).try_cast(data_type))
 
 
 def write_delimited(df: DataFrame, path: str, header: bool, sep: str = "|", null_token: str = "") -> str:
@@ -54,5 +57,12 @@ def write_delimited(df: DataFrame, path: str, header: bool, sep: str = "|", null
     if not header:
         lines.write.text(path)
     else:
-        lines.write.option("header", True).option("sep", _NEVER).option("quote", "").csv(path)
+        (
+            lines.write.option("header", True)
+            .option("sep", _NEVER)
+            .option("quote", "")
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(path)
+        )
     return path

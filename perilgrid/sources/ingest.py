@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,9 +131,26 @@ def load(
     quarantine: str | None = None,
     mode: str = "append",
     cluster_tile: float | None = None,
-) -> str:
-    """Write the good rows to the feature table and, if a path is given, the rest aside."""
-    if quarantine:
+) -> tuple[int, int]:
+    """Write the good rows to the feature table and return ``(written, failed)``.
+
+    The counts are observed during the write itself, so accounting costs no extra pass.
+    Failed rows go to the ``quarantine`` path if one is given; only then, and only if there
+    are any, is the source read again.
+    """
+    counts = Observation()
+    observed = ingested.observe(
+        counts, F.count_if(F.col("_ok")).alias("written"), F.count_if(~F.col("_ok")).alias("failed")
+    )
+    good = observed.where("_ok").drop("_ok", "geo_valid")
+    if cluster_tile:
+        # a range shuffle samples its input first, which would run the observed stage twice
+        good = ingested.where("_ok").drop("_ok", "geo_valid")
+        write_feature_table(good, root, name, mode=mode, cluster_tile=cluster_tile)
+        written, failed = quality_counts(ingested).first()
+    else:
+        write_feature_table(good, root, name, mode=mode)
+        written, failed = counts.get["written"], counts.get["failed"]
+    if quarantine and failed:
         ingested.where(~F.col("_ok")).write.mode(mode).parquet(quarantine)
-    good = ingested.where("_ok").drop("_ok", "geo_valid")
-    return write_feature_table(good, root, name, mode=mode, cluster_tile=cluster_tile)
+    return written, failed
