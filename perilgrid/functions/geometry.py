@@ -33,91 +33,81 @@ def st_isempty(geom: Column, kind: str = "Point") -> Column:
     return F.when(geom.isNotNull(), empty)
 
 
-def polygon(rings: Column) -> Column:
+def polygon(rings: str) -> Column:
     """Attach the envelope to an array of rings; null rings give a null polygon."""
-    xs = F.transform(F.flatten(rings), lambda p: p["x"])
-    ys = F.transform(F.flatten(rings), lambda p: p["y"])
-    bbox = F.struct(
-        F.array_min(xs).alias("xmin"),
-        F.array_min(ys).alias("ymin"),
-        F.array_max(xs).alias("xmax"),
-        F.array_max(ys).alias("ymax"),
+    xs, ys = (f"transform(flatten({rings}), p -> p.{axis})" for axis in "xy")
+    return F.expr(
+        f"""CASE WHEN {rings} IS NOT NULL THEN named_struct('rings', {rings}, 'bbox', named_struct(
+              'xmin', array_min({xs}), 'ymin', array_min({ys}),
+              'xmax', array_max({xs}), 'ymax', array_max({ys}))) END"""
     )
-    return F.when(rings.isNotNull(), F.struct(rings.alias("rings"), bbox.alias("bbox")))
 
 
-def rectangle(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-    """Closed rectangle as a one-ring polygon, counter-clockwise from the lower left."""
-    ring = F.array(
-        point(xmin, ymin), point(xmax, ymin), point(xmax, ymax), point(xmin, ymax), point(xmin, ymin)
-    )
-    return polygon(F.array(ring))
+def rectangle_rings(xmin: str, ymin: str, xmax: str, ymax: str) -> str:
+    """One closed ring, counter-clockwise from the lower left, as SQL."""
+    corners = ((xmin, ymin), (xmax, ymin), (xmax, ymax), (xmin, ymax), (xmin, ymin))
+    return f"array(array({', '.join(f"named_struct('x', {x}, 'y', {y})" for x, y in corners)}))"
+
+
+# The tests below are SQL text: one definition serves DataFrame code (through `expr`) and the
+# registered SQL functions, and a long expression reaches the JVM in a single call.
 
 
-def edges(poly: Column) -> Column:
+def edges(poly: str) -> str:
     """All ring segments of a polygon as ``array<struct<x0,y0,x1,y1>>``."""
+    n = "greatest(size(ring) - 1, 0)"
+    return (
+        f"flatten(transform({poly}.rings, ring -> zip_with(slice(ring, 1, {n}), slice(ring, 2, {n}), "
+        "(a, b) -> named_struct('x0', a.x, 'y0', a.y, 'x1', b.x, 'y1', b.y))))"
+    )
 
-    def ring_edges(ring: Column) -> Column:
-        n = F.greatest(F.size(ring) - 1, F.lit(0))
-        return F.zip_with(
-            F.slice(ring, F.lit(1), n),
-            F.slice(ring, F.lit(2), n),
-            lambda a, b: F.struct(
-                a["x"].alias("x0"), a["y"].alias("y0"), b["x"].alias("x1"), b["y"].alias("y1")
-            ),
-        )
 
-    return F.flatten(F.transform(poly["rings"], ring_edges))
+def crosses(x: str, y: str, x0: str, y0: str, x1: str, y1: str) -> str:
+    """The ray from (x, y) towards +x crosses the segment; its upper end does not count."""
+    return (
+        f"CASE WHEN ({y0} > {y}) <> ({y1} > {y}) "
+        f"THEN {x} < ({x1} - {x0}) * ({y} - {y0}) / ({y1} - {y0}) + {x0} ELSE false END"
+    )
 
 
-def position(x: Column, y: Column, segments: Column, start: Column | None = None) -> Column:
+def touches(x: str, y: str, x0: str, y0: str, x1: str, y1: str) -> str:
+    """(x, y) lies on the segment."""
+    return (
+        f"(({x1} - {x0}) * ({y} - {y0}) - ({y1} - {y0}) * ({x} - {x0}) = 0D "
+        f"AND ({x} - {x0}) * ({x} - {x1}) <= 0D AND ({y} - {y0}) * ({y} - {y1}) <= 0D)"
+    )
+
+
+def position(x: str, y: str, segments: str, start: str = "0") -> str:
     """Locate (x, y) against ring segments: 0 outside, 1 inside, 2 or 3 on the boundary.
 
     Even-odd rule over all rings, so holes count as outside. Bit 0 toggles on every
     segment crossed by the ray towards +x; bit 1 is set when a segment holds the point.
     ``start`` carries the crossings of segments left out because every ray crosses them.
     """
-
-    def visit(acc: Column, e: Column) -> Column:
-        out_of_reach = (y < F.least(e["y0"], e["y1"])) | (y > F.greatest(e["y0"], e["y1"]))
-        return F.when(out_of_reach, acc).otherwise(_apply(acc, x, y, e))
-
-    return F.aggregate(segments, F.lit(OUTSIDE) if start is None else start, visit)
-
-
-def _apply(acc: Column, x: Column, y: Column, e: Column) -> Column:
-    """Fold one segment into the position code: toggle bit 0 if crossed, set bit 1 if touched."""
-    ends = e["x0"], e["y0"], e["x1"], e["y1"]
-    crossed = F.when(crosses(x, y, *ends), 1).otherwise(0)
-    return acc.bitwiseXOR(crossed).bitwiseOR(F.when(touches(x, y, *ends), 2).otherwise(0))
-
-
-def crosses(x: Column, y: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    """The ray from (x, y) towards +x crosses the segment; its upper end does not count."""
-    straddles = (y0 > y) != (y1 > y)
-    return F.when(straddles, x < (x1 - x0) * (y - y0) / (y1 - y0) + x0).otherwise(False)
+    ends = ("e.x0", "e.y0", "e.x1", "e.y1")
+    return (
+        f"aggregate({segments}, {start}, (acc, e) -> CASE "
+        f"WHEN {y} < least(e.y0, e.y1) OR {y} > greatest(e.y0, e.y1) THEN acc "
+        f"ELSE (acc ^ CASE WHEN {crosses(x, y, *ends)} THEN 1 ELSE 0 END) "
+        f"| CASE WHEN {touches(x, y, *ends)} THEN 2 ELSE 0 END END)"
+    )
 
 
-def touches(x: Column, y: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    """(x, y) lies on the segment."""
-    on_line = (x1 - x0) * (y - y0) - (y1 - y0) * (x - x0) == 0
-    return on_line & ((x - x0) * (x - x1) <= 0) & ((y - y0) * (y - y1) <= 0)
+def in_envelope(x: str, y: str, box: str) -> str:
+    return f"{x} BETWEEN {box}.xmin AND {box}.xmax AND {y} BETWEEN {box}.ymin AND {box}.ymax"
 
 
-def st_intersects(geom: Column, poly: Column) -> Column:
-    """Point in the interior or on the boundary of the polygon."""
-    return _in_envelope(geom, poly) & (position(geom["x"], geom["y"], edges(poly)) != OUTSIDE)
+def st_intersects(geom: str, poly: str) -> Column:
+    """Point column in the interior or on the boundary of the polygon column."""
+    x, y = f"{geom}.x", f"{geom}.y"
+    return F.expr(f"{in_envelope(x, y, poly + '.bbox')} AND {position(x, y, edges(poly))} <> {OUTSIDE}")
 
 
-def st_contains(poly: Column, geom: Column) -> Column:
-    """Point strictly inside the polygon; boundary points and holes do not count."""
-    return _in_envelope(geom, poly) & (position(geom["x"], geom["y"], edges(poly)) == INSIDE)
-
-
-def _in_envelope(geom: Column, poly: Column) -> Column:
-    return geom["x"].between(poly["bbox"]["xmin"], poly["bbox"]["xmax"]) & geom["y"].between(
-        poly["bbox"]["ymin"], poly["bbox"]["ymax"]
-    )
+def st_contains(poly: str, geom: str) -> Column:
+    """Point column strictly inside the polygon column; boundary and holes do not count."""
+    x, y = f"{geom}.x", f"{geom}.y"
+    return F.expr(f"{in_envelope(x, y, poly + '.bbox')} AND {position(x, y, edges(poly))} = {INSIDE}")
 
 
 @dataclass(frozen=True)
@@ -151,53 +141,45 @@ class Box:
         return (geom["x"] > xmin) & (geom["x"] < xmax) & (geom["y"] > ymin) & (geom["y"] < ymax)
 
 
-def wkt_point(text: Column) -> Column:
+_RINGS = "array<array<struct<x: double, y: double>>>"
+
+
+def wkt_point(text: str) -> Column:
     """``POINT (x y)`` / ``POINT(x y)`` / ``POINT EMPTY``; anything else is null."""
     pattern = r"(?i)^\s*POINT\s*\(\s*([^\s,()]+)\s+([^\s,()]+)\s*\)\s*$"
-    x = F.regexp_extract(text, pattern, 1).try_cast("double")
-    y = F.regexp_extract(text, pattern, 2).try_cast("double")
-    empty = text.rlike(r"(?i)^\s*POINT\s+EMPTY\s*$")
-    nothing = F.lit(None).cast("double")
-    return F.when(empty, point(nothing, nothing)).when(x.isNotNull() & y.isNotNull(), point(x, y))
+    x, y = (f"try_cast(regexp_extract({text}, r'{pattern}', {group}) AS DOUBLE)" for group in (1, 2))
+    return F.expr(
+        rf"""CASE WHEN {text} RLIKE r'(?i)^\s*POINT\s+EMPTY\s*$'
+                 THEN named_struct('x', CAST(NULL AS DOUBLE), 'y', CAST(NULL AS DOUBLE))
+               WHEN {text} RLIKE r'{pattern}' AND {x} IS NOT NULL AND {y} IS NOT NULL
+                 THEN named_struct('x', {x}, 'y', {y}) END"""
+    )
 
 
-def wkt_polygon(text: Column) -> Column:
+def wkt_polygon(text: str) -> Column:
     """``POLYGON ((x y, ...), (...))``; unclosed, short or unparsable rings give null."""
-    body = F.regexp_extract(text, r"(?is)^\s*POLYGON\s*\(\s*\((.+)\)\s*\)\s*$", 1)
+    body = rf"regexp_extract({text}, r'(?is)^\s*POLYGON\s*\(\s*\((.+)\)\s*\)\s*$', 1)"
+    ordinate = r"try_cast(get(split(trim(pair), r'\s+'), {}) AS DOUBLE)"
+    vertex = f"named_struct('x', {ordinate.format(0)}, 'y', {ordinate.format(1)})"
+    rings = rf"transform(split({body}, r'\)\s*,\s*\('), ring -> transform(split(ring, ','), pair -> {vertex}))"
+    parsed = rf"""CASE WHEN {text} RLIKE r'(?i)^\s*POLYGON\s+EMPTY\s*$' THEN CAST(array() AS {_RINGS})
+                      WHEN {body} <> '' AND {valid_rings(rings)} THEN {rings} END"""
+    return polygon(parsed)
 
-    def vertex(pair: Column) -> Column:
-        xy = F.split(F.trim(pair), r"\s+")
-        return F.when(F.size(xy) >= 2, point(F.get(xy, F.lit(0)).try_cast("double"), F.get(xy, F.lit(1)).try_cast("double")))
 
-    rings = F.transform(
-        F.split(body, r"\)\s*,\s*\("), lambda ring: F.transform(F.split(ring, ","), vertex)
-    )
-    empty = text.rlike(r"(?i)^\s*POLYGON\s+EMPTY\s*$")
-    no_rings = F.lit(None).cast("array<array<struct<x:double,y:double>>>")
-    parsed = F.when(empty, F.array().cast("array<array<struct<x:double,y:double>>>")).when(
-        (body != "") & valid_rings(rings), rings
-    )
-    return polygon(F.coalesce(parsed, no_rings))
-
-
-def valid_rings(rings: Column) -> Column:
+def valid_rings(rings: str) -> str:
     """Every ring has at least four vertices, no missing coordinate, and is closed."""
+    return (
+        f"coalesce(size({rings}) > 0 AND forall({rings}, r -> size(r) >= 4 "
+        "AND forall(r, p -> p IS NOT NULL AND p.x IS NOT NULL AND p.y IS NOT NULL) "
+        "AND get(r, 0) <=> get(r, size(r) - 1)), false)"
+    )
 
-    def ok(ring: Column) -> Column:
-        complete = F.forall(ring, lambda p: F.coalesce(p["x"].isNotNull() & p["y"].isNotNull(), F.lit(False)))
-        closed = F.get(ring, F.lit(0)).eqNullSafe(F.get(ring, F.size(ring) - 1))
-        return (F.size(ring) >= 4) & complete & closed
-
-    return F.coalesce((F.size(rings) > 0) & F.forall(rings, ok), F.lit(False))
-
-
-def wkt_from_point(geom: Column) -> Column:
-    return F.concat(F.lit("POINT("), geom["x"].cast("string"), F.lit(" "), geom["y"].cast("string"), F.lit(")"))
 
+def wkt_from_point(geom: str, gap: str = "") -> Column:
+    return F.expr(f"concat('POINT{gap}(', {geom}.x, ' ', {geom}.y, ')')")
 
-def wkt_from_polygon(poly: Column) -> Column:
-    def ring(r: Column) -> Column:
-        pairs = F.transform(r, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string")))
-        return F.concat(F.lit("("), F.array_join(pairs, ", "), F.lit(")"))
 
-    return F.concat(F.lit("POLYGON ("), F.array_join(F.transform(poly["rings"], ring), ", "), F.lit(")"))
+def wkt_from_polygon(poly: str) -> Column:
+    pairs = "array_join(transform(r, p -> concat(p.x, ' ', p.y)), ', ')"
+    return F.expr(f"concat('POLYGON (', array_join(transform({poly}.rings, r -> concat('(', {pairs}, ')')), ', '), ')')")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perilgrid.functions.buckets import width_bucket_sql
-from perilgrid.functions.geometry import edges
+from perilgrid.functions.geometry import INSIDE, OUTSIDE, edges, position
 from perilgrid.schema import geometry_fields
 
 # One SQL type for points and polygons, so that a function takes either in either order.
@@ -29,12 +29,12 @@ def _point(geom: Column) -> Column:
     )
 
 
-def _polygon(geom: Column) -> Column:
-    box = geom["bbox"]
+def _polygon(name: str) -> Column:
+    geom = F.col(name)
     return F.struct(
         F.when(geom.isNotNull(), F.size(geom["rings"]) == 0).alias("empty"),
-        *[box[n].alias(n) for n in ("xmin", "ymin", "xmax", "ymax")],
-        edges(geom).alias("edges"),
+        *[geom["bbox"][n].alias(n) for n in ("xmin", "ymin", "xmax", "ymax")],
+        F.expr(edges(name)).alias("edges"),
     )
 
 
@@ -52,28 +52,11 @@ def create_feature_view(df: DataFrame, name: str) -> None:
         if kind == "Point":
             column = _point(column)
         elif kind == "Polygon":
-            column = _polygon(column)
+            column = _polygon(f"`{field.name}`")
         columns.append(column.alias(field.name))
     df.select(*columns).createOrReplaceTempView(name)
 
 
-def _position(px: str, py: str, segments: str) -> str:
-    dx, dy = "(e.x1 - e.x0)", "(e.y1 - e.y0)"
-    crossed = (
-        f"CASE WHEN (e.y0 > {py}) <> (e.y1 > {py}) "
-        f"THEN CASE WHEN {px} < {dx} * ({py} - e.y0) / {dy} + e.x0 THEN 1 ELSE 0 END ELSE 0 END"
-    )
-    touching = (
-        f"CASE WHEN {px} BETWEEN least(e.x0, e.x1) AND greatest(e.x0, e.x1) "
-        f"AND {dx} * ({py} - e.y0) - {dy} * ({px} - e.x0) = 0 THEN 2 ELSE 0 END"
-    )
-    return (
-        f"aggregate({segments}, 0, (acc, e) -> CASE "
-        f"WHEN {py} < least(e.y0, e.y1) OR {py} > greatest(e.y0, e.y1) THEN acc "
-        f"ELSE (acc ^ ({crossed})) | ({touching}) END)"
-    )
-
-
 def _function(spark: SparkSession, name: str, parameters: str, returns: str, body: str) -> None:
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {returns} RETURN {body}")
 
@@ -88,7 +71,7 @@ def register(spark: SparkSession) -> None:
     g = f"g {GEOMETRY}"
     ab = f"a {GEOMETRY}, b {GEOMETRY}"
     overlap = "a.xmin <= b.xmax AND a.xmax >= b.xmin AND a.ymin <= b.ymax AND a.ymax >= b.ymin"
-    in_a, in_b = _position("b.xmin", "b.ymin", "a.edges"), _position("a.xmin", "a.ymin", "b.edges")
+    in_a, in_b = position("b.xmin", "b.ymin", "a.edges"), position("a.xmin", "a.ymin", "b.edges")
     unsupported = "raise_error('polygon with polygon is not supported')"
 
     def edge(x0: str, y0: str, x1: str, y1: str) -> str:
@@ -122,7 +105,7 @@ def register(spark: SparkSession) -> None:
         ab,
         "BOOLEAN",
         f"{overlap} AND CASE WHEN a.edges IS NULL AND b.edges IS NULL THEN true "
-        f"WHEN b.edges IS NULL THEN {in_a} <> 0 WHEN a.edges IS NULL THEN {in_b} <> 0 "
+        f"WHEN b.edges IS NULL THEN {in_a} <> {OUTSIDE} WHEN a.edges IS NULL THEN {in_b} <> {OUTSIDE} "
         f"ELSE {unsupported} END",
     )
     _function(
@@ -131,7 +114,7 @@ def register(spark: SparkSession) -> None:
         ab,
         "BOOLEAN",
         f"{overlap} AND CASE WHEN a.edges IS NULL THEN b.edges IS NULL "
-        f"WHEN b.edges IS NULL THEN {in_a} = 1 ELSE {unsupported} END",
+        f"WHEN b.edges IS NULL THEN {in_a} = {INSIDE} ELSE {unsupported} END",
     )
     _function(
         spark,

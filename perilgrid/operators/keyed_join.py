@@ -18,29 +18,28 @@ _FIXED_WIDTH = 8
 
 def row_bytes(df: DataFrame) -> Column:
     """Bytes of one in-memory row, from its schema and the lengths of its variable parts."""
+    parts = [_width(f"`{field.name}`", field.dataType) for field in df.schema]
+    return F.expr(" + ".join([f"{4 * _FIXED_WIDTH}L", *parts]))
 
-    def width(column: Column, data_type: T.DataType) -> Column:
-        if isinstance(data_type, (T.StringType, T.BinaryType)):
-            return F.coalesce(F.octet_length(column), F.lit(0)) + 2 * _FIXED_WIDTH
-        if isinstance(data_type, T.StructType):
-            total = F.lit(2 * _FIXED_WIDTH)
-            for field in data_type:
-                total = total + width(column[field.name], field.dataType)
-            return F.coalesce(total, F.lit(_FIXED_WIDTH))
-        if isinstance(data_type, T.ArrayType):
-            if fixed := _fixed_width(data_type.elementType):
-                body = F.greatest(F.size(column), F.lit(0)) * fixed
-            else:
-                body = F.aggregate(
-                    column, F.lit(0).cast("bigint"), lambda acc, e: acc + width(e, data_type.elementType)
-                )
-            return F.coalesce(body, F.lit(0)) + 4 * _FIXED_WIDTH
-        return F.lit(_FIXED_WIDTH)
-
-    total = F.lit(4 * _FIXED_WIDTH).cast("bigint")
-    for field in df.schema:
-        total = total + width(F.col(f"`{field.name}`"), field.dataType)
-    return total
+
+def _width(value: str, data_type: T.DataType) -> str:
+    fixed = _fixed_width(data_type)
+    if fixed is not None:
+        return str(fixed)
+    if isinstance(data_type, T.StructType):
+        fields = [_width(f"{value}.`{f.name}`", f.dataType) for f in data_type]
+        return f"coalesce({' + '.join(fields)}, 0) + {2 * _FIXED_WIDTH}"
+    if isinstance(data_type, T.ArrayType):
+        element = _fixed_width(data_type.elementType)
+        if element is not None:
+            body = f"greatest(size({value}), 0) * {element}"
+        else:
+            body = f"aggregate({value}, 0L, (acc, e) -> acc + {_width('e', data_type.elementType)})"
+        return f"coalesce({body}, 0) + {4 * _FIXED_WIDTH}"
+    if isinstance(data_type, T.MapType):
+        keys = _width(f"map_keys({value})", T.ArrayType(data_type.keyType))
+        return f"{keys} + {_width(f'map_values({value})', T.ArrayType(data_type.valueType))}"
+    return f"coalesce(octet_length({value}), 0) + {2 * _FIXED_WIDTH}"
 
 
 def _fixed_width(data_type: T.DataType) -> int | None:
@@ -52,10 +51,6 @@ def _fixed_width(data_type: T.DataType) -> int | None:
     return _FIXED_WIDTH
 
 
-def measured_bytes(df: DataFrame) -> int:
-    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
-
-
 def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int) -> list[tuple]:
     """The heaviest keys holding more rows than one task should take, with their part counts.
 
@@ -138,15 +133,19 @@ def sized_join(
     keys: list[str],
     condition: Column | None = None,
     how: str = "inner",
+    right_bytes: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     **split_options,
 ) -> DataFrame:
     """Join a large left side: broadcast the right side if it measures small, else split hot keys.
 
     ``condition`` may name columns of both sides; apart from ``keys`` their names must differ.
+    ``right_bytes`` is the measured size of the right side, if the caller has it already.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
-    if measured_bytes(right) <= broadcast_bytes:
+    if right_bytes is None:
+        right_bytes = right.agg(F.sum(row_bytes(right))).first()[0] or 0
+    if right_bytes <= broadcast_bytes:
         return _join(left, F.broadcast(right), keys, condition, how)
     return split_join(left, right, keys, condition, how, **split_options)

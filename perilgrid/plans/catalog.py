@@ -70,7 +70,7 @@ def _footprint_summary(footprints: DataFrame) -> DataFrame:
         "OBJECTID",
         "FIRE_NAME",
         "ACRES",
-        F.size(g.edges(F.col("geometry"))).cast("bigint").alias("n_edges"),
+        F.expr(f"size({g.edges('geometry')})").cast("bigint").alias("n_edges"),
         F.size("geometry.rings").cast("bigint").alias("n_rings"),
         *[box[n].alias(n) for n in ("xmin", "ymin", "xmax", "ymax")],
     )
@@ -125,10 +125,10 @@ def point_accessors(spark, sf_dir):
 
 @query
 def wkt_parse(spark, sf_dir):
-    text = F.when(F.col("peril_id") % 2 == 0, g.wkt_from_point(F.col("geom"))).otherwise(
-        F.concat(F.lit("POINT ("), F.col("geom.x").cast("string"), F.lit(" "), F.col("geom.y").cast("string"), F.lit(")"))
-    )
-    parsed = inputs.sites(spark, sf_dir).select(FID, g.wkt_point(text).alias("p"))
+    """Both spacings of the point text occur."""
+    spaced = F.col("portfolio_id") % 2 == 0
+    text = F.when(spaced, g.wkt_from_point("geom", gap=" ")).otherwise(g.wkt_from_point("geom"))
+    parsed = inputs.sites(spark, sf_dir).select(FID, text.alias("shape")).select(FID, g.wkt_point("shape").alias("p"))
     return parsed.select(FID, "p.x", "p.y")
 
 
@@ -371,7 +371,7 @@ def ingest_site_exposure(spark, sf_dir):
         ["sitenum"],
         null_token="NULL",
         sitenum=F.col(FID),
-        shape=g.wkt_from_point(F.col("geom")),
+        shape=g.wkt_from_point("geom"),
     )
     shape = [F.col("shapegeom.x").alias("shape_x"), F.col("shapegeom.y").alias("shape_y")]
     return loaded.select(*_site_columns(), *shape)
@@ -380,7 +380,7 @@ def ingest_site_exposure(spark, sf_dir):
 @query
 def ingest_nzgrid(spark, sf_dir):
     loaded = _through_text(
-        spark, inputs.grid(spark, sf_dir), "nzgrid_event", ["nz_grid_id"], SHAPE=g.wkt_from_polygon(F.col("SHAPE"))
+        spark, inputs.grid(spark, sf_dir), "nzgrid_event", ["nz_grid_id"], SHAPE=g.wkt_from_polygon("SHAPE")
     )
     box = F.col("SHAPE.bbox")
     return loaded.select(
@@ -441,7 +441,7 @@ def ingest_wildfire_geojson(spark, sf_dir):
 def ingest_quality_counts(spark, sf_dir):
     """Lines whose shape text is cut off fail; the others are written."""
     rows = inputs.sites(spark, sf_dir, heavy=True)
-    whole = g.wkt_from_point(F.col("geom"))
+    whole = g.wkt_from_point("geom")
     broken = F.col("site_id").endswith("7")
     text = _as_text(
         rows, "siteexposure_event", shape=F.when(broken, F.substring(whole, 1, 8)).otherwise(whole), sitenum=F.col(FID)

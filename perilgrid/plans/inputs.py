@@ -7,9 +7,8 @@ oracle sees the same inputs. Constants are doubles throughout.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from perilgrid.functions.geometry import point, polygon, rectangle
+from perilgrid.functions.geometry import polygon, rectangle_rings
 from perilgrid.schema import FID
 
 # --- expressions shared with the oracle --------------------------------------------------
@@ -134,8 +133,7 @@ def losses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = _table(spark, sf_dir, "part").where(GRID_FILTER).selectExpr(*_projection(GRID_COLUMNS))
-    shape = rectangle(F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy"))
-    return cells.withColumn("SHAPE", shape)
+    return cells.withColumn("SHAPE", polygon(rectangle_rings("minx", "miny", "maxx", "maxy")))
 
 
 def zooms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,15 +143,14 @@ def zooms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     shaped = _table(spark, sf_dir, "supplier").selectExpr(*_projection(FOOTPRINT_COLUMNS))
 
-    def literal(offsets):
-        return F.array(*[point(F.lit(dx), F.lit(dy)) for dx, dy in offsets])
+    def literal(offsets) -> str:
+        return f"array({', '.join(f"named_struct('x', {dx}D, 'y', {dy}D)" for dx, dy in offsets)})"
 
-    def place(offset):
-        return point(F.col("cx") + F.col("r") * offset["x"], F.col("cy") + F.col("r") * offset["y"])
-
-    with_hole = F.col("OBJECTID") % HOLE_EVERY == 0
-    offsets = F.when(with_hole, F.array(literal(STAR), literal(HOLE))).otherwise(F.array(literal(STAR)))
-    rings = F.transform(offsets, lambda ring: F.transform(ring, place))
+    offsets = (
+        f"CASE WHEN OBJECTID % {HOLE_EVERY} = 0 THEN array({literal(STAR)}, {literal(HOLE)}) "
+        f"ELSE array({literal(STAR)}) END"
+    )
+    rings = f"transform({offsets}, ring -> transform(ring, o -> named_struct('x', cx + r * o.x, 'y', cy + r * o.y)))"
     return shaped.withColumn("geometry", polygon(rings)).drop("cx", "cy", "r")
 
 

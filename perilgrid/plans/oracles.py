@@ -7,7 +7,7 @@ from perilgrid.schema import FID
 
 PORTFOLIO = 51325
 HISTOGRAM_PORTFOLIO = 51326
-LOOKUP_SITE = "10005"
+LOOKUP_SITE = "1025"
 BUCKETS = (0.0, 130000.0, 99)
 
 GULF = "geom_x BETWEEN -96 AND -94 AND geom_y BETWEEN 29 AND 31"

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perilgrid.functions.buckets import width_bucket
-from perilgrid.functions.geometry import OUTSIDE, Box, edges, position
+from perilgrid.functions.geometry import Box, edges
 from perilgrid.operators import hexbin
-from perilgrid.operators.keyed_join import sized_join
+from perilgrid.operators.keyed_join import row_bytes, sized_join
 from perilgrid.operators.rollup import loss_rollup, sum_and_avg
+from perilgrid.operators.segments import COLUMNS, layout, matches
 from perilgrid.operators.spatial_join import spatial_join
 from perilgrid.schema import FID
 
@@ -47,20 +48,12 @@ def grid_match(sites: DataFrame, grid: DataFrame, **join_options) -> DataFrame:
     """
     keyed = sites.select("portfolio_id", "site_id", FID, "geom", F.expr("try_cast(nz_grid_id AS BIGINT)").alias("_cell"))
     # segments are laid out once per cell, not once per candidate site
-    cells = grid.select(
-        F.col("nz_grid_id").alias("_cell"),
-        "g_country_id",
-        "geo_unit_id",
-        F.col("SHAPE.bbox").alias("_box"),
-        edges(F.col("SHAPE")).alias("_edges"),
-    )
-    x, y = F.col("geom.x"), F.col("geom.y")
-    inside = (
-        x.between(F.col("_box.xmin"), F.col("_box.xmax"))
-        & y.between(F.col("_box.ymin"), F.col("_box.ymax"))
-        & (position(x, y, F.col("_edges")) != OUTSIDE)
-    )
-    return sized_join(keyed, cells, ["_cell"], inside, **join_options).drop("_cell", "_box", "_edges")
+    cells = grid.selectExpr("nz_grid_id AS _cell", "g_country_id", "geo_unit_id", "SHAPE.bbox", f"{edges('SHAPE')} AS _all")
+    cells = cells.selectExpr("_cell", "g_country_id", "geo_unit_id", *layout("bbox", "_all"))
+    facts = cells.agg(F.sum(row_bytes(cells)).alias("bytes"), F.count("_edges").alias("arrays")).first()
+    inside = matches("geom.x", "geom.y", "intersects", arrays=facts["arrays"] > 0)
+    matched = sized_join(keyed, cells, ["_cell"], inside, right_bytes=facts["bytes"] or 0, **join_options)
+    return matched.drop("_cell", *COLUMNS)
 
 
 def grid_enrich(sites: DataFrame, grid: DataFrame) -> DataFrame:

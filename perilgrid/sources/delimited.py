@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,21 +30,21 @@ def read_lines(spark: SparkSession, path: str | list[str], header: bool) -> Data
 
 def read_fields(spark: SparkSession, path: str | list[str], header: bool, sep: str = "|") -> DataFrame:
     """``line`` and ``fields``: every field of each line, trailing empty ones included."""
-    pattern = "[" + sep.replace("\\", r"\\").replace("]", r"\]").replace("^", r"\^") + "]"
+    pattern = sep if sep.isalnum() else "\\" + sep  # a single escaped character needs no regex engine
     lines = read_lines(spark, path, header)
     return lines.select(F.col("value").alias("line"), F.split("value", pattern, -1).alias("fields"))
 
 
-def field(index: int, data_type: T.DataType) -> Column:
-    """Field by position, converted to its type; missing or unparsable values are null.
+def field(index: int, data_type: T.DataType) -> str:
+    """SQL for a field by position, converted to its type; missing or unparsable gives null.
 
-    Strings stay as they are, including empty ones and the token ``NULL``.
+    Strings stay as they are, including empty ones and the token ``NULL``. Most unparsable
+    numbers are one of these two: sorting them out first avoids a failed parse for each.
     """
-    text = F.get(F.col("fields"), F.lit(index))
+    text = f"get(fields, {index})"
     if isinstance(data_type, T.StringType):
         return text
-    # most unparsable fields are empty or NULL: sorting them out first avoids a failed parse each
-    return F.when(~text.isin("", "NULL"), F.trim(text).try_cast(data_type))
+    return f"CASE WHEN {text} NOT IN ('', 'NULL') THEN try_cast(trim({text}) AS {data_type.simpleString()}) END"
 
 
 def write_delimited(df: DataFrame, path: str, header: bool, sep: str = "|", null_token: str = "") -> str:

@@ -62,15 +62,7 @@ def read_features(spark: SparkSession, path: str | list[str], feature_type: Feat
     raise ValueError(f"unknown layout {layout!r}")
 
 
-def rings(coordinates: Column) -> Column:
-    def vertex(pair: Column) -> Column:
-        return F.struct(F.get(pair, F.lit(0)).alias("x"), F.get(pair, F.lit(1)).alias("y"))
-
-    return F.transform(coordinates, lambda ring: F.transform(ring, vertex))
-
-
 def feature_polygon() -> Column:
     """Polygon of a feature row; null unless it is a Polygon with closed, complete rings."""
-    shape = rings(F.col("geometry.coordinates"))
-    usable = (F.col("geometry.type") == "Polygon") & valid_rings(shape)
-    return F.when(F.coalesce(usable, F.lit(False)), polygon(shape))
+    rings = "transform(geometry.coordinates, r -> transform(r, p -> named_struct('x', get(p, 0), 'y', get(p, 1))))"
+    return polygon(f"CASE WHEN geometry.type = 'Polygon' AND {valid_rings(rings)} THEN {rings} END")

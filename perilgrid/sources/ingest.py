@@ -27,13 +27,15 @@ def _fid(key_columns: list[str] | None) -> Column:
     return F.sha2("line", 256)
 
 
-def _typed(rows: DataFrame, schema: T.StructType, geometries: dict[str, Column], loaded: Column) -> DataFrame:
+def _typed(rows: DataFrame, schema: T.StructType, geometries: dict[str, Column], dropped: int) -> DataFrame:
     columns = []
     for index, f in enumerate(schema):
         if f.name in geometries:
             value = geometries[f.name]
         else:
-            value = F.when(F.lit(index) < loaded, field(index, f.dataType))
+            value = F.expr(field(index, f.dataType))
+            if dropped:
+                value = F.when(F.lit(index) < F.size("fields") - dropped, value)
         columns.append(value.cast(f.dataType).alias(f.name, metadata=f.metadata))
     return rows.select("line", "fields", *columns)
 
@@ -64,8 +66,8 @@ def ingest_text(
 
     geometries: dict[str, Column] = {}
     if is_site:
-        lat = F.coalesce(field(LATITUDE_FIELD, T.DoubleType()), F.lit(0.0))
-        lon = F.coalesce(field(LONGITUDE_FIELD, T.DoubleType()), F.lit(0.0))
+        lat = F.coalesce(F.expr(field(LATITUDE_FIELD, T.DoubleType())), F.lit(0.0))
+        lon = F.coalesce(F.expr(field(LONGITUDE_FIELD, T.DoubleType())), F.lit(0.0))
         geometries = {
             "geom": F.when(n_fields > LONGITUDE_FIELD, point(lon, lat)),
             "shapegeom": wkt_point(field(SHAPE_FIELD, T.StringType())),
@@ -77,9 +79,7 @@ def ingest_text(
             elif f.metadata.get("geometry") == "Point":
                 geometries[f.name] = wkt_point(field(index, T.StringType()))
     text_fields = len(schema) - 2 if is_site else len(schema)
-    loaded = n_fields - 2 if legacy_drop_tail else F.lit(text_fields)
-
-    typed = _typed(rows, schema, geometries, loaded)
+    typed = _typed(rows, schema, geometries, dropped=2 if legacy_drop_tail else 0)
     ok = n_fields <= text_fields
     for geometry in geometries:
         ok = ok & F.col(f"`{geometry}`").isNotNull()
