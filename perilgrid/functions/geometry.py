@@ -99,15 +99,20 @@ def in_envelope(x: str, y: str, box: str) -> str:
 
 
 def st_intersects(geom: str, poly: str) -> Column:
-    """Point column in the interior or on the boundary of the polygon column."""
+    """Point column in the interior or on the boundary of the polygon column; null for nulls."""
     x, y = f"{geom}.x", f"{geom}.y"
-    return F.expr(f"{in_envelope(x, y, poly + '.bbox')} AND {position(x, y, edges(poly))} <> {OUTSIDE}")
+    return _unless_null(geom, poly, f"{position(x, y, edges(poly))} <> {OUTSIDE}")
 
 
 def st_contains(poly: str, geom: str) -> Column:
     """Point column strictly inside the polygon column; boundary and holes do not count."""
     x, y = f"{geom}.x", f"{geom}.y"
-    return F.expr(f"{in_envelope(x, y, poly + '.bbox')} AND {position(x, y, edges(poly))} = {INSIDE}")
+    return _unless_null(geom, poly, f"{position(x, y, edges(poly))} = {INSIDE}")
+
+
+def _unless_null(geom: str, poly: str, exact: str) -> Column:
+    near = in_envelope(f"{geom}.x", f"{geom}.y", f"{poly}.bbox")
+    return F.expr(f"CASE WHEN {geom} IS NOT NULL AND {poly} IS NOT NULL THEN coalesce({near}, false) AND {exact} END")
 
 
 @dataclass(frozen=True)

@@ -34,7 +34,9 @@ def site_zoom(points: DataFrame, zooms: DataFrame, geom: str = "geom") -> DataFr
     usable = points.where(~st_isempty(F.col(geom))).withColumns(
         {"x": F.col(f"{geom}.x"), "y": F.col(f"{geom}.y")}
     )
-    entry = F.struct(F.col("zoom_id").cast("bigint"), F.col("zoom_value").cast("double"))
+    entry = F.struct(
+        F.col("zoom_id").cast("bigint").alias("zoom_id"), F.col("zoom_value").cast("double").alias("zoom_value")
+    )
     head = zooms.select(entry.alias("z")).limit(LEVELS_PER_GROUP + 1).collect()
     if not head:
         levels = F.array().cast("array<struct<zoom_id:bigint,zoom_value:double>>")

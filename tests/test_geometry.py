@@ -1,0 +1,115 @@
+import pytest
+from pyspark.sql import functions as F
+
+from perilgrid.functions import geometry as g
+
+# a 10 x 10 square with a 2 x 2 hole in the middle and a concave notch in the top side
+SHAPE = "POLYGON ((0 0, 10 0, 10 10, 5 7, 0 10, 0 0), (4 4, 6 4, 6 6, 4 6, 4 4))"
+CASES = [
+    # x, y, intersects, contains
+    (1.0, 1.0, True, True),
+    (5.0, 5.0, False, False),  # in the hole
+    (4.0, 5.0, True, False),  # on the edge of the hole
+    (6.0, 6.0, True, False),  # on a vertex of the hole
+    (0.0, 5.0, True, False),  # on a vertical edge
+    (5.0, 0.0, True, False),  # on a horizontal edge
+    (0.0, 0.0, True, False),  # on a vertex
+    (10.0, 10.0, True, False),
+    (5.0, 7.0, True, False),  # on the notch
+    (5.0, 8.0, False, False),  # inside the envelope, in the notch
+    (5.0, 6.5, True, True),  # between hole and notch
+    (-1.0, 0.0, False, False),  # on the line of an edge, beyond its end
+    (11.0, 4.0, False, False),
+    (1.0, 4.0, True, True),  # ray passes along an edge of the hole
+    (1.0, 7.0, True, True),  # ray passes through the notch vertex
+]
+
+
+def located(spark, rows):
+    points = spark.createDataFrame([(x, y) for x, y, *_ in rows], "x double, y double")
+    shaped = points.select(g.point(F.col("x"), F.col("y")).alias("geom"), F.lit(SHAPE).alias("wkt"))
+    return shaped.select("geom", g.wkt_polygon("wkt").alias("shape"))
+
+
+def test_predicates_on_edges_vertices_and_holes(spark):
+    df = located(spark, CASES).select(
+        "geom.x", "geom.y", g.st_intersects("geom", "shape").alias("i"), g.st_contains("shape", "geom").alias("c")
+    )
+    assert sorted(map(tuple, df.collect())) == sorted(CASES)
+
+
+def test_null_point_and_null_polygon_give_null(spark):
+    df = located(spark, CASES[:1]).select(F.when(F.lit(False), F.col("geom")).alias("geom"), "shape")
+    assert df.select(g.st_intersects("geom", "shape")).first()[0] is None
+
+
+@pytest.mark.parametrize("corners", [(-94, 31, -96, 29), (-96, 29, -94, 31), (-94, 29, -96, 31)])
+def test_box_corners_in_any_order(spark, corners):
+    box = g.Box(*corners)
+    points = spark.createDataFrame([(-95.0, 30.0), (-94.0, 30.0), (-94.0, 31.0), (-93.9, 30.0)], "x double, y double")
+    df = points.select(F.struct("x", "y").alias("geom"))
+    hits = df.select(box.intersects(F.col("geom")), box.contains(F.col("geom"))).collect()
+    assert [tuple(r) for r in hits] == [(True, True), (True, False), (True, False), (False, False)]
+
+
+def test_isempty(spark):
+    df = spark.sql(
+        """SELECT * FROM VALUES (1, named_struct('x', 1D, 'y', 2D)),
+           (2, named_struct('x', CAST(NULL AS DOUBLE), 'y', CAST(NULL AS DOUBLE))), (3, NULL) t(id, geom)"""
+    )
+    rows = df.orderBy("id").select(g.st_isempty(F.col("geom")), g.st_x(F.col("geom")), g.st_y(F.col("geom"))).collect()
+    assert [tuple(r) for r in rows] == [(False, 1.0, 2.0), (True, None, None), (None, None, None)]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("POINT (-97.5 31.25)", (-97.5, 31.25)),
+        ("POINT(-97.5 31.25)", (-97.5, 31.25)),
+        ("  point ( -1e1   2 ) ", (-10.0, 2.0)),
+        ("POINT EMPTY", (None, None)),
+        ("POINT(1)", None),
+        ("POINT(a b)", None),
+        ("LINESTRING(1 2, 3 4)", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_wkt_point(spark, text, expected):
+    got = spark.createDataFrame([(text,)], "t string").select(g.wkt_point("t")).first()[0]
+    assert (tuple(got) if got is not None else None) == expected
+
+
+@pytest.mark.parametrize(
+    "text, sizes",
+    [
+        (SHAPE, [6, 5]),
+        ("POLYGON((0 0,1 0,1 1,0 0))", [4]),
+        ("POLYGON EMPTY", []),
+        ("POLYGON ((0 0, 1 0, 1 1, 0 1))", None),  # not closed
+        ("POLYGON ((0 0, 1 0, 0 0))", None),  # too short
+        ("POLYGON ((0 0, 1 x, 1 1, 0 0))", None),
+        ("POLYGON ((0 0, 1, 1 1, 0 0))", None),
+        ("POINT (1 2)", None),
+        (None, None),
+    ],
+)
+def test_wkt_polygon(spark, text, sizes):
+    got = spark.createDataFrame([(text,)], "t string").select(g.wkt_polygon("t")).first()[0]
+    assert (None if got is None else [len(r) for r in got.rings]) == sizes
+    if sizes == [6, 5]:
+        assert tuple(got.bbox) == (0.0, 0.0, 10.0, 10.0)
+
+
+def test_wkt_round_trip(spark):
+    df = located(spark, CASES[:3])
+    again = df.select("geom", "shape", g.wkt_from_point("geom").alias("p"), g.wkt_from_polygon("shape").alias("q"))
+    back = again.select("geom", "shape", g.wkt_point("p").alias("p"), g.wkt_polygon("q").alias("q"))
+    assert back.where("geom <> p OR shape <> q OR p IS NULL OR q IS NULL").count() == 0
+
+
+def test_rectangle(spark):
+    df = spark.sql("SELECT 1D AS a, 2D AS b, 3D AS c, 5D AS d")
+    shape = df.select(g.polygon(g.rectangle_rings("a", "b", "c", "d"))).first()[0]
+    assert tuple(shape.bbox) == (1.0, 2.0, 3.0, 5.0)
+    assert len(shape.rings[0]) == 5 and shape.rings[0][0] == shape.rings[0][4]
