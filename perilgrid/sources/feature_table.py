@@ -35,7 +35,8 @@ def read_feature_table(spark: SparkSession, root: str, name: str, table: str | N
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Select the stored columns in declared order; missing attributes become null.
 
-    A frame without ``__fid__`` gets a hash of its attribute values.
+    A frame without ``__fid__`` gets a 128-bit hash of its attribute values, so a task that
+    runs again assigns the same ids.
     """
     feature_type = _feature_type(name)
     have = set(df.columns)
@@ -45,7 +46,9 @@ def conform(df: DataFrame, name: str) -> DataFrame:
         fid = F.col(FID)
     else:
         present = [F.col(f"`{f.name}`") for f in feature_type.schema if f.name in have]
-        fid = F.sha2(F.to_json(F.struct(*present)), 256)
+        nulls = [c.isNull() for c in present]  # the hash itself skips nulls
+        halves = [F.xxhash64(F.lit(salt), *present, *nulls) for salt in (0, 1)]
+        fid = F.concat(*[F.lpad(F.hex(h), 16, "0") for h in halves])
     columns = [fid.alias(FID)]
     for field in feature_type.schema:
         value = F.col(f"`{field.name}`") if field.name in have else F.lit(None)
@@ -69,8 +72,9 @@ def write_feature_table(
     geometry, so that the min/max statistics of each row group cover a small area and box
     filters skip the rest. The feature id is the last range key: it splits a tile that
     holds a large share of the rows over several files.
-    ``partition_by`` lays out directories; rows of one value are spread over the tasks
-    by feature id, so no single task writes a whole directory.
+    ``partition_by`` lays out directories. The rows are rebalanced by its columns first:
+    small values share a task, and adaptive execution splits the large ones, so neither
+    many small files nor one task for a whole directory result.
     """
     feature_type = _feature_type(name)
     out = conform(df, name)
@@ -82,13 +86,10 @@ def write_feature_table(
         kind = geometry_fields(feature_type.schema)[feature_type.default_geometry]
         x, y = (geom["x"], geom["y"]) if kind == "Point" else (geom["bbox"]["xmin"], geom["bbox"]["ymin"])
         order = [*(partition_by or []), F.floor(y / cluster_tile), F.floor(x / cluster_tile), F.xxhash64(FID)]
-    elif partition_by:
-        order = [*partition_by, F.xxhash64(FID)]
-    else:
-        order = []
-    if order:
         out = out.repartitionByRange(files, *order) if files else out.repartitionByRange(*order)
         out = out.sortWithinPartitions(*order)
+    elif partition_by:
+        out = out.hint("rebalance", *partition_by)
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

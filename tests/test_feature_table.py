@@ -65,7 +65,7 @@ def test_conform_orders_fills_and_identifies(spark):
     out = conform(df, "txmsiteexposureevent")
     assert out.columns == [FID, "portfolio_id", "site_id", "g_country_id", "geo_unit_id"]
     row = out.first()
-    assert len(row[FID]) == 64 and row.portfolio_id == 1 and row.geo_unit_id is None
+    assert len(row[FID]) == 32 and row.portfolio_id == 1 and row.geo_unit_id is None
     with pytest.raises(ValueError, match="not in feature type"):
         conform(df.withColumn("other", F.lit(1)), "txmsiteexposureevent")
     with pytest.raises(ValueError, match="unknown feature type"):

@@ -145,6 +145,8 @@ def test_arguments_are_checked(world):
         spatial_join(sites, polygons, "touches")
     with pytest.raises(ValueError, match="join type"):
         spatial_join(sites, polygons, how="left")
+    with pytest.raises(ValueError, match="power of two"):
+        spatial_join(sites, polygons, tiles_per_unit=3)
     with pytest.raises(ValueError, match="both sides"):
         spatial_join(sites, polygons.withColumn("__fid__", F.lit("x")))
 
