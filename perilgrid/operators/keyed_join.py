@@ -55,9 +55,10 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int) -> list[tuple]:
     """The heaviest keys holding more rows than one task should take, with their part counts.
 
     Counts are partially aggregated before the shuffle and only the top of the list
-    reaches the driver, so the result is bounded whatever the input size.
+    reaches the driver, so the result is bounded whatever the input size. Null keys match
+    nothing and do not count.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).where(F.col("_n") > rows_per_task)
     return [(*row[:-1], -(-row["_n"] // rows_per_task)) for row in top.collect()]
 

@@ -59,6 +59,13 @@ def scan_bbox_count(spark, sf_dir):
     return reports.box_scan(inputs.sites(spark, sf_dir)).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def scan_bbox_saved(spark, sf_dir):
+    path = new_dir(spark, "bbox")
+    reports.box_scan(inputs.sites(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @query
 def scan_attr_filter(spark, sf_dir):
     return reports.portfolio_scan(inputs.sites(spark, sf_dir), PORTFOLIO).select(*_site_columns())

@@ -91,6 +91,7 @@ ORACLES: dict[str, str] = {
     # scans
     "scan_feature_table": w(_SITE_ROWS, "sites"),
     "scan_bbox_projection": w(f"SELECT {_SITE}, s_udf_met1 FROM sites WHERE {GULF}", "sites"),
+    "scan_bbox_saved": w(f"SELECT {_SITE}, s_udf_met1 FROM sites WHERE {GULF}", "sites"),
     "scan_bbox_count": w(f"SELECT count(*) AS n FROM sites WHERE {GULF}", "sites"),
     "scan_attr_filter": w(f"{_SITE_ROWS} WHERE portfolio_id = {PORTFOLIO}", "sites"),
     "scan_footprints": w(

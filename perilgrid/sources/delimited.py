@@ -40,11 +40,12 @@ def field(index: int, data_type: T.DataType) -> str:
 
     Strings stay as they are, including empty ones and the token ``NULL``. Most unparsable
     numbers are one of these two: sorting them out first avoids a failed parse for each.
+    The conversion itself ignores surrounding blanks.
     """
     text = f"get(fields, {index})"
     if isinstance(data_type, T.StringType):
         return text
-    return f"CASE WHEN {text} NOT IN ('', 'NULL') THEN try_cast(trim({text}) AS {data_type.simpleString()}) END"
+    return f"CASE WHEN {text} NOT IN ('', 'NULL') THEN try_cast({text} AS {data_type.simpleString()}) END"
 
 
 def write_delimited(df: DataFrame, path: str, header: bool, sep: str = "|", null_token: str = "") -> str:
