@@ -90,11 +90,12 @@ def pairs_of(df):
     return set(rows)
 
 
-@pytest.mark.parametrize("tiles_per_unit", [1, 4, 8])
+@pytest.mark.parametrize("tiles_per_unit, refinements", [(1, 0), (1, 3), (4, 0), (4, 2), (8, 1)])
 @pytest.mark.parametrize("predicate", ["intersects", "contains"])
-def test_matches_brute_force(world, predicate, tiles_per_unit):
+def test_matches_brute_force(world, predicate, tiles_per_unit, refinements):
     sites, polygons, truth = world
-    assert pairs_of(spatial_join(sites, polygons, predicate, tiles_per_unit=tiles_per_unit)) == truth[predicate]
+    joined = spatial_join(sites, polygons, predicate, tiles_per_unit=tiles_per_unit, refinements=refinements)
+    assert pairs_of(joined) == truth[predicate]
 
 
 @pytest.mark.parametrize("rows", [(10**9, 10**9), (7, 10**9), (10**9, 3), (5, 3)])
@@ -116,10 +117,23 @@ def test_semi_join_returns_each_point_once(world, predicate):
 
 def test_tiles_per_polygon_are_bounded(world):
     _, polygons, _ = world
-    worst = polygon_tiles(polygons).groupBy("OBJECTID").count().agg(F.max("count")).first()[0]
+    worst = polygon_tiles(polygons, refinements=0).groupBy("OBJECTID").count().agg(F.max("count")).first()[0]
     assert worst <= 17 * 17
 
 
+def test_refined_tiles_do_not_overlap_and_hold_few_segments(world):
+    _, polygons, _ = world
+    once = polygon_tiles(polygons, refinements=0).agg(F.max(F.size("_edges"))).first()[0]
+    tiles = polygon_tiles(polygons, refinements=3)
+    assert tiles.agg(F.max(F.size("_edges"))).first()[0] < once / 2
+    levels = tiles.selectExpr("OBJECTID", "_level", "_tx", "_ty")
+    coarse = levels.selectExpr("OBJECTID", "_level AS l", "_tx AS x", "_ty AS y")
+    inside = levels.join(coarse, "OBJECTID").where(
+        "l > _level AND x = floor(_tx / pow(4D, l - _level)) AND y = floor(_ty / pow(4D, l - _level))"
+    )
+    assert inside.count() == 0
+
+
 def test_empty_null_and_missing_polygons(spark, world):
     sites, _, _ = world
     odd = spark.sql(f"SELECT 1 AS OBJECTID, CAST(NULL AS {RINGS}) AS rings UNION ALL SELECT 2, CAST(array() AS {RINGS})")
