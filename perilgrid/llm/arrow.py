@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 # Rows a task holds as Python objects at once: a slice ends when it reaches either bound.
@@ -15,7 +16,7 @@ SLICE_BYTES = 4 << 20
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut record batches into slices of bounded text size; one longer row is a slice of its own."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).to_pylist()
         start = held = 0
         for i, size in enumerate(sizes):
             size = size or 0

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from perilgrid.llm.arrow import map_texts
 
-# Widely published limits: share of characters inside n-grams that occur again (5 to 10 words),
+# Widely published limits: share of characters inside n-grams that occurred before (5 to 10 words),
 # share of the characters that the most frequent short n-gram covers (2 to 4 words).
 DUPLICATE_SHARE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 TOP_SHARE = {2: 0.20, 3: 0.18, 4: 0.16}
@@ -42,15 +42,16 @@ def ngram_hashes(words: np.ndarray, longest: int):
         yield n, rolled
 
 
-def repeated(hashes: np.ndarray) -> np.ndarray:
-    """True where a value occurs at least twice, the first time included."""
+def repeated(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """True where a value occurs at least twice; the same without the first time."""
     order = np.argsort(hashes, kind="stable")
     ranked = hashes[order]
     same = ranked[1:] == ranked[:-1]
-    mask = np.zeros(len(hashes), bool)
-    mask[order[1:][same]] = True
+    later = np.zeros(len(hashes), bool)
+    later[order[1:][same]] = True
+    mask = later.copy()
     mask[order[:-1][same]] = True
-    return mask
+    return mask, later
 
 
 def covered(starts: np.ndarray, n: int, n_words: int) -> np.ndarray:
@@ -73,7 +74,7 @@ def measure(text: str) -> dict:
     for n, rolled in ngram_hashes(hashes, max(DUPLICATE_SHARE)):
         if n not in TOP_SHARE and n not in DUPLICATE_SHARE:
             continue
-        again = repeated(rolled)
+        again, later = repeated(rolled)
         if not again.any():
             break  # no longer n-gram can occur twice
         if n in TOP_SHARE:
@@ -83,12 +84,11 @@ def measure(text: str) -> dict:
             top_share = max(top_share, share)
             failed |= share > TOP_SHARE[n]
         else:
-            mask = covered(again, n, n_words)
-            share = int(lengths[mask].sum()) / chars
+            share = int(lengths[covered(later, n, n_words)].sum()) / chars
             repeat_share = max(repeat_share, share)
             failed |= share > DUPLICATE_SHARE[n]
             if n == BASE_WINDOW:
-                repeat_words = int(mask.sum())
+                repeat_words = int(covered(again, n, n_words).sum())
     n_lines, dup_lines, dup_chars, line_chars, seen = 0, 0, 0, 0, set()
     for line in text.split("\n"):
         if not _WORD.search(line):
