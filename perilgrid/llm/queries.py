@@ -4,17 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perilgrid.llm.chat_snapshots import format_chats
+from perilgrid.llm.decontaminate import find_benchmark
+from perilgrid.llm.line_dedup import line_dedup
+from perilgrid.llm.packing import pack
+from perilgrid.llm.pseudonyms import pseudonymize
 from perilgrid.llm.quality_rules import quality_rules
+from perilgrid.llm.secret_scan import secret_scan
 from perilgrid.llm.simhash import simhash_groups
+from perilgrid.llm.token_frames import token_files
+from perilgrid.session import new_dir
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_benchmark(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op5_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files(_documents(spark, sf_dir), tokenizer, new_dir(spark, "token-files"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(_documents(spark, sf_dir))
+
+
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymize(_documents(spark, sf_dir), spark.conf.get("perilgrid.pseudonym.key", "pseudonym key"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(_documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir))
 
@@ -26,8 +75,55 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_chat_snapshots": op2_chat_snapshots,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_packing": op4_packing,
+    "op5_token_frames": op5_token_frames,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_pseudonyms": op7_pseudonyms,
+    "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_chat_snapshots": """
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
+), placed AS (
+  SELECT *, coalesce(turn - min(turn) OVER (PARTITION BY conv_id), -1) AS place FROM t
+), whole AS (
+  SELECT conv_id, count(*) AS n, list({'p': place, 'r': role, 't': text} ORDER BY place, role, text) AS turns
+  FROM placed GROUP BY conv_id
+), dropped AS (
+  SELECT a.conv_id FROM whole a JOIN whole b
+    ON a.conv_id <> b.conv_id AND a.turns[1] = b.turns[1] AND a.n <= b.n AND a.turns = b.turns[1:a.n]
+   AND (a.n < b.n OR b.conv_id < a.conv_id)
+)
+SELECT t.conv_id, w.n AS n_turns, t.turn, t.role, coalesce(t.role = 'assistant', false) AS trained,
+       '<|im_start|>' || coalesce(t.role, '') || chr(10) || coalesce(t.text, '') || '<|im_end|>' || chr(10) AS piece
+FROM t JOIN whole w USING (conv_id)
+WHERE t.conv_id NOT IN (SELECT conv_id FROM dropped)
+""",
+    "op8_line_dedup": """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(0, len(string_split(text, chr(10))))) AS line_no
+  FROM documents
+), long AS (
+  SELECT * FROM lines WHERE length(line) >= 40
+), classes AS (
+  SELECT line, min({'d': doc_id, 'l': line_no}) AS first FROM long GROUP BY line
+), gone AS (
+  SELECT DISTINCT a.line FROM classes a JOIN classes b
+    ON length(b.line) BETWEEN length(a.line) - 2 AND length(a.line) + 2 AND b.first < a.first
+   AND levenshtein(a.line, b.line) <= 2
+), out AS (
+  SELECT g.doc_id, g.line_no FROM long g JOIN classes c USING (line)
+  WHERE {'d': g.doc_id, 'l': g.line_no} <> c.first OR g.line IN (SELECT line FROM gone)
+)
+SELECT l.doc_id, count(*) AS n_lines, count(o.line_no) AS n_removed,
+       coalesce(string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (o.line_no IS NULL), '') AS text
+FROM lines l LEFT JOIN out o USING (doc_id, line_no) GROUP BY l.doc_id
+""",
+}
