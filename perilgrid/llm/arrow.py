@@ -8,6 +8,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from perilgrid.llm.shipping import ship_package
+
 # Rows a task holds as Python objects at once: a slice ends when it reaches either bound.
 SLICE_ROWS = 512
 SLICE_BYTES = 4 << 20
@@ -35,6 +37,8 @@ def map_texts(df: DataFrame, schema: str, rows: Callable[..., dict]) -> DataFram
     equally long columns.
     """
 
+    ship_package(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = None
         for part in text_slices(batches):

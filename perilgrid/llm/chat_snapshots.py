@@ -19,7 +19,7 @@ def _hashed(turns: DataFrame) -> DataFrame:
     thin = turns.where("conv_id IS NOT NULL").select(
         "conv_id", "turn", F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(1), *parts).alias("h2")
     )
-    thin = thin.groupBy("conv_id", "turn", "h1", "h2").agg()
+    thin = thin.distinct()
     first = thin.groupBy("conv_id").agg(F.min("turn").alias("first"))
     placed = thin.join(first, "conv_id")
     placed = placed.withColumn("place", F.coalesce(F.col("turn") - F.col("first"), F.lit(-1).cast("long")))

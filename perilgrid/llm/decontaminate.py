@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perilgrid.llm.arrow import map_texts, text_slices
+from perilgrid.llm.shipping import ship_package
 from perilgrid.session import new_dir
 
 WINDOW = 10
@@ -142,6 +143,7 @@ def windows_of(benchmark: DataFrame, window: int) -> DataFrame:
                     [pa.array(rows, pa.string()), pa.array([item] * len(rows), pa.string())], names=["window", "item"]
                 )
 
+    ship_package(benchmark.sparkSession)
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
     return items.mapInArrow(run, "window string, item string").distinct()
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from perilgrid.llm.arrow import text_slices
+from perilgrid.llm.shipping import ship_package
 from perilgrid.llm.tokens import encoder
 from perilgrid.session import new_dir
 
@@ -105,6 +106,7 @@ def _rows(windows: list[list[tuple]], part: int, first: int, full: bool) -> pa.R
 
 
 def _pack_partitions(docs: DataFrame, tokenizer: str, end_id: int, size: int, open_windows: int) -> DataFrame:
+    ship_package(docs.sparkSession)
     end = end_id.to_bytes(_ID, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,14 +6,15 @@ import re
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from perilgrid.llm.arrow import map_texts
+from perilgrid.llm.shipping import ship_package
 
 # Widely published limits: share of characters inside n-grams that occurred before (5 to 10 words),
 # share of the characters that the most frequent short n-gram covers (2 to 4 words).
 DUPLICATE_SHARE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 TOP_SHARE = {2: 0.20, 3: 0.18, 4: 0.16}
-DUPLICATE_LINES = 0.30
 DUPLICATE_LINE_SHARE = 0.20
 SYMBOLS_PER_WORD = 0.10
 MIN_WORDS = 20
@@ -89,11 +90,10 @@ def measure(text: str) -> dict:
             failed |= share > DUPLICATE_SHARE[n]
             if n == BASE_WINDOW:
                 repeat_words = int(covered(again, n, n_words).sum())
-    n_lines, dup_lines, dup_chars, line_chars, seen = 0, 0, 0, 0, set()
+    dup_lines, dup_chars, line_chars, seen = 0, 0, 0, set()
     for line in text.split("\n"):
         if not _WORD.search(line):
             continue
-        n_lines += 1
         line_chars += len(line)
         if line in seen:
             dup_lines += 1
@@ -101,7 +101,7 @@ def measure(text: str) -> dict:
         else:
             seen.add(line)
     line_share = dup_chars / line_chars if line_chars else 0.0
-    failed |= dup_lines > DUPLICATE_LINES * n_lines or line_share > DUPLICATE_LINE_SHARE
+    failed |= line_share > DUPLICATE_LINE_SHARE
     failed |= n_symbols > SYMBOLS_PER_WORD * n_words
     base_failed = n_words < MIN_WORDS or 100 * repeat_words > 100 * BASE_REPEAT * n_words
     return {
@@ -142,7 +142,7 @@ def filter_quality(docs: DataFrame) -> DataFrame:
 
     The verdict is computed beside the row, so repeated ids are judged one by one.
     """
-    from pyspark.sql import functions as F
+    ship_package(docs.sparkSession)
 
     @F.pandas_udf("boolean")
     def keeps(texts):

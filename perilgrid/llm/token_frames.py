@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from perilgrid.llm.arrow import text_slices
+from perilgrid.llm.shipping import ship_package
 from perilgrid.llm.tokens import encoder
 
 FRAME_BYTES = 1 << 18
@@ -144,6 +145,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, out_dir: str, end_id: int
     streams into a file of a name of its own, and only finished tasks report one, so a task that
     runs again leaves an unlisted file at worst. ``width`` is the bytes of an id in the file.
     """
+    ship_package(docs.sparkSession)
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +157,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, out_dir: str, end_id: int
         for batch in text_slices(batches):
             if writer is None:
                 system.create_dir(base, recursive=True)
-                stream = system.open_output_stream(path)
+                stream = system.open_output_stream(path, compression=None)
                 writer = FrameWriter(stream, width)
             texts = batch.column("text").to_pylist()
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
