@@ -16,6 +16,7 @@ from perilgrid.llm.pseudonyms import pseudonymize
 from perilgrid.llm.quality_rules import quality_rules
 from perilgrid.llm.secret_scan import secret_scan
 from perilgrid.llm.simhash import simhash_groups
+from perilgrid.llm.suffix_dedup import suffix_dedup
 from perilgrid.llm.token_frames import token_files
 from perilgrid.session import new_dir
 
@@ -24,6 +25,17 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup(_documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -75,6 +87,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_chat_snapshots": op2_chat_snapshots,
     "op3_decontaminate": op3_decontaminate,
     "op4_packing": op4_packing,
