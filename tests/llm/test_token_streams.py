@@ -1,0 +1,165 @@
+"""Token encoding, packing and token files against the tokenizers library itself."""
+
+import collections
+import io
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from perilgrid.llm import packing, token_frames
+from perilgrid.llm import tokens as tokens_module
+from perilgrid.llm.packing import Packer, pack
+from perilgrid.llm.token_frames import FrameReader, FrameWriter, token_files
+from perilgrid.llm.tokens import PieceEncoder
+from perilgrid.session import new_dir
+from tests.llm.conftest import rows_of
+
+FILES = ("byte_bpe_50k.json", "word_bpe_49k.json")
+EDGE = [(None, "null id"), (None, None), (7, ""), (7, None), (8, "same words"), (8, "same words"), (9, "word " * 9000), (-3, "x")]
+
+
+def ids_of(name, texts):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    return [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("name", FILES)
+@pytest.mark.parametrize("cached", [600_000, 20])
+def test_pieces_equal_whole_texts(name, cached, monkeypatch):
+    monkeypatch.setattr(tokens_module, "CACHED_PIECES", cached)
+    rng = random.Random(1)
+    parts = ["a", "b", "É", "\n", " ", "\t", "  ", " ", " ", "'s", "<|endoftext|>", "9", "\r", "\x1c", "!", "́", "ß", "Σ", "日本", "İ", "\x0b", "\x85", "word,", "Ende.", "x" * 60]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(4000)]
+    texts += ["", "\n", "\n\n", " ", "a\n", "\na", "\n "]
+    encode = PieceEncoder(public_tokenizers.path(name)).encode
+    assert [np.frombuffer(encode(t), "<u4").tolist() for t in texts] == ids_of(name, texts)
+
+
+def given_docs(spark, sf_dir):
+    return [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+
+
+def check_pieces(pieces, documents, size):
+    """Every id once, gapless sequences of at most ``size``; returns the padding."""
+    left = collections.Counter((d, np.array(ids, "<u4").tobytes()) for d, ids in documents)
+    streams = collections.defaultdict(list)
+    for p in pieces:
+        assert len(p.ids) == 4 * p.length > 0
+        streams[p.sequence_id].append(p)
+    padding = 0
+    for group in streams.values():
+        at = 0
+        for p in sorted(group, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= size
+        padding += size - at if at & (at - 1) else 0
+    by_doc = collections.defaultdict(list)
+    for p in pieces:
+        by_doc[p.doc_id, p.doc_tokens].append(p)
+    whole = collections.Counter()
+    for (doc_id, total), group in by_doc.items():
+        copies = sum(p.length for p in group) // total
+        assert sum(p.length for p in group) == copies * total
+        if copies == 1:
+            group.sort(key=lambda p: p.start)
+            starts = [p.start for p in group]
+            assert starts == np.concatenate([[0], np.cumsum([p.length for p in group])[:-1]]).astype(int).tolist()
+            whole[doc_id, b"".join(bytes(p.ids) for p in group)] += 1
+        else:  # rows that repeat an id and a length: the ids of all of them, once each
+            options = [ids for (d, ids), n in left.items() for _ in range(n) if d == doc_id and len(ids) == 4 * total]
+            assert len(options) == copies
+            held = collections.Counter(x for p in group for x in np.frombuffer(bytes(p.ids), "<u4").tolist())
+            assert held == collections.Counter(x for ids in options for x in np.frombuffer(ids, "<u4").tolist())
+            whole.update((doc_id, ids) for ids in options)
+    assert whole == left
+    return padding
+
+
+@pytest.mark.parametrize("size,open_windows,parts", [(64, 3, 1), (64, 3, 5), (4096, 32, 3)])
+def test_packing(spark, docs, sf_dir, size, open_windows, parts):
+    rows = given_docs(spark, sf_dir)[:60] + EDGE
+    ids = [i + [2] for i in ids_of(FILES[1], [t for _, t in rows])]
+    df = docs(rows).repartition(parts)
+    pieces = pack(df, public_tokenizers.path(FILES[1]), 2, size, open_windows).collect()
+    assert check_pieces(pieces, [(d, i) for (d, _), i in zip(rows, ids, strict=True)], size) == 0
+
+
+def test_packing_of_nothing(docs):
+    assert pack(docs([]), public_tokenizers.path(FILES[1])).count() == 0
+
+
+def test_bounded_space():
+    rng = random.Random(2)
+    packer = Packer(100, 4)
+    for k in range(500):
+        packer.add((k, 0), bytes(4 * rng.randint(1, 250)))
+        assert len(packer.open) <= 4
+    assert all(sum(len(ids) for _, _, ids in window) == 400 for window in packer.done)
+    rest = packer.close()
+    assert sum(len(ids) for _, _, ids in rest) < 400
+
+
+def expected_files(rows):
+    ids = [i + [0] for i in ids_of(FILES[0], [t for _, t in rows])]
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is not None, rows[k][0] or 0, rows[k][1] is not None, (rows[k][1] or "").encode()))
+    at, out = 0, []
+    for k in order:
+        out.append((rows[k][0], at, len(ids[k]), zlib.crc32(np.array(ids[k], "<u4").tobytes())))
+        at += len(ids[k])
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("frame_bytes", [1 << 18, 101])
+def test_token_files(spark, docs, sf_dir, monkeypatch, frame_bytes):
+    monkeypatch.setattr(token_frames, "FRAME_BYTES", frame_bytes)
+    rows = given_docs(spark, sf_dir) + EDGE
+    got = token_files(docs(rows).repartition(3), public_tokenizers.path(FILES[0]), new_dir(spark, "t"))
+    assert rows_of(got) == expected_files(rows)
+    assert token_files(docs([]), public_tokenizers.path(FILES[0]), new_dir(spark, "t")).count() == 0
+
+
+def test_random_access_and_checksums(monkeypatch):
+    monkeypatch.setattr(token_frames, "FRAME_BYTES", 64)
+    rng = random.Random(3)
+    documents = [[rng.randrange(60_000) for _ in range(rng.choice([1, 5, 200]))] for _ in range(40)]
+    stream = io.BytesIO()
+    writer = FrameWriter(stream, 2)
+    for k, ids in enumerate(documents):
+        writer.add(k if k else None, np.array(ids, "<u4").tobytes())
+    assert writer.close() == (40, sum(map(len, documents)))
+    data = stream.getvalue()
+    reader = FrameReader(io.BytesIO(data), len(data))
+    assert reader.doc_ids == [None, *range(1, 40)]
+    for k in rng.sample(range(40), 40):
+        assert reader.document(k).tolist() == documents[k]
+    # any zstandard reader gets the whole stream
+    whole = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True).read()
+    assert np.frombuffer(whole, "<u2").tolist() == [x for ids in documents for x in ids]
+    # one document needs its frames only: a broken frame elsewhere does no harm
+    broken = bytearray(data)
+    broken[int(reader._packed_at[-2]) + 8] ^= 255
+    partial = FrameReader(io.BytesIO(bytes(broken)), len(broken))
+    assert partial.document(0).tolist() == documents[0]
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        partial.document(39)
+
+
+def test_queries(spark, sf_dir):
+    from perilgrid.llm.queries import QUERIES
+
+    rows = given_docs(spark, sf_dir)
+    assert rows_of(QUERIES["op5_token_frames"](spark, sf_dir)) == expected_files(rows)
+    pieces = QUERIES["op4_packing"](spark, sf_dir)
+    ids = dict(zip([d for d, _ in rows], ids_of(FILES[1], [t for _, t in rows]), strict=True))
+    for p in pieces.collect():
+        part = np.array((ids[p.doc_id] + [2])[p.start : p.start + p.length], "<u4")
+        assert (p.length, p.ids_crc32) == (len(part), zlib.crc32(part.tobytes()))
+    assert pieces.agg(F.sum("length")).first()[0] == sum(map(len, ids.values())) + len(ids)
+    assert packing.OPEN_WINDOWS == 32
