@@ -6,18 +6,17 @@ All arithmetic is in doubles.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perilgrid.functions.geometry import st_isempty
+from perilgrid.operators.keyed_join import BROADCAST_BYTES, row_bytes
 
 # Grid origin, as used by the published hex tables.
 ORIGIN_X = 20037507.0671618
 ORIGIN_Y = 19971868.8804086
 
-LEVELS_PER_GROUP = 64  # zoom rows carried along as one literal or one packed row
+LEVELS_PER_GROUP = 64  # zoom rows carried along as one packed row
 
 
 def _d(value: float) -> Column:
@@ -27,9 +26,9 @@ def _d(value: float) -> Column:
 def site_zoom(points: DataFrame, zooms: DataFrame, geom: str = "geom") -> DataFrame:
     """Every non-empty point at every zoom level: adds ``x, y, lod, zoom_id, hex_radius``.
 
-    The zoom table is a short lookup. Up to 64 rows it becomes a literal array that is
-    exploded next to each point, so nothing is joined or shuffled. A longer table is
-    packed into groups of about that size and joined on the group number.
+    The zoom table is a short lookup. It is packed into rows of about 64 levels, measured, and
+    broadcast: points are not shuffled, and every point meets every level because that product
+    is the result. A table too large to broadcast is refused.
     """
     usable = points.where(~st_isempty(F.col(geom))).withColumns(
         {"x": F.col(f"{geom}.x"), "y": F.col(f"{geom}.y")}
@@ -37,28 +36,17 @@ def site_zoom(points: DataFrame, zooms: DataFrame, geom: str = "geom") -> DataFr
     entry = F.struct(
         F.col("zoom_id").cast("bigint").alias("zoom_id"), F.col("zoom_value").cast("double").alias("zoom_value")
     )
-    head = zooms.select(entry.alias("z")).limit(LEVELS_PER_GROUP + 1).collect()
-    if not head:
-        levels = F.array().cast("array<struct<zoom_id:bigint,zoom_value:double>>")
-    elif len(head) <= LEVELS_PER_GROUP:
-        levels = F.array(
-            *[
-                F.struct(
-                    F.lit(r.z[0]).cast("bigint").alias("zoom_id"),
-                    F.lit(r.z[1]).cast("double").alias("zoom_value"),
-                )
-                for r in head
-            ]
-        )
-    else:
-        groups = math.ceil(zooms.count() / LEVELS_PER_GROUP)
-        packed = zooms.groupBy(
-            F.pmod(F.xxhash64("zoom_id", "zoom_value"), F.lit(groups)).alias("_group")
-        ).agg(F.collect_list(entry).alias("_levels"))
-        usable = usable.withColumn(
-            "_group", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint")))
-        ).join(packed, "_group").drop("_group")
-        levels = F.col("_levels")
+    # packed rows of about LEVELS_PER_GROUP levels; with one of them each point meets one row
+    groups = F.expr(f"CAST(ceil(count(*) / {LEVELS_PER_GROUP}) AS BIGINT)")
+    numbered = zooms.select(entry.alias("z")).crossJoin(zooms.agg(groups.alias("_n")))
+    packed = numbered.groupBy(F.pmod(F.xxhash64("z"), F.col("_n")).alias("_group")).agg(
+        F.collect_list("z").alias("_levels")
+    )
+    size = packed.agg(F.sum(row_bytes(packed))).first()[0] or 0
+    if size > BROADCAST_BYTES:
+        raise ValueError(f"the zoom table measures {size} bytes; a lookup of at most {BROADCAST_BYTES} is expected")
+    usable = usable.crossJoin(F.broadcast(packed.select("_levels")))
+    levels = F.col("_levels")
     expanded = usable.withColumn("_zoom", F.explode(levels))
     return expanded.withColumns(
         {

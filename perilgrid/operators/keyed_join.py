@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perilgrid.schema import FID
+from perilgrid.session import new_dir
 
 BROADCAST_BYTES = 64 << 20
 LEFT_ROWS_PER_TASK = 2_000_000
 RIGHT_ROWS_PER_TASK = 50_000
-MAX_HOT_KEYS = 5_000  # the hottest keys that get split; any other key holds < 1/5000 of the rows
 
 _FIXED_WIDTH = 8
 
@@ -51,26 +51,29 @@ def _fixed_width(data_type: T.DataType) -> int | None:
     return _FIXED_WIDTH
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int) -> list[tuple]:
-    """The heaviest keys holding more rows than one task should take, with their part counts.
+def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int) -> DataFrame | None:
+    """All keys holding more rows than one task should take, with their number of ``_parts``.
 
-    Counts are partially aggregated before the shuffle and only the top of the list
-    reaches the driver, so the result is bounded whatever the input size. Null keys match
-    nothing and do not count.
+    Counts are partially aggregated before the shuffle. There are at most as many hot keys as
+    tasks' worth of rows; they are written to the shared folder and stay a DataFrame. None if no
+    key is hot. Null keys match nothing and do not count.
     """
+    spark = df.sparkSession
     counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).where(F.col("_n") > rows_per_task)
-    return [(*row[:-1], -(-row["_n"] // rows_per_task)) for row in top.collect()]
-
-
-def _parts(df: DataFrame, keys: list[str], hot: list[tuple], name: str) -> DataFrame:
-    """Attach the number of parts of each row's key; keys that are not hot have one."""
-    if not hot:
-        return df.withColumn(name, F.lit(1).cast("bigint"))
-    key_fields = [df.schema[k] for k in keys]
-    schema = T.StructType([*key_fields, T.StructField("_parts", T.LongType())])
-    # at most MAX_HOT_KEYS rows by construction
-    lookup = F.broadcast(df.sparkSession.createDataFrame(hot, schema))
+    hot = counts.where(F.col("_n") > rows_per_task)
+    path = new_dir(spark, "hot-keys")
+    hot.select(*keys, F.ceil(F.col("_n") / rows_per_task).alias("_parts")).write.parquet(path)
+    found = spark.read.parquet(path)
+    return None if found.isEmpty() else found
+
+
+def _parts(df: DataFrame, keys: list[str], hot: DataFrame, name: str) -> DataFrame:
+    """Attach the number of parts of each row's key; keys that are not hot have one.
+
+    The list is broadcast if it measures small; else adaptive execution splits this join.
+    """
+    size = hot.agg(F.sum(row_bytes(hot))).first()[0] or 0
+    lookup = F.broadcast(hot) if size <= BROADCAST_BYTES else hot
     joined = df.join(lookup, keys, "left")
     return joined.withColumn(name, F.coalesce("_parts", F.lit(1).cast("bigint"))).drop("_parts")
 
@@ -97,19 +100,19 @@ def split_join(
 
     A key hot on the left spreads its left rows over parts and repeats its right rows
     once per part, and the other way round, so every matching pair still meets in
-    exactly one place. Semi joins split only the left side: repeating left rows would
-    repeat them in the output.
+    exactly one place. Semi joins split only the left side, as repeating left rows would
+    repeat them in the output: use them where the right side has few rows for each key.
     """
     hot_left = hot_keys(left, keys, left_rows)
-    hot_right = hot_keys(right, keys, right_rows) if how == "inner" else []
+    hot_right = hot_keys(right, keys, right_rows) if how == "inner" else None
     on = list(keys)
-    if hot_left:
+    if hot_left is not None:
         on.append("_lpart")
         left = _parts(left, keys, hot_left, "_ln")
         left = left.withColumn("_lpart", _own_part(left, "_ln")).drop("_ln")
         right = _parts(right, keys, hot_left, "_ln")
         right = right.withColumn("_lpart", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_ln") - 1))).drop("_ln")
-    if hot_right:
+    if hot_right is not None:
         on.append("_rpart")
         right = _parts(right, keys, hot_right, "_rn")
         right = right.withColumn("_rpart", _own_part(right, "_rn")).drop("_rn")

@@ -178,10 +178,37 @@ def test_plan_is_an_equi_join(spark, world, broadcast_bytes, expected):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_hot_keys_are_bounded_and_measured(spark):
+def test_hot_keys_are_measured(spark):
     df = spark.range(1000).selectExpr("CASE WHEN id < 400 THEN 7 ELSE id END AS k")
-    assert keyed_join.hot_keys(df, ["k"], 100) == [(7, 4)]
-    assert keyed_join.hot_keys(df, ["k"], 400) == []
+    assert [tuple(r) for r in keyed_join.hot_keys(df, ["k"], 100).collect()] == [(7, 4)]
+    assert keyed_join.hot_keys(df, ["k"], 400) is None
+
+
+def test_any_number_of_hot_keys_is_split(spark):
+    df = spark.range(30_000).selectExpr("id % 6000 AS k", "id AS v")
+    assert keyed_join.hot_keys(df, ["k"], 2).count() == 6000
+    right = spark.range(6000).selectExpr("id AS k", "id AS r")
+    assert keyed_join.split_join(df, right, ["k"], None, left_rows=2).count() == 30_000
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 30, 0])
+@pytest.mark.parametrize("sizes", [1, 2, 5])
+def test_semi_join_keeps_repeated_rows(spark, broadcast_bytes, sizes):
+    """Every copy of a row inside a polygon is returned, whatever tile sizes are in use."""
+    squares = [(k, [[(float(x), float(y)) for x, y in square(0, 0, 4.0**k)]]) for k in range(sizes)]
+    polygons = spark.createDataFrame(squares, f"OBJECTID bigint, rings {RINGS}").select("OBJECTID", polygon("rings").alias("geometry"))
+    points = spark.createDataFrame([("a", 0.5, 0.5)] * 3 + [("b", 0.5, 0.5), ("c", -1.0, 0.5)], "__fid__ string, x double, y double")
+    points = points.select("__fid__", F.struct("x", "y").alias("geom"))
+    found = spatial_join(points, polygons, "contains", "left_semi", broadcast_bytes=broadcast_bytes, left_rows=2, right_rows=2)
+    assert sorted(r["__fid__"] for r in found.collect()) == ["a", "a", "a", "b"]
+
+
+def test_shuffled_places_are_thin(spark, world):
+    sites, polygons, _ = world
+    wide = sites.withColumn("payload", F.lit("p"))
+    plan = plan_of(spatial_join(wide, polygons, broadcast_bytes=0))
+    generated = [line for line in plan.split("\n\n") if "Generate" in line and "_level" in line]
+    assert generated and all("payload" not in line for line in generated)
 
 
 @pytest.mark.parametrize("how", ["inner", "left_semi"])
