@@ -33,14 +33,22 @@ def st_isempty(geom: Column, kind: str = "Point") -> Column:
     return F.when(geom.isNotNull(), empty)
 
 
+def let(name: str, value: str, body: str) -> str:
+    """SQL that evaluates ``value`` once and names it inside ``body``."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
 def polygon(rings: str) -> Column:
     """Attach the envelope to an array of rings; null rings give a null polygon."""
-    xs, ys = (f"transform(flatten({rings}), p -> p.{axis})" for axis in "xy")
-    return F.expr(
-        f"""CASE WHEN {rings} IS NOT NULL THEN named_struct('rings', {rings}, 'bbox', named_struct(
-              'xmin', array_min({xs}), 'ymin', array_min({ys}),
-              'xmax', array_max({xs}), 'ymax', array_max({ys}))) END"""
+    return F.expr(let("_rings", rings, _with_envelope("_rings")))
+
+
+def _with_envelope(rings: str) -> str:
+    ends = ", ".join(
+        f"'{axis}{fn}', array_{fn}(transform(_all, p -> p.{axis}))" for fn in ("min", "max") for axis in "xy"
     )
+    box = let("_all", f"flatten({rings})", f"named_struct({ends})")
+    return f"CASE WHEN {rings} IS NOT NULL THEN named_struct('rings', {rings}, 'bbox', {box}) END"
 
 
 def rectangle_rings(xmin: str, ymin: str, xmax: str, ymax: str) -> str:
@@ -151,25 +159,28 @@ _RINGS = "array<array<struct<x: double, y: double>>>"
 
 def wkt_point(text: str) -> Column:
     """``POINT (x y)`` / ``POINT(x y)`` / ``POINT EMPTY``; anything else is null."""
-    pattern = r"(?i)^\s*POINT\s*\(\s*([^\s,()]+)\s+([^\s,()]+)\s*\)\s*$"
-    x, y = (f"try_cast(regexp_extract({text}, r'{pattern}', {group}) AS DOUBLE)" for group in (1, 2))
-    return F.expr(
-        rf"""CASE WHEN {text} RLIKE r'(?i)^\s*POINT\s+EMPTY\s*$'
-                 THEN named_struct('x', CAST(NULL AS DOUBLE), 'y', CAST(NULL AS DOUBLE))
-               WHEN {text} RLIKE r'{pattern}' AND {x} IS NOT NULL AND {y} IS NOT NULL
-                 THEN named_struct('x', {x}, 'y', {y}) END"""
+    body = rf"regexp_extract({text}, r'(?i)^\s*POINT\s*\(([^()]*)\)\s*$', 1)"
+    ordinate = "try_cast(get(_pair, {}) AS DOUBLE)"
+    parsed = let(
+        "_xy",
+        f"named_struct('x', {ordinate.format(0)}, 'y', {ordinate.format(1)})",
+        rf"""CASE WHEN size(_pair) = 2 AND _xy.x IS NOT NULL AND _xy.y IS NOT NULL THEN _xy
+                 WHEN {text} RLIKE r'(?i)^\s*POINT\s+EMPTY\s*$'
+                 THEN named_struct('x', CAST(NULL AS DOUBLE), 'y', CAST(NULL AS DOUBLE)) END""",
     )
+    return F.expr(let("_pair", rf"split(trim({body}), r'\s+')", parsed))
 
 
 def wkt_polygon(text: str) -> Column:
     """``POLYGON ((x y, ...), (...))``; unclosed, short or unparsable rings give null."""
     body = rf"regexp_extract({text}, r'(?is)^\s*POLYGON\s*\(\s*\((.+)\)\s*\)\s*$', 1)"
-    ordinate = r"try_cast(get(split(trim(pair), r'\s+'), {}) AS DOUBLE)"
-    vertex = f"named_struct('x', {ordinate.format(0)}, 'y', {ordinate.format(1)})"
-    rings = rf"transform(split({body}, r'\)\s*,\s*\('), ring -> transform(split(ring, ','), pair -> {vertex}))"
-    parsed = rf"""CASE WHEN {text} RLIKE r'(?i)^\s*POLYGON\s+EMPTY\s*$' THEN CAST(array() AS {_RINGS})
-                      WHEN {body} <> '' AND {valid_rings(rings)} THEN {rings} END"""
-    return polygon(parsed)
+    ordinate = "try_cast(get(_ends, {}) AS DOUBLE)"
+    vertex = let("_ends", r"split(trim(pair), r'\s+')", f"named_struct('x', {ordinate.format(0)}, 'y', {ordinate.format(1)})")
+    rings = rf"transform(split(_body, r'\)\s*,\s*\('), ring -> transform(split(ring, ','), pair -> {vertex}))"
+    parsed = let("_read", rings, f"CASE WHEN {valid_rings('_read')} THEN _read END")
+    either = rf"""CASE WHEN _body <> '' THEN {parsed}
+                     WHEN {text} RLIKE r'(?i)^\s*POLYGON\s+EMPTY\s*$' THEN CAST(array() AS {_RINGS}) END"""
+    return polygon(let("_body", body, either))
 
 
 def valid_rings(rings: str) -> str:

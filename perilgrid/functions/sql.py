@@ -66,7 +66,8 @@ def register(spark: SparkSession) -> None:
 
     ``st_x, st_y, st_isempty, st_makeBBOX, st_contains, st_intersects, bbox`` work on the
     views of :func:`create_feature_view`. ``WIDTH_BUCKET_1`` is the bucket function under
-    a name of its own, since Spark has a built-in ``width_bucket`` with other edge cases.
+    a name of its own, since Spark has a built-in ``width_bucket`` with other edge cases and does
+    not let a SQL function replace it. For joins of large tables see :func:`create_spatial_join_view`.
     """
     g = f"g {GEOMETRY}"
     ab = f"a {GEOMETRY}, b {GEOMETRY}"
@@ -132,4 +133,26 @@ def register(spark: SparkSession) -> None:
     )
 
 
-__all__ = ["GEOMETRY", "create_feature_view", "register"]
+def create_spatial_join_view(
+    spark: SparkSession,
+    name: str,
+    points: str,
+    polygons: str,
+    predicate: str = "intersects",
+    how: str = "inner",
+    **options,
+) -> None:
+    """Temp view of the tile join of two tables or views, named as SQL sees them.
+
+    A join ``ON st_intersects(..)`` written in SQL is a nested loop; a view made here is an
+    equi-join on tiles, for inputs of any size. The sides are plain feature tables (not those of
+    :func:`create_feature_view`); ``options`` go to :func:`spatial_join`. The tiles are cut when the
+    view is created, so create it anew after the polygons change.
+    """
+    from perilgrid.operators.spatial_join import spatial_join
+
+    joined = spatial_join(spark.table(points), spark.table(polygons), predicate, how, **options)
+    joined.createOrReplaceTempView(name)
+
+
+__all__ = ["GEOMETRY", "create_feature_view", "create_spatial_join_view", "register"]

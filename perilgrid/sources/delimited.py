@@ -12,25 +12,31 @@ _NEVER = "\u0001"
 def read_lines(spark: SparkSession, path: str | list[str], header: bool) -> DataFrame:
     """Text lines as ``value``; with ``header`` the first line of every file is left out.
 
-    The header case goes through the CSV reader with quoting off and a delimiter that does
-    not occur, because that reader drops one line per file and still splits large files.
+    The header case goes through the CSV reader with quoting off and a delimiter that hardly
+    occurs, because that reader drops one line per file and still splits large files. A line
+    that holds the delimiter is more than the one column asked for and comes back whole from the
+    corrupt-record column. That reader takes blank lines for no records; without a header they
+    are lines like any other.
     """
     if not header:
-        return spark.read.text(path).where(F.col("value") != "")
+        return spark.read.text(path)
     return (
-        spark.read.schema("value string")
+        spark.read.schema("value string, _whole string")
+        .option("columnNameOfCorruptRecord", "_whole")
         .option("header", True)
+        .option("enforceSchema", True)
         .option("sep", _NEVER)
         .option("quote", "")
         .option("maxCharsPerColumn", -1)
         .csv(path)
-        .where(F.col("value").isNotNull())
+        .select(F.coalesce("_whole", "value", F.lit("")).alias("value"))
     )
 
 
 def read_fields(spark: SparkSession, path: str | list[str], header: bool, sep: str = "|") -> DataFrame:
     """``line`` and ``fields``: every field of each line, trailing empty ones included."""
-    pattern = sep if sep.isalnum() else "\\" + sep  # a single escaped character needs no regex engine
+    # a single escaped character needs no regex engine
+    pattern = sep if sep.isalnum() else "\\" + sep if len(sep) == 1 else f"\\Q{sep}\\E"
     lines = read_lines(spark, path, header)
     return lines.select(F.col("value").alias("line"), F.split("value", pattern, -1).alias("fields"))
 

@@ -29,7 +29,9 @@ def create_feature_table(spark: SparkSession, root: str, name: str, table: str |
 
 def read_feature_table(spark: SparkSession, root: str, name: str, table: str | None = None) -> DataFrame:
     """``__fid__`` and the declared attributes; the schema is given, so no file is opened to infer it."""
-    return spark.read.schema(_feature_type(name).table_schema).parquet(table_path(root, name, table))
+    schema = _feature_type(name).table_schema
+    stored = spark.read.schema(schema).parquet(table_path(root, name, table))
+    return stored.select(*[F.col(f"`{n}`") for n in schema.fieldNames()])  # directory columns come last as read
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:

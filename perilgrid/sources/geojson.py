@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perilgrid.functions.geometry import polygon, valid_rings
+from perilgrid.functions.geometry import let, polygon, valid_rings
 from perilgrid.schema import FeatureType
 
 _COORDINATES = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
@@ -33,36 +33,48 @@ def feature_schema(feature_type: FeatureType) -> T.StructType:
 def read_features(spark: SparkSession, path: str | list[str], feature_type: FeatureType, layout: str) -> DataFrame:
     """One row per feature with columns ``type, id, properties, geometry``.
 
-    ``lines``: one feature per line, as in newline-delimited GeoJSON or a collection that
-    was written with one feature per line (its opening and closing lines are skipped and a
-    trailing comma is ignored). Files of any size are split over tasks. A line that is not
-    a feature gives a row of nulls, so it can be counted.
+    ``lines``: one feature per line, as in newline-delimited GeoJSON or a collection written with
+    one feature per line and its other members on lines of their own. Files of any size are split
+    over tasks. Lines that can only be part of a collection's frame are skipped; any other line
+    that is not a feature, a cut-off one included, gives a row of nulls, so it is counted.
     ``collection``: a FeatureCollection document per file, spread over tasks by file; use
-    it for many moderate files and ``lines`` for large ones.
+    it for many moderate files and ``lines`` for large ones. A document that cannot be read gives
+    one row of nulls.
     """
     schema = feature_schema(feature_type)
     if layout == "lines":
         text = F.regexp_replace(F.trim("value"), r",\s*$", "")
-        wrapper = text.rlike(r'^\{[^{}]*"features"\s*:\s*\[\s*$') | text.rlike(r"^\]\s*[,}]") | (text == "")
         return (
             spark.read.text(path)
-            .where(~wrapper)
+            .where(~text.rlike(_FRAME))
             .select(F.from_json(text, schema, {"mode": "PERMISSIVE"}).alias("f"))
             .select("f.*")
         )
     if layout == "collection":
         document = T.StructType([T.StructField("features", T.ArrayType(schema))])
+        one_null = F.array(F.lit(None).cast(schema))
         return (
             spark.read.schema(document)
             .option("multiLine", True)
             .json(path)
-            .select(F.explode("features").alias("f"))
+            .select(F.explode(F.coalesce("features", one_null)).alias("f"))
             .select("f.*")
         )
     raise ValueError(f"unknown layout {layout!r}")
 
 
+# A line of a collection that holds no feature: brackets and commas, a member of the collection
+# (its name in quotes first), or the opening with its members up to the list of features.
+_FRAME = (
+    r'^[\[\]{}\s,]*$'
+    r'|^"(?:[^"\\]|\\.)*"\s*:'
+    r'|^\{\s*"type"\s*:\s*"FeatureCollection"'
+    r'|^\{[^{}]*"features"\s*:\s*\[\s*$'
+    r'|^\]\s*[,}]'
+)
+
+
 def feature_polygon() -> Column:
     """Polygon of a feature row; null unless it is a Polygon with closed, complete rings."""
     rings = "transform(geometry.coordinates, r -> transform(r, p -> named_struct('x', get(p, 0), 'y', get(p, 1))))"
-    return polygon(f"CASE WHEN geometry.type = 'Polygon' AND {valid_rings(rings)} THEN {rings} END")
+    return polygon(f"CASE WHEN geometry.type = 'Polygon' THEN {let('_read', rings, f'CASE WHEN {valid_rings("_read")} THEN _read END')} END")

@@ -20,11 +20,17 @@ SHAPE_FIELD = 6
 WITH_HEADER = ("siteexposure_event", "nzgrid_event")
 
 
+def _key(key_columns: list[str]) -> Column:
+    """Feature id from key columns: one as it is, several each with its length; null if any is."""
+    texts = [F.col(f"`{c}`").cast("string") for c in key_columns]
+    if len(texts) == 1:
+        return texts[0]
+    return F.concat(*[F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts])
+
+
 def _fid(key_columns: list[str] | None) -> Column:
     """Feature id from the named columns, or a hash of the whole line."""
-    if key_columns:
-        return F.concat_ws("-", *[F.col(f"`{c}`").cast("string") for c in key_columns])
-    return F.sha2("line", 256)
+    return _key(key_columns) if key_columns else F.sha2("line", 256)
 
 
 def _typed(rows: DataFrame, schema: T.StructType, geometries: dict[str, Column], dropped: int) -> DataFrame:
@@ -51,8 +57,8 @@ def ingest_text(
 ) -> DataFrame:
     """Read a text table as feature rows: ``__fid__``, attributes, ``_ok`` (and ``geo_valid``).
 
-    ``_ok`` is false for lines with more fields than the table has, and for lines whose
-    geometry text does not parse. Short lines load with nulls at the end. For site
+    ``_ok`` is false for blank lines, for lines with more fields than the table has, whose
+    geometry text does not parse, or with a null key column. Short lines load with nulls at the end. For site
     exposure an unparsable latitude or longitude becomes 0.0, coordinates out of range
     stay and are marked in ``geo_valid``, and a line that ends before the longitude is
     not ok. ``legacy_drop_tail`` leaves the last two fields of a site line unloaded.
@@ -80,7 +86,9 @@ def ingest_text(
                 geometries[f.name] = wkt_point(field(index, T.StringType()))
     text_fields = len(schema) - 2 if is_site else len(schema)
     typed = _typed(rows, schema, geometries, dropped=2 if legacy_drop_tail else 0)
-    ok = n_fields <= text_fields
+    ok = (n_fields <= text_fields) & (F.trim("line") != "")
+    for key in key_columns or []:
+        ok = ok & F.col(f"`{key}`").isNotNull()
     for geometry in geometries:
         ok = ok & F.col(f"`{geometry}`").isNotNull()
     columns = [_fid(key_columns).alias(FID), *[F.col(f"`{f.name}`") for f in schema]]
@@ -112,8 +120,8 @@ def ingest_geojson(
     rows = features.select(
         F.coalesce("id", content).alias("_own_id"), (F.col("type") == "Feature").alias("_feature"), *attributes
     )
-    fid = F.concat_ws("-", *[F.col(f"`{c}`").cast("string") for c in key_columns]) if key_columns else F.col("_own_id")
-    ok = F.coalesce(F.col("_feature") & F.col(f"`{geom}`").isNotNull(), F.lit(False))
+    fid = _key(key_columns) if key_columns else F.col("_own_id")
+    ok = F.coalesce(F.col("_feature") & F.col(f"`{geom}`").isNotNull(), F.lit(False)) & fid.isNotNull()
     return rows.select(fid.alias(FID), *[F.col(f"`{f.name}`") for f in feature_type.schema], ok.alias("_ok"))
 
 

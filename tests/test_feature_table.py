@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from perilgrid.functions.geometry import Box
 from perilgrid.functions.sql import create_feature_view, register
 from perilgrid.plans import inputs, reports
-from perilgrid.schema import FID
+from perilgrid.schema import FEATURE_TYPES, FID
 from perilgrid.session import new_dir
 from perilgrid.sources.feature_table import conform, export_csv, read_feature_table, write_feature_table
 from tests.conftest import SF_DIR, plan_of
@@ -57,6 +57,7 @@ def test_partitioned_directories(spark):
     write_feature_table(rows, root, "txmsitehexbinevent", partition_by=["lod"])
     back = read_feature_table(spark, root, "txmsitehexbinevent").where("lod = 2")
     assert back.count() == 25
+    assert back.columns == [FID, *FEATURE_TYPES["txmsitehexbinevent"].schema.fieldNames()]
     assert re.search(r"PartitionFilters: \[isnotnull\(lod.*lod.* = 2", plan_of(back))
 
 
@@ -91,3 +92,11 @@ def test_box_scan_equals_filter(spark, stored):
     df = read_feature_table(spark, stored, "siteexposure_event")
     inside = df.where("geom.x > -96 AND geom.x < -94 AND geom.y > 29 AND geom.y < 31").count()
     assert df.where(Box(-94, 31, -96, 29).contains(F.col("geom"))).count() == inside
+
+
+def test_saved_reports_have_unique_ids(spark):
+    from perilgrid.plans.catalog import QUERIES
+
+    for name in ("grid_enrich_saved", "hex_bin_saved"):
+        saved = QUERIES[name](spark, SF_DIR)
+        assert saved.select(FID).distinct().count() == saved.count() > 0

@@ -47,7 +47,7 @@ def test_one_header_per_file(spark, tmp_path):
 def test_site_row(spark, text_file):
     path = text_file("header", site_line(cov1val="12.5", premium="NULL", currency="NULL", lob1="", blg_num="x7", s_udf_attr10="tail", site_comments="note"))
     row = ingest.ingest_text(spark, path, SITE, ["portfolio_id", "site_id"]).first()
-    assert row[FID] == "3-s1" and row["_ok"] and row.geo_valid
+    assert row[FID] == "1:32:s1" and row["_ok"] and row.geo_valid
     assert tuple(row.geom) == (-97.5, 31.5) and tuple(row.shapegeom) == (-97.5, 31.5)
     assert (row.cov1val, row.premium, row.currency, row.lob1, row.blg_num) == (12.5, None, "NULL", "", None)
     assert (row.s_udf_attr10, row.site_comments) == ("tail", "note")
@@ -167,6 +167,46 @@ def test_geojson_one_feature_per_line(spark, text_file):
     assert sorted(r[FID] for r in plain.collect()) == ["1", "2", "3", "4", "5"]
 
 
+def test_geojson_common_layout(spark, text_file):
+    lines = ["{", '"type": "FeatureCollection",', '"name": "fires",', '"crs": { "type": "name", "properties": { "name": "CRS84" } },', '"features": [']
+    lines += [json.dumps(f) + "," for f in FEATURES[:-1]] + [json.dumps(FEATURES[-1]), "]", "}"]
+    df = ingest.ingest_geojson(spark, text_file(*lines), layout="lines")
+    check_features(df)
+    assert tuple(ingest.quality_counts(df).first()) == (2, 3)
+
+
+def test_geojson_broken_document_is_counted(spark, text_file):
+    whole = json.dumps({"type": "FeatureCollection", "features": FEATURES})
+    df = ingest.ingest_geojson(spark, text_file(whole[: len(whole) // 2]), layout="collection")
+    assert tuple(ingest.quality_counts(df).first())[1] >= 1
+    empty = text_file(json.dumps({"type": "FeatureCollection", "features": []}), name="empty.json")
+    assert tuple(ingest.quality_counts(ingest.ingest_geojson(spark, empty, layout="collection")).first()) == (0, 0)
+
+
+def test_control_characters_and_blank_lines(spark, text_file):
+    with_header = ingest.ingest_text(spark, text_file("h|v", "2|2\u00010", "3|30"), "hexzoomevent", ["zoom_id"], header=True)
+    assert {r.zoom_id: r.zoom_value for r in with_header.collect()} == {2: None, 3: 30}
+    plain = ingest.ingest_text(spark, text_file("1|10", "", "  ", "x|5", name="p.txt"), "hexzoomevent", ["zoom_id"])
+    assert tuple(ingest.quality_counts(plain).first()) == (1, 3)
+
+
+def test_key_columns_do_not_collide(spark, text_file):
+    lines = [site_line(account_id="a-b", site_id="c"), site_line(account_id="a", site_id="b-c"), site_line(site_id="s")]
+    path = text_file("header", *lines, site_line(sitenum="n").replace("|s1|", "||"))
+    rows = ingest.ingest_text(spark, path, SITE, ["account_id", "site_id"]).collect()
+    assert len({r[FID] for r in rows}) == 4
+
+
+def test_null_keys_fail(spark, text_file):
+    df = ingest.ingest_text(spark, text_file("x|5", "1|5"), "hexzoomevent", ["zoom_id", "zoom_value"])
+    assert {(r[FID], r["_ok"]) for r in df.collect()} == {(None, False), ("1:11:5", True)}
+
+
+def test_separator_of_several_characters(spark, text_file):
+    rows = read_fields(spark, text_file("a||b|c", "||"), header=False, sep="||").collect()
+    assert [r.fields for r in rows] == [["a", "b|c"], ["", ""]]
+
+
 def test_geojson_garbage_lines_are_counted(spark, text_file):
     df = ingest.ingest_geojson(spark, text_file(json.dumps(FEATURES[0]), '{"type": "Feature", "prop', "not json"))
     assert tuple(ingest.quality_counts(df).first()) == (1, 2)
