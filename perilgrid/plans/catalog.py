@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from perilgrid.functions import geometry as g
 from perilgrid.functions.sql import create_feature_view, register
 from perilgrid.operators import hexbin
+from perilgrid.operators.rollup import sum_and_avg
+from perilgrid.operators.spatial_join import spatial_join
 from perilgrid.plans import inputs, reports
 from perilgrid.plans.oracles import BUCKETS, HISTOGRAM_PORTFOLIO, LOOKUP_SITE, PORTFOLIO
 from perilgrid.schema import FEATURE_TYPES, FID
@@ -71,26 +73,24 @@ def scan_attr_filter(spark, sf_dir):
     return reports.portfolio_scan(inputs.sites(spark, sf_dir), PORTFOLIO).select(*_site_columns())
 
 
-def _footprint_summary(footprints: DataFrame) -> DataFrame:
-    box = F.col("geometry.bbox")
-    return footprints.select(
-        "OBJECTID",
-        "FIRE_NAME",
-        "ACRES",
-        F.expr(f"size({g.edges('geometry')})").cast("bigint").alias("n_edges"),
-        F.size("geometry.rings").cast("bigint").alias("n_rings"),
-        *[box[n].alias(n) for n in ("xmin", "ymin", "xmax", "ymax")],
-    )
+def _footprint_edges(footprints: DataFrame) -> DataFrame:
+    """Every ring segment with its place in the polygon."""
+    rings = footprints.select("OBJECTID", "FIRE_NAME", "ACRES", F.posexplode("geometry.rings").alias("ring", "_points"))
+    ends = F.posexplode(F.expr("slice(_points, 1, size(_points) - 1)")).alias("seq", "_from")
+    return rings.select("*", ends).selectExpr(
+        "OBJECTID", "FIRE_NAME", "ACRES", "ring", "seq", "_from.x AS x0", "_from.y AS y0",
+        "_points[seq + 1].x AS x1", "_points[seq + 1].y AS y1",
+    )
 
 
 @query
 def scan_footprints(spark, sf_dir):
-    return _footprint_summary(inputs.footprints(spark, sf_dir))
+    return _footprint_edges(inputs.footprints(spark, sf_dir))
 
 
 @query
 def footprint_head(spark, sf_dir):
-    return reports.footprint_head(inputs.footprints(spark, sf_dir))
+    return reports.footprint_head(inputs.footprints(spark, sf_dir), below=100, n=10)
 
 
 @query
@@ -105,12 +105,12 @@ def count_losses(spark, sf_dir):
 
 @query
 def bbox_lookup(spark, sf_dir):
-    return reports.box_lookup(inputs.sites(spark, sf_dir))
+    return reports.box_lookup(inputs.sites(spark, sf_dir), n=5)
 
 
 @query
 def bbox_lookup_all(spark, sf_dir):
-    return reports.box_lookup(inputs.sites(spark, sf_dir), n=None)
+    return reports.box_lookup(inputs.sites(spark, sf_dir))
 
 
 @query
@@ -153,8 +153,9 @@ def grid_count_sql(spark, sf_dir):
     create_feature_view(inputs.sites(spark, sf_dir), "siteexposure_event")
     create_feature_view(inputs.grid(spark, sf_dir), "nzgrid_event")
     return spark.sql(
-        "SELECT count(*) AS n FROM siteexposure_event se, nzgrid_event nze "
-        "WHERE try_cast(se.nz_grid_id AS BIGINT) = nze.nz_grid_id AND st_intersects(se.geom, nze.SHAPE)"
+        """SELECT count(*) AS n FROM nzgrid_event AS cell
+           JOIN siteexposure_event AS site ON cell.nz_grid_id = try_cast(site.nz_grid_id AS BIGINT)
+           WHERE st_intersects(cell.SHAPE, site.geom)"""
     )
 
 
@@ -166,8 +167,11 @@ def grid_enrich(spark, sf_dir):
 @query
 def grid_enrich_saved(spark, sf_dir):
     root = new_dir(spark, "grid")
-    write_feature_table(grid_enrich(spark, sf_dir), root, "txmsiteexposureevent")
-    return read_feature_table(spark, root, "txmsiteexposureevent").drop(FID)
+    found = reports.grid_match(inputs.sites(spark, sf_dir, heavy=True), inputs.grid(spark, sf_dir))
+    # a site lies in one cell, so its id is that of the derived row too
+    rows = found.select(FID, "portfolio_id", "site_id", "g_country_id", "geo_unit_id")
+    write_feature_table(rows, root, "txmsiteexposureevent")
+    return read_feature_table(spark, root, "txmsiteexposureevent")
 
 
 # --- footprints ----------------------------------------------------------------------------
@@ -195,6 +199,28 @@ def fire_semi_join(spark, sf_dir):
     return reports.sites_in_footprints(inputs.sites(spark, sf_dir, heavy=True), inputs.footprints(spark, sf_dir))
 
 
+@query
+def fire_exposure_shuffled(spark, sf_dir):
+    """The join that neither broadcasts tiles nor trusts keys to be small."""
+    pairs = spatial_join(
+        inputs.sites(spark, sf_dir, heavy=True).select("portfolio_id", "s_udf_met1", FID, "geom"),
+        inputs.footprints(spark, sf_dir).select("geometry"),
+        broadcast_bytes=0,
+        left_rows=20_000,
+        right_rows=50,
+    )
+    return pairs.groupBy("portfolio_id").agg(
+        *sum_and_avg(F.sum("s_udf_met1"), F.count("s_udf_met1"), "s_udf_met1", DIGITS)
+    )
+
+
+@query
+def fire_semi_join_repeated(spark, sf_dir):
+    sites = inputs.sites(spark, sf_dir, heavy=True)
+    twice = sites.unionByName(sites.where("CAST(site_id AS BIGINT) % 3 = 0"))
+    return reports.sites_in_footprints(twice, inputs.footprints(spark, sf_dir))
+
+
 @query
 def fire_lookup_site(spark, sf_dir):
     return reports.footprints_at_site(inputs.sites(spark, sf_dir), inputs.footprints(spark, sf_dir), LOOKUP_SITE)
@@ -241,27 +267,27 @@ def cov_bucket(spark, sf_dir):
 @query
 def cov_bucket_sql(spark, sf_dir):
     register(spark)
-    reports.coverage_max(inputs.sites(spark, sf_dir)).createOrReplaceTempView("myview")
+    reports.coverage_max(inputs.sites(spark, sf_dir)).createOrReplaceTempView("site_coverage")
     first, last, n = BUCKETS
-    return spark.sql(
-        f"SELECT portfolio_id, site_id, max_10, WIDTH_BUCKET_1(max_10, {first}D, {last}D, {n}) AS BIN FROM myview"
-    )
+    bucket = f"WIDTH_BUCKET_1(c.max_10, {first}D, {last}D, {n})"
+    return spark.sql(f"SELECT c.*, {bucket} AS BIN FROM site_coverage AS c")
 
 
 @query
 def cov_histogram(spark, sf_dir):
-    return reports.coverage_histogram(inputs.sites(spark, sf_dir), *BUCKETS, portfolio_id=HISTOGRAM_PORTFOLIO)
+    return reports.coverage_histogram(inputs.sites(spark, sf_dir), *BUCKETS, portfolio_id=HISTOGRAM_PORTFOLIO, n=100)
 
 
 @query
 def cov_histogram_alias(spark, sf_dir):
     register(spark)
-    reports.coverage_max(inputs.sites(spark, sf_dir)).createOrReplaceTempView("myview")
+    reports.coverage_max(inputs.sites(spark, sf_dir)).createOrReplaceTempView("site_coverage")
     first, last, n = BUCKETS
     return spark.sql(
-        f"""SELECT min(max_10) AS MIN_VAL, max(max_10) AS MAX_VAL,
-            WIDTH_BUCKET_1(max_10, {first}D, {last}D, {n}) AS BIN, count(1) AS FREQUENCY
-            FROM myview GROUP BY BIN ORDER BY BIN"""
+        f"""FROM site_coverage AS c
+            SELECT WIDTH_BUCKET_1(c.max_10, {first}D, {last}D, {n}) AS BIN,
+                   count(*) AS FREQUENCY, min(c.max_10) AS MIN_VAL, max(c.max_10) AS MAX_VAL
+            GROUP BY BIN ORDER BY BIN"""
     )
 
 
@@ -333,8 +359,17 @@ def hex_bin(spark, sf_dir):
 @query
 def hex_bin_saved(spark, sf_dir):
     root = new_dir(spark, "hex")
-    write_feature_table(hex_bin(spark, sf_dir), root, "txmsitehexbinevent", partition_by=["lod"])
-    return read_feature_table(spark, root, "txmsitehexbinevent").drop(FID)
+    chosen = reports.portfolio_scan(inputs.sites(spark, sf_dir, heavy=True), PORTFOLIO).select(FID, *_SITE, "geom")
+    binned = hexbin.hex_steps(chosen, inputs.zooms(spark, sf_dir))
+    rows = binned.select(F.concat_ws("/", FID, "lod").alias(FID), *_SITE, "lod", "arow", "acol")
+    write_feature_table(rows, root, "txmsitehexbinevent", partition_by=["lod"])
+    return read_feature_table(spark, root, "txmsitehexbinevent")
+
+
+@query
+def hex_bin_all(spark, sf_dir):
+    """Every portfolio, every row."""
+    return hexbin.hex_bin(inputs.sites(spark, sf_dir, heavy=True), inputs.zooms(spark, sf_dir))
 
 
 @query
@@ -393,8 +428,8 @@ def ingest_nzgrid(spark, sf_dir):
     return loaded.select(
         "OBJECTID", "nz_grid_id", "g_country_id", "geo_unit_id", "minx", "miny", "maxx", "maxy",
         *[box[n].alias(n) for n in ("xmin", "ymin", "xmax", "ymax")],
-        F.size(F.flatten("SHAPE.rings")).alias("n_vertices"),
-    )
+        F.posexplode(F.flatten("SHAPE.rings")).alias("seq", "_p"),
+    ).select("*", "_p.x", "_p.y").drop("_p")
 
 
 @query
@@ -405,24 +440,20 @@ def ingest_hex_zoom(spark, sf_dir):
 @query
 def ingest_policy_exposure(spark, sf_dir):
     loaded = _through_text(spark, inputs.policies(spark, sf_dir), "policyexposureevent", ["policy_id"])
-    return loaded.select(
-        "portfolio_id", "policy_id", "account_id", F.col("premium").cast("double").alias("premium"), "policy_bl_grosslimit"
-    )
+    return loaded.drop(FID).withColumn("premium", F.col("premium").cast("double"))
 
 
 @query
 def ingest_portfolio_account(spark, sf_dir):
-    loaded = _through_text(spark, inputs.accounts(spark, sf_dir), "portfolioaccountevent", ["account_id"])
-    return loaded.select("account_id", "account_name", "division", "a_udf_met1")
+    return _through_text(spark, inputs.accounts(spark, sf_dir), "portfolioaccountevent", ["account_id"]).drop(FID)
 
 
 @query
 def ingest_site_loss(spark, sf_dir):
-    loaded = _through_text(spark, inputs.losses(spark, sf_dir), "sitelossanalyzevent", None)
-    return loaded.select("portfolio_id", "analysis_id", "site_id", "account_id", "gross_loss", "damage_loss", "net_loss")
+    return _through_text(spark, inputs.losses(spark, sf_dir), "sitelossanalyzevent", None).drop(FID)
 
 
-def _feature_lines(footprints: DataFrame) -> DataFrame:
+def _feature_lines(footprints: DataFrame, *others: str) -> DataFrame:
     """One GeoJSON feature per row."""
     scalars = [f.name for f in FEATURE_TYPES["wildfireevent"].schema if f.name in footprints.columns and f.name != "geometry"]
     coordinates = F.transform(
@@ -432,7 +463,7 @@ def _feature_lines(footprints: DataFrame) -> DataFrame:
     feature = F.struct(
         F.lit("Feature").alias("type"), F.struct(*[F.col(f"`{c}`") for c in scalars]).alias("properties"), shape.alias("geometry")
     )
-    return footprints.select(F.to_json(feature).alias("value"))
+    return footprints.select(*others, F.to_json(feature).alias("value"))
 
 
 @query
@@ -441,7 +472,34 @@ def ingest_wildfire_geojson(spark, sf_dir):
     _feature_lines(inputs.footprints(spark, sf_dir)).write.text(f"{root}/source")
     rows = ingest.ingest_geojson(spark, f"{root}/source", key_columns=["OBJECTID"])
     ingest.load(rows, root, "wildfireevent", quarantine=f"{root}/quarantine")
-    return _footprint_summary(read_feature_table(spark, root, "wildfireevent"))
+    return _footprint_edges(read_feature_table(spark, root, "wildfireevent"))
+
+
+@query
+def ingest_geojson_collection(spark, sf_dir):
+    """Collections in the common layout, members and brackets on lines of their own; some features are cut off."""
+    root = new_dir(spark, "collections")
+    lines = _feature_lines(inputs.footprints(spark, sf_dir), "OBJECTID")
+    whole = F.when(F.col("OBJECTID") % 9 == 4, F.substring("value", 1, 60)).otherwise(F.col("value"))
+    grouped = lines.groupBy(F.floor(F.col("OBJECTID") / 50)).agg(F.array_join(F.collect_list(whole), ",\n").alias("value"))
+    head = '{\n"type": "FeatureCollection",\n"name": "fires",\n"crs": { "type": "name", "properties": { "name": "CRS84" } },\n"features": [\n'
+    grouped.select(F.concat(F.lit(head), "value", F.lit("\n]\n}"))).write.text(f"{root}/source")
+    rows = ingest.ingest_geojson(spark, f"{root}/source", key_columns=["OBJECTID"])
+    ingest.load(rows, root, "wildfireevent", quarantine=f"{root}/quarantine")
+    return _footprint_edges(read_feature_table(spark, root, "wildfireevent"))
+
+
+@query
+def ingest_text_counts(spark, sf_dir):
+    """Blank lines, lines with a stray control character and lines with too many fields fail."""
+    key = F.col("p_partkey").cast("string")
+    kind = F.col("p_partkey") % 7
+    stray, long = F.concat(key, F.lit("\u00010|5")), F.concat(key, F.lit("|5|6"))
+    value = F.when(kind == 0, F.lit("")).when(kind == 1, stray).when(kind == 2, long).otherwise(F.concat(key, F.lit("|5")))
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    source = new_dir(spark, "lines")
+    parts.select(value.alias("value")).write.text(source)
+    return ingest.quality_counts(ingest.ingest_text(spark, source, "hexzoomevent", ["zoom_id"]))
 
 
 @query

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from perilgrid.functions.geometry import polygon, rectangle_rings
-from perilgrid.schema import FID
+from perilgrid.schema import FEATURE_TYPES, FID
 
 # --- expressions shared with the oracle --------------------------------------------------
 
@@ -23,8 +23,10 @@ _LAT = (
 )
 _SITE_ID = "CAST(l_orderkey * 10 + l_linenumber AS STRING)"
 # lines numbered 7 name the neighbouring cell on purpose: the spatial test must reject them
+# cells are 1/side degrees wide, 10 * side of them in a row from the south-west corner of the area
 _GRID_ID = (
-    "CAST(CAST(floor(lat) AS BIGINT) * 10 - 270 + CAST(floor(lon) AS BIGINT) + 100"
+    "CAST(CAST(floor((lat - CAST(27 AS DOUBLE)) * side) AS BIGINT) * (10 * side)"
+    " + CAST(floor((lon + CAST(100 AS DOUBLE)) * side) AS BIGINT)"
     " + CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END AS STRING)"
 )
 SITE_COLUMNS = {
@@ -42,27 +44,55 @@ SITE_COLUMNS = {
     "cov4val": "l_extendedprice * l_tax",
     "s_udf_met1": "l_extendedprice",
 }
-LOSS_COLUMNS = {
-    "portfolio_id": "51320 + l_suppkey % 10",
-    "analysis_id": "CAST(l_linenumber AS BIGINT)",
-    "site_id": _SITE_ID,
-    "account_id": "CAST(l_suppkey AS STRING)",
-    "gross_loss": "l_extendedprice * CAST(0.01 AS DOUBLE)",
-    "damage_loss": "l_extendedprice * CAST(0.012 AS DOUBLE)",
-    "net_loss": "l_extendedprice * CAST(0.008 AS DOUBLE)",
-}
-LOSS_FILTER = "l_linenumber <= 3"  # losses exist for some sites only, so the left join has misses
+
+
+def _filled(feature: str, row: str, given: dict[str, str]) -> dict[str, str]:
+    """Every attribute of a feature type: the given ones, the others made from the row number.
+
+    Made numbers are null on some rows; made texts are not, as a text file cannot tell an empty
+    string from a missing one.
+    """
+    columns = {}
+    for k, field in enumerate(FEATURE_TYPES[feature].schema, 2):
+        kind = field.dataType.simpleString()
+        made = {
+            "bigint": f"CASE WHEN ({row} + {k}) % 11 <> 0 THEN ({row} * {k}) % 977 END",
+            "double": f"CASE WHEN ({row} + {k}) % 13 <> 0 THEN CAST(({row} * {k}) % 1009 AS DOUBLE) / CAST(8 AS DOUBLE) END",
+            "string": f"concat('{field.name} ', CAST({row} % {50 + k} AS STRING))",
+        }
+        columns[field.name] = given.get(field.name) or made[kind]
+    return columns
+
+
+# lines 4 to 7 name another site or none, so the left join has misses and sites with several losses
+LOSS_COLUMNS = _filled(
+    "sitelossanalyzevent",
+    "l_orderkey",
+    {
+        "portfolio_id": "51320 + l_suppkey % 10",
+        "analysis_id": "CAST(l_linenumber AS BIGINT)",
+        "site_id": "CAST(l_orderkey * 10 + l_linenumber + CASE WHEN l_linenumber > 3 THEN 5 ELSE 0 END AS STRING)",
+        "account_id": "CAST(l_suppkey AS STRING)",
+        "gross_loss": "l_extendedprice * CAST(0.01 AS DOUBLE)",
+        "damage_loss": "l_extendedprice * CAST(0.012 AS DOUBLE)",
+        "net_loss": "l_extendedprice * CAST(0.008 AS DOUBLE)",
+    },
+)
+_CELL_X = "CAST(p_partkey % (10 * side){} AS DOUBLE) / CAST(side AS DOUBLE) + CAST(-100 AS DOUBLE)"
+_CELL_Y = "CAST(CAST(floor(p_partkey / CAST(10 * side AS DOUBLE)) AS BIGINT){} AS DOUBLE) / CAST(side AS DOUBLE) + CAST(27 AS DOUBLE)"
 GRID_COLUMNS = {
     "OBJECTID": "p_partkey",
     "nz_grid_id": "p_partkey",
     "g_country_id": "CAST(840 AS BIGINT)",
     "geo_unit_id": "1000 + p_partkey",
-    "minx": "CAST(p_partkey % 10 - 100 AS DOUBLE)",
-    "maxx": "CAST(p_partkey % 10 - 99 AS DOUBLE)",
-    "miny": "CAST(floor(p_partkey / CAST(10 AS DOUBLE)) + 27 AS DOUBLE)",
-    "maxy": "CAST(floor(p_partkey / CAST(10 AS DOUBLE)) + 28 AS DOUBLE)",
+    "minx": _CELL_X.format(""),
+    "maxx": _CELL_X.format(" + 1"),
+    "miny": _CELL_Y.format(""),
+    "maxy": _CELL_Y.format(" + 1"),
 }
-GRID_FILTER = "p_partkey < 80"  # the 10 x 8 one-degree cells that tile the whole site area
+# the largest side at which the rows of ``part`` tile the whole 10 x 8 degree area; the rest of
+# them continues to the north
+GRID_SIDE = "CAST(greatest(1, floor(sqrt(count(*) / CAST(80 AS DOUBLE)))) AS BIGINT)"
 ZOOM_COLUMNS = {
     "zoom_id": "p_partkey",
     "zoom_value": "CAST(floor(CAST(1565430 AS DOUBLE) / power(CAST(2 AS DOUBLE), CAST(p_partkey AS DOUBLE))) AS BIGINT)",
@@ -76,19 +106,27 @@ FOOTPRINT_COLUMNS = {
     "cy": "CAST(27 AS DOUBLE) + CAST((s_suppkey * 211) % 800 AS DOUBLE) / CAST(100 AS DOUBLE)",
     "r": "CAST(20 + 15 * (s_suppkey % 5) AS DOUBLE) / CAST(100 AS DOUBLE)",
 }
-POLICY_COLUMNS = {
-    "portfolio_id": "51320 + o_custkey % 10",
-    "policy_id": "o_orderkey",
-    "account_id": "o_custkey",
-    "premium": "CAST(o_totalprice AS STRING)",
-    "policy_bl_grosslimit": "o_totalprice",
-}
-ACCOUNT_COLUMNS = {
-    "account_id": "c_custkey",
-    "account_name": "c_name",
-    "division": "c_mktsegment",
-    "a_udf_met1": "c_acctbal",
-}
+POLICY_COLUMNS = _filled(
+    "policyexposureevent",
+    "o_orderkey",
+    {
+        "portfolio_id": "51320 + o_custkey % 10",
+        "policy_id": "o_orderkey",
+        "account_id": "o_custkey",
+        "premium": "CAST(o_totalprice AS STRING)",
+        "policy_bl_grosslimit": "o_totalprice",
+    },
+)
+ACCOUNT_COLUMNS = _filled(
+    "portfolioaccountevent",
+    "c_custkey",
+    {
+        "account_id": "c_custkey",
+        "account_name": "c_name",
+        "division": "c_mktsegment",
+        "a_udf_met1": "c_acctbal",
+    },
+)
 
 # outer ring and hole of a footprint as multiples of its radius, closed
 STAR = (
@@ -120,19 +158,27 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
+def _side(spark: SparkSession, sf_dir: str) -> str:
+    side = _table(spark, sf_dir, "part").selectExpr(f"{GRID_SIDE} AS side").first()["side"]
+    return f"{side}L AS side"
+
+
 def sites(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Site exposure; ``heavy`` asks for enough partitions to keep every core busy."""
     lines = _table(spark, sf_dir, "lineitem")
-    located = (spread(lines) if heavy else lines).selectExpr("*", f"{_LON} AS lon", f"{_LAT} AS lat")
+    located = (spread(lines) if heavy else lines).selectExpr(
+        "*", f"{_LON} AS lon", f"{_LAT} AS lat", _side(spark, sf_dir)
+    )
     return located.selectExpr(*_projection(SITE_COLUMNS), "named_struct('x', lon, 'y', lat) AS geom")
 
 
 def losses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "lineitem").where(LOSS_FILTER).selectExpr(*_projection(LOSS_COLUMNS))
+    return _table(spark, sf_dir, "lineitem").selectExpr(*_projection(LOSS_COLUMNS))
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = _table(spark, sf_dir, "part").where(GRID_FILTER).selectExpr(*_projection(GRID_COLUMNS))
+    rows = _table(spark, sf_dir, "part").selectExpr("p_partkey", _side(spark, sf_dir))
+    cells = rows.selectExpr(*_projection(GRID_COLUMNS))
     return cells.withColumn("SHAPE", polygon(rectangle_rings("minx", "miny", "maxx", "maxy")))
 
 
@@ -181,11 +227,12 @@ def _edge_rows() -> str:
 ORACLE_VIEWS = {
     "sites": _select(
         SITE_COLUMNS,
-        f"(SELECT *, {_LON} AS lon, {_LAT} AS lat FROM lineitem) t",
+        f"(SELECT *, {_LON} AS lon, {_LAT} AS lat FROM lineitem CROSS JOIN side) t",
         extra=", lon AS geom_x, lat AS geom_y",
     ),
-    "losses": _select(LOSS_COLUMNS, "lineitem", LOSS_FILTER),
-    "grid": _select(GRID_COLUMNS, "part", GRID_FILTER),
+    "side": f"SELECT {GRID_SIDE} AS side FROM part",
+    "losses": _select(LOSS_COLUMNS, "lineitem"),
+    "grid": _select(GRID_COLUMNS, "part CROSS JOIN side"),
     "zooms": _select(ZOOM_COLUMNS, "part", ZOOM_FILTER),
     "footprints": _select(FOOTPRINT_COLUMNS, "supplier"),
     "policies": _select(POLICY_COLUMNS, "orders"),
@@ -210,7 +257,7 @@ ORACLE_VIEWS = {
         JOIN edges e ON e.OBJECTID = b.OBJECTID
         GROUP BY s.{FID}, e.OBJECTID""",
 }
-_DEPENDS = {"edges": ["footprints"], "boxes": ["edges"], "located": ["sites", "boxes"]}
+_DEPENDS = {"sites": ["side"], "grid": ["side"], "edges": ["footprints"], "boxes": ["edges"], "located": ["sites", "boxes"]}
 
 
 def with_views(query: str, *views: str) -> str:

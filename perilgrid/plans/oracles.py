@@ -38,46 +38,48 @@ def _loss(by: str, where: str = "", extra: str = "") -> str:
 _SITE = "portfolio_id, account_id, site_id"
 
 
-def _hex(last: str, columns: str, where: str = f"WHERE portfolio_id = {PORTFOLIO}") -> str:
-    steps = {
-        "z0": f"SELECT {_SITE}, geom_x AS x, geom_y AS y, zoom_id AS lod FROM sites, zooms {where}",
-        "z1": """SELECT z0.*, zoom_id, CAST(zoom_value AS DOUBLE) AS hex_radius,
-               CAST(20037507.0671618 AS DOUBLE) AS origin_x, CAST(19971868.8804086 AS DOUBLE) AS origin_y
-               FROM z0 JOIN zooms ON lod = zoom_id""",
-        "z2": """SELECT *, x - origin_x AS dx, y - origin_y AS dy,
-               hex_radius * cos(CAST(30 AS DOUBLE) * pi() / CAST(180 AS DOUBLE)) AS h, hex_radius / CAST(2 AS DOUBLE) AS v FROM z1""",
-        "z3": """SELECT *, CAST(floor(dy / (CAST(3 AS DOUBLE) * v)) AS BIGINT) AS quad_row,
-               CAST(floor(dx / (CAST(2 AS DOUBLE) * h)) AS BIGINT) AS quad_col,
-               CAST(floor(dy / (CAST(3 AS DOUBLE) * v)) AS BIGINT) % 2 AS mod2_row FROM z2""",
-        "z4": """SELECT *, CASE WHEN mod2_row <> 0 THEN quad_col * (CAST(2 AS DOUBLE) * h) + h + origin_x
-               ELSE quad_col * (CAST(2 AS DOUBLE) * h) + origin_x END AS center_x,
-               quad_row * (CAST(3 AS DOUBLE) * v) + origin_y AS center_y FROM z3""",
-        "z5": """SELECT *, x - center_x AS q2x, y - center_y AS q2y, abs(x - center_x) AS abs_q2x,
-               abs(y - center_y) AS abs_q2y FROM z4""",
-        "z6": "SELECT *, atan2(q2x, q2y) AS arctangent FROM z5",
-        "z7": """SELECT *, CASE WHEN abs_q2x > hex_radius OR abs_q2y > hex_radius THEN false
-               ELSE abs_q2x / h + abs_q2y / v <= CAST(2 AS DOUBLE) END AS is_inside,
-               CASE WHEN arctangent < 0 THEN (arctangent + CAST(2 AS DOUBLE) * pi()) * CAST(180 AS DOUBLE) / pi()
-               ELSE arctangent * CAST(180 AS DOUBLE) / pi() END AS azimuth FROM z6""",
-        "z8": """SELECT *,
-               quad_row + CASE WHEN is_inside THEN 0 WHEN azimuth > 300 THEN 1 WHEN azimuth > 240 THEN 0
-                 WHEN azimuth > 120 THEN -1 WHEN azimuth > 60 THEN 0 ELSE 1 END AS arow,
-               quad_col + CASE WHEN is_inside THEN 0
-                 WHEN azimuth > 300 THEN CASE WHEN mod2_row <> 0 THEN 0 ELSE -1 END
-                 WHEN azimuth > 240 THEN -1
-                 WHEN azimuth > 180 THEN CASE WHEN mod2_row <> 0 THEN -1 ELSE 0 END
-                 WHEN azimuth > 120 THEN CASE WHEN mod2_row <> 0 THEN 1 ELSE 0 END
-                 WHEN azimuth > 60 THEN 1
-                 WHEN azimuth > 0 THEN CASE WHEN mod2_row <> 0 THEN 1 ELSE 0 END
-                 ELSE 0 END AS acol FROM z7""",
-    }
-    query = w(f"SELECT {columns} FROM {last}", "sites", "zooms")
-    head, tail = query.rsplit(f" SELECT {columns} FROM {last}", 1)
-    return f"{head}, {', '.join(f'{n} AS ({s})' for n, s in steps.items())} SELECT {columns} FROM {last}{tail}"
-
-
-_HEX_BIN = _hex("z8", f"{_SITE}, lod, arow, acol")
-_GRID_JOIN = """FROM sites se JOIN grid nze ON CAST(se.nz_grid_id AS BIGINT) = nze.nz_grid_id
+# Hexagons: each column as an expression of its own over a site (x, y) and a level's radius r.
+_ORIGIN_X, _ORIGIN_Y = "CAST(20037507.0671618 AS DOUBLE)", "CAST(19971868.8804086 AS DOUBLE)"
+
+
+def _n(value: int) -> str:
+    return f"CAST({value} AS DOUBLE)"
+
+
+_H = f"(r * cos({_n(30)} * pi() / {_n(180)}))"
+_V = f"(r / {_n(2)})"
+_ROW = f"CAST(floor((y - {_ORIGIN_Y}) / ({_n(3)} * {_V})) AS BIGINT)"
+_COL = f"CAST(floor((x - {_ORIGIN_X}) / ({_n(2)} * {_H})) AS BIGINT)"
+_CENTER_X = f"({_COL} * ({_n(2)} * {_H}) + CASE WHEN {_ROW} % 2 <> 0 THEN {_H} ELSE {_n(0)} END + {_ORIGIN_X})"
+_CENTER_Y = f"({_ROW} * ({_n(3)} * {_V}) + {_ORIGIN_Y})"
+_OFF_X, _OFF_Y = f"(x - {_CENTER_X})", f"(y - {_CENTER_Y})"
+_HELD = f"(abs({_OFF_X}) <= r AND abs({_OFF_Y}) <= r AND abs({_OFF_X}) / {_H} + abs({_OFF_Y}) / {_V} <= {_n(2)})"
+_ANGLE = f"atan2({_OFF_X}, {_OFF_Y})"
+_BEARING = f"((CASE WHEN {_ANGLE} < 0 THEN {_ANGLE} + {_n(2)} * pi() ELSE {_ANGLE} END) * {_n(180)} / pi())"
+# Neighbour by bearing: above, up to, row step, column step in odd and in even rows.
+_SECTORS = "(-1, 0, 1, 0, 0), (0, 60, 1, 1, 0), (60, 120, 0, 1, 1), (120, 180, -1, 1, 0), (180, 240, -1, -1, 0), (240, 300, 0, -1, -1), (300, 360, 1, 0, -1)"
+_CELL = f"""{_ROW} + CASE WHEN {_HELD} THEN 0 ELSE up END AS arow,
+  {_COL} + CASE WHEN {_HELD} THEN 0 WHEN {_ROW} % 2 <> 0 THEN odd ELSE even END AS acol"""
+_SITE_LEVELS = f"""(SELECT {_SITE}, geom_x AS x, geom_y AS y, zoom_id AS lod, zoom_id, CAST(zoom_value AS DOUBLE) AS r
+  FROM sites CROSS JOIN zooms {{}}) p"""
+
+
+def _hex(columns: str, everywhere: bool = False) -> str:
+    where = "" if everywhere else f"WHERE portfolio_id = {PORTFOLIO}"
+    return w(f"SELECT {columns} FROM {_SITE_LEVELS.format(where)}", "sites", "zooms")
+
+
+def _hex_cells(columns: str, everywhere: bool = False) -> str:
+    sectors = f"(VALUES {_SECTORS}) s(above, upto, up, odd, even)"
+    return f"{_hex(columns, everywhere)} JOIN {sectors} ON {_BEARING} > above AND {_BEARING} <= upto"
+
+
+_HEX_BIN = _hex_cells(f"{_SITE}, lod, {_CELL}")
+_HEX_ALL = _hex_cells(f"{_SITE}, lod, {_CELL}", everywhere=True)
+_CORNERS = "(0, minx, miny), (1, maxx, miny), (2, maxx, maxy), (3, minx, maxy), (4, minx, miny)"
+_EDGES = """SELECT f.OBJECTID, FIRE_NAME, ACRES, ring, seq, x0, y0, x1, y1
+           FROM footprints f JOIN edges e ON e.OBJECTID = f.OBJECTID"""
+_GRID_JOIN = """FROM sites JOIN grid ON CAST(sites.nz_grid_id AS BIGINT) = grid.nz_grid_id
   AND geom_x BETWEEN minx AND maxx AND geom_y BETWEEN miny AND maxy"""
 _GRID_ENRICH = w(f"SELECT portfolio_id, site_id, g_country_id, geo_unit_id {_GRID_JOIN}", "sites", "grid")
 _SITE_ROWS = f"""SELECT {FID}, portfolio_id, peril_id, account_id, site_id, nz_grid_id, site_lat, site_long, geom_x, geom_y,
@@ -94,13 +96,7 @@ ORACLES: dict[str, str] = {
     "scan_bbox_saved": w(f"SELECT {_SITE}, s_udf_met1 FROM sites WHERE {GULF}", "sites"),
     "scan_bbox_count": w(f"SELECT count(*) AS n FROM sites WHERE {GULF}", "sites"),
     "scan_attr_filter": w(f"{_SITE_ROWS} WHERE portfolio_id = {PORTFOLIO}", "sites"),
-    "scan_footprints": w(
-        """SELECT f.OBJECTID, FIRE_NAME, ACRES, count(*) AS n_edges, count(DISTINCT ring) AS n_rings,
-           min(x0) AS xmin, min(y0) AS ymin, max(x0) AS xmax, max(y0) AS ymax
-           FROM footprints f JOIN edges e ON e.OBJECTID = f.OBJECTID GROUP BY ALL""",
-        "footprints",
-        "edges",
-    ),
+    "scan_footprints": w(_EDGES, "footprints", "edges"),
     "footprint_head": w("SELECT OBJECTID, ACRES FROM footprints WHERE OBJECTID < 100 ORDER BY OBJECTID LIMIT 10", "footprints"),
     "count_sites": w("SELECT count(*) AS n FROM sites", "sites"),
     "count_losses": w("SELECT count(*) AS n FROM losses", "losses"),
@@ -113,7 +109,7 @@ ORACLES: dict[str, str] = {
     "grid_count": w(f"SELECT count(*) AS n {_GRID_JOIN}", "sites", "grid"),
     "grid_count_sql": w(f"SELECT count(*) AS n {_GRID_JOIN}", "sites", "grid"),
     "grid_enrich": _GRID_ENRICH,
-    "grid_enrich_saved": _GRID_ENRICH,
+    "grid_enrich_saved": w(f"SELECT {FID}, portfolio_id, site_id, g_country_id, geo_unit_id {_GRID_JOIN}", "sites", "grid"),
     # footprints
     "fire_exposure": w(_EXPOSURE, "located"),
     "fire_contains": w(_CONTAINED, "located"),
@@ -123,6 +119,14 @@ ORACLES: dict[str, str] = {
             WHERE portfolio_id IS NOT NULL AND {FID} IN (SELECT {FID} FROM located WHERE inside AND NOT on_edge)""",
         "located",
     ),
+    "fire_exposure_shuffled": w(_EXPOSURE, "located"),
+    # every third site stands there twice
+    "fire_semi_join_repeated": w(
+        f"""SELECT {FID}, {_SITE}, s_udf_met1
+            FROM (SELECT * FROM sites UNION ALL SELECT * FROM sites WHERE CAST(site_id AS BIGINT) % 3 = 0)
+            WHERE {FID} IN (SELECT {FID} FROM located WHERE inside AND NOT on_edge)""",
+        "located",
+    ),
     "fire_lookup_site": w(
         f"SELECT portfolio_id FROM located JOIN sites USING ({FID}) WHERE site_id = '{LOOKUP_SITE}' AND (inside OR on_edge)",
         "located",
@@ -144,18 +148,24 @@ ORACLES: dict[str, str] = {
     "cov_histogram_alias": w(_BINS.format(_BINNED, "", ""), "sites"),
     # hexagons
     "count_site_zoom": w(f"SELECT count(*) AS n FROM sites, zooms WHERE portfolio_id = {PORTFOLIO}", "sites", "zooms"),
-    "hex_site_zoom": _hex("z0", f"{_SITE}, x, y, lod"),
-    "hex_radius": _hex("z1", f"{_SITE}, lod, zoom_id, hex_radius, origin_x, origin_y"),
-    "hex_offsets": _hex("z2", f"{_SITE}, lod, dx, dy, h, v"),
-    "hex_quads": _hex("z3", f"{_SITE}, lod, quad_row, quad_col, mod2_row"),
-    "hex_centers": _hex("z4", f"{_SITE}, lod, center_x, center_y"),
-    "hex_residuals": _hex("z5", f"{_SITE}, lod, q2x, q2y, abs_q2x, abs_q2y"),
+    "hex_site_zoom": _hex(f"{_SITE}, x, y, lod"),
+    "hex_radius": _hex(f"{_SITE}, lod, zoom_id, r AS hex_radius, {_ORIGIN_X} AS origin_x, {_ORIGIN_Y} AS origin_y"),
+    "hex_offsets": _hex(f"{_SITE}, lod, x - {_ORIGIN_X} AS dx, y - {_ORIGIN_Y} AS dy, {_H} AS h, {_V} AS v"),
+    "hex_quads": _hex(f"{_SITE}, lod, {_ROW} AS quad_row, {_COL} AS quad_col, {_ROW} % 2 AS mod2_row"),
+    "hex_centers": _hex(f"{_SITE}, lod, {_CENTER_X} AS center_x, {_CENTER_Y} AS center_y"),
+    "hex_residuals": _hex(
+        f"{_SITE}, lod, {_OFF_X} AS q2x, {_OFF_Y} AS q2y, abs({_OFF_X}) AS abs_q2x, abs({_OFF_Y}) AS abs_q2y"
+    ),
     "hex_azimuth": _hex(
-        "z7", f"{_SITE}, lod, quad_row, quad_col, CAST(mod2_row AS DOUBLE) AS mod2_row, is_inside, round(azimuth, 6) AS azimuth"
+        f"{_SITE}, lod, {_ROW} AS quad_row, {_COL} AS quad_col, CAST({_ROW} % 2 AS DOUBLE) AS mod2_row, "
+        f"{_HELD} AS is_inside, round({_BEARING}, 6) AS azimuth"
     ),
     "hex_bin": _HEX_BIN,
-    "hex_bin_saved": _HEX_BIN,
-    "hex_bin_counts": _hex("(SELECT lod, arow, acol, count(*) AS n_sites FROM z8 GROUP BY 1, 2, 3)", "*", ""),
+    "hex_bin_all": _HEX_ALL,
+    "hex_bin_saved": _hex_cells(f"fid || '/' || CAST(lod AS VARCHAR) AS {FID}, {_SITE}, lod, {_CELL}").replace(
+        f"(SELECT {_SITE}, geom_x", f"(SELECT {FID} AS fid, {_SITE}, geom_x"
+    ),
+    "hex_bin_counts": f"SELECT lod, arow, acol, count(*) AS n_sites FROM ({_HEX_ALL}) GROUP BY 1, 2, 3",
     # ingest round trips
     "ingest_site_exposure": w(
         f"""SELECT {FID}, portfolio_id, peril_id, account_id, site_id, nz_grid_id, site_lat, site_long,
@@ -163,22 +173,18 @@ ORACLES: dict[str, str] = {
         "sites",
     ),
     "ingest_nzgrid": w(
-        "SELECT OBJECTID, nz_grid_id, g_country_id, geo_unit_id, minx, miny, maxx, maxy, minx AS xmin, miny AS ymin, maxx AS xmax, maxy AS ymax, 5 AS n_vertices FROM grid",
+        f"""SELECT OBJECTID, nz_grid_id, g_country_id, geo_unit_id, minx, miny, maxx, maxy,
+            minx AS xmin, miny AS ymin, maxx AS xmax, maxy AS ymax, c.seq, c.x, c.y
+            FROM grid, LATERAL (VALUES {_CORNERS}) c(seq, x, y)""",
         "grid",
     ),
     "ingest_hex_zoom": w("SELECT zoom_id, zoom_value FROM zooms", "zooms"),
-    "ingest_policy_exposure": w(
-        "SELECT portfolio_id, policy_id, account_id, CAST(premium AS DOUBLE) AS premium, policy_bl_grosslimit FROM policies", "policies"
-    ),
-    "ingest_portfolio_account": w("SELECT account_id, account_name, division, a_udf_met1 FROM accounts", "accounts"),
-    "ingest_site_loss": w("SELECT portfolio_id, analysis_id, site_id, account_id, gross_loss, damage_loss, net_loss FROM losses", "losses"),
-    "ingest_wildfire_geojson": w(
-        """SELECT f.OBJECTID, FIRE_NAME, ACRES, count(*) AS n_edges, count(DISTINCT ring) AS n_rings,
-           min(x0) AS xmin, min(y0) AS ymin, max(x0) AS xmax, max(y0) AS ymax
-           FROM footprints f JOIN edges e ON e.OBJECTID = f.OBJECTID GROUP BY ALL""",
-        "footprints",
-        "edges",
-    ),
+    "ingest_policy_exposure": w("SELECT * REPLACE (CAST(premium AS DOUBLE) AS premium) FROM policies", "policies"),
+    "ingest_portfolio_account": w("SELECT * FROM accounts", "accounts"),
+    "ingest_site_loss": w("SELECT * FROM losses", "losses"),
+    "ingest_geojson_collection": w(f"{_EDGES} WHERE f.OBJECTID % 9 <> 4", "footprints", "edges"),
+    "ingest_text_counts": "SELECT count(*) FILTER (p_partkey % 7 > 2) AS written, count(*) FILTER (p_partkey % 7 <= 2) AS failed FROM part",
+    "ingest_wildfire_geojson": w(_EDGES, "footprints", "edges"),
     "ingest_quality_counts": "SELECT count(*) FILTER (l_linenumber <> 7) AS written, count(*) FILTER (l_linenumber = 7) AS failed FROM lineitem",
     "export_csv": w(f"SELECT {_SITE}, s_udf_met1 FROM sites", "sites"),
 }

@@ -27,7 +27,7 @@ def box_scan(sites: DataFrame, box: Box = GULF_BOX) -> DataFrame:
     return sites.where(box.intersects(F.col("geom"))).select(*SITE_KEYS, "s_udf_met1")
 
 
-def box_lookup(sites: DataFrame, box: Box = WIDE_GULF_BOX, n: int | None = 5) -> DataFrame:
+def box_lookup(sites: DataFrame, box: Box = WIDE_GULF_BOX, n: int | None = None) -> DataFrame:
     """Site ids in a box; with ``n`` the first few in id order."""
     found = sites.where(box.intersects(F.col("geom"))).select("site_id")
     return found if n is None else found.orderBy("site_id").limit(n)
@@ -37,7 +37,7 @@ def portfolio_scan(sites: DataFrame, portfolio_id: int) -> DataFrame:
     return sites.where(F.col("portfolio_id") == portfolio_id)
 
 
-def footprint_head(footprints: DataFrame, below: int = 100, n: int = 10) -> DataFrame:
+def footprint_head(footprints: DataFrame, below: int, n: int) -> DataFrame:
     return footprints.where(F.col("OBJECTID") < below).select("OBJECTID", "ACRES").orderBy("OBJECTID").limit(n)
 
 
@@ -75,7 +75,16 @@ def exposure_in_footprints(sites: DataFrame, footprints: DataFrame, digits: int
 def footprints_at_site(sites: DataFrame, footprints: DataFrame, site_id: str) -> DataFrame:
     """One row with the portfolio id per footprint touching the site."""
     site = sites.where(F.col("site_id") == site_id).select("portfolio_id", FID, "geom")
-    return spatial_join(site, footprints.select("geometry")).select("portfolio_id")
+    extent = site.agg(
+        *[F.expr(f"{fn}(geom.{axis}) AS {axis}{fn}") for fn in ("min", "max") for axis in "xy"]
+    ).first()
+    near = footprints.select("geometry").where(
+        "false"
+        if extent["xmin"] is None
+        else f"geometry.bbox.xmin <= {extent['xmax']!r}D AND geometry.bbox.xmax >= {extent['xmin']!r}D "
+        f"AND geometry.bbox.ymin <= {extent['ymax']!r}D AND geometry.bbox.ymax >= {extent['ymin']!r}D"
+    )
+    return spatial_join(site, near).select("portfolio_id")
 
 
 def contained_pairs(sites: DataFrame, footprints: DataFrame, portfolio_id: int | None = None) -> DataFrame:
@@ -112,7 +121,7 @@ def coverage_histogram(
     last: float = HISTOGRAM_RANGE[1],
     buckets: int = HISTOGRAM_RANGE[2],
     portfolio_id: int | None = None,
-    n: int | None = 100,
+    n: int | None = None,
 ) -> DataFrame:
     """Minimum, maximum and number of site coverages per bucket, in bucket order."""
     binned = coverage_bucket(sites, first, last, buckets)

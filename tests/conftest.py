@@ -11,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
@@ -21,6 +21,7 @@ def spark():
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.log.level": "ERROR",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     yield session

@@ -76,10 +76,12 @@ def test_limit_is_optional(spark):
     assert hexbin.hex_bin(points, zooms, limit=2).count() == 2
 
 
-def test_no_join_and_no_shuffle(spark):
+def test_points_are_not_shuffled(spark):
     from tests.conftest import plan_of
 
     points = point_df(spark, [(1, "a", "s", -97.2, 31.5)])
-    zooms = spark.createDataFrame([(0, 100), (1, 50)], "zoom_id bigint, zoom_value bigint")
-    plan = plan_of(hexbin.hex_bin(points, zooms))
-    assert "Join" not in plan and "Exchange" not in plan and "Cartesian" not in plan
+    for n in (2, 65):
+        zooms = spark.createDataFrame([(i, 100 + i) for i in range(n)], "zoom_id bigint, zoom_value bigint")
+        plan = plan_of(hexbin.hex_bin(points, zooms))
+        assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+        assert hexbin.hex_bin(points, zooms).count() == n
