@@ -173,8 +173,11 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHA
     earliest = links.join(other, ["g1", "g2"]).groupBy("h1", "h2").agg(F.min("g_first").alias("g_first"))
     judged = first.join(earliest, ["h1", "h2"], "left")
     judged = judged.withColumn("gone", F.coalesce(F.col("g_first") < F.col("first"), F.lit(False)))
-    judged = judged.where("gone OR n > 1").select("h1", "h2", "first", "gone")
-    out = lines.join(judged, ["h1", "h2"]).where(F.col("gone") | ~place.eqNullSafe(F.col("first")))
+    # written, so that both sides of the next join are plain shuffles: Spark splits a line that
+    # very many documents share, and broadcasts the list where it is short
+    path = new_dir(spark, "judged-lines")
+    judged.where("gone OR n > 1").select("h1", "h2", "first", "gone").write.parquet(path)
+    out = lines.join(spark.read.parquet(path), ["h1", "h2"]).where(F.col("gone") | ~place.eqNullSafe(F.col("first")))
     return out.groupBy("doc_id", "h_text").agg(F.collect_set("line_no").alias("removed"))
 
 
@@ -227,4 +230,4 @@ def strip_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
         kind = docs.schema["n_chars"].dataType
         changed = F.when(F.col("_removed").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars"))
         out = out.withColumn("n_chars", changed)
-    return out.select(*docs.columns)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -108,4 +108,4 @@ def keep_one_each(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """
     groups = simhash_groups(docs, shingle)
     dropped = groups.where("doc_id > component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
