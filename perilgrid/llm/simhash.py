@@ -35,12 +35,13 @@ def fingerprint(text: str, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp) of every row."""
+    """(doc_id, h_text, fp) of every row; ``h_text`` is xxhash64 of its text."""
 
-    def rows(doc_id: list, text: list[str]) -> dict:
-        return {"doc_id": doc_id, "fp": [fingerprint(t, shingle) for t in text]}
+    def rows(doc_id: list, text: list[str], h_text: list) -> dict:
+        return {"doc_id": doc_id, "h_text": h_text, "fp": [fingerprint(t, shingle) for t in text]}
 
-    return map_texts(docs.select("doc_id", "text"), "doc_id long, fp long", rows)
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("h_text"))
+    return map_texts(keyed, "doc_id long, h_text long, fp long", rows)
 
 
 def near_links(distinct: DataFrame) -> DataFrame:
@@ -85,6 +86,10 @@ def simhash_groups(docs: DataFrame, shingle: int = 3) -> DataFrame:
     null only if all its rows have none. Equal fingerprints are one entry of all joins, so groups
     of copies cost no pairs. An empty table gives no rows; other columns are ignored.
     """
+    return _grouped(docs, shingle).drop("h_text")
+
+
+def _grouped(docs: DataFrame, shingle: int) -> DataFrame:
     spark = docs.sparkSession
     path = new_dir(spark, "fingerprints")
     fingerprints(docs, shingle).write.parquet(path)
@@ -98,14 +103,15 @@ def simhash_groups(docs: DataFrame, shingle: int = 3) -> DataFrame:
     named = named.select("fp", "root", "first_id")
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_fp = named.join(smallest, "root").select("fp", "component_id")
-    return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(of_fp, "fp").select("doc_id", "h_text", "fp", "component_id")
 
 
 def keep_one_each(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its group, all columns unchanged.
 
-    Rows with a null doc_id always stay.
+    Rows with a null doc_id always stay. Rows that share a doc_id are judged by their own text.
     """
-    groups = simhash_groups(docs, shingle)
-    dropped = groups.where("doc_id > component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    dropped = _grouped(docs, shingle).where("doc_id > component_id")
+    dropped = dropped.select(F.col("doc_id").alias("_doc_id"), F.col("h_text").alias("_h_text")).distinct()
+    same = (docs["doc_id"] == dropped["_doc_id"]) & (F.xxhash64(docs["text"]) == dropped["_h_text"])
+    return docs.join(dropped, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
