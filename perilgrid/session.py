@@ -43,3 +43,9 @@ def shared_dir(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/perilgrid/{label}-{uuid.uuid4().hex}"
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder that `new_dir` named, once nothing is to be read from it any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
