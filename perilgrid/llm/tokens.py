@@ -14,8 +14,9 @@ CACHED_PIECES = 600_000
 CACHED_LENGTH = 48
 
 _SPACED = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
-# Letters whose pre-tokenizing, normal form and lower case are the same everywhere, then a mark.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.]?)")
+# Letters whose pre-tokenizing, normal form and lower case are the same everywhere, then marks,
+# which are a pre-token of their own after letters (apostrophes may be part of one).
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]{0,8})")
 
 
 def _pack(ids: list[int]) -> bytes:
@@ -28,10 +29,11 @@ class _Pieces(dict):
     def __init__(self, tokenizer, prefix: str, lower: bool):
         super().__init__()
         self._tokenizer, self._prefix, self._lower = tokenizer, prefix, lower
-        self._model = tokenizer.model
+        self._tokenize = tokenizer.model.tokenize
         table = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._bytewise = [table.pre_tokenize_str(chr(c))[0][0] for c in range(256)]
-        self._marks = {mark: self._whole(mark) for mark in ",."}
+        self._head = prefix.translate(self._bytewise)
+        self._marks: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return _pack(self._tokenizer.encode(text, add_special_tokens=False).ids)
@@ -40,16 +42,22 @@ class _Pieces(dict):
         """One run of plain letters is one pre-token, so the model can be asked at once."""
         text = word.lower() if self._lower else word
         text = (self._prefix + text).translate(self._bytewise)
-        return _pack([token.id for token in self._model.tokenize(text)])
+        return _pack([token.id for token in self._tokenize(text)])
 
     def __missing__(self, piece: str) -> bytes:
-        plain = _PLAIN.fullmatch(piece)
-        if not plain:
-            ids = self._whole(self._prefix + piece)
-        elif plain[2]:
-            ids = self[plain[1]] + self._marks[plain[2]]
+        if piece.isascii() and piece.isalpha():
+            word = piece.lower() if self._lower else piece
+            ids = _pack([token.id for token in self._tokenize(self._head + word)])
+        elif plain := _PLAIN.fullmatch(piece):
+            word, marks = plain.groups()
+            if not marks:
+                ids = self._word(piece)
+            else:
+                if marks not in self._marks:
+                    self._marks[marks] = self._whole(marks)
+                ids = self[word] + self._marks[marks]
         else:
-            ids = self._word(piece)
+            ids = self._whole(self._prefix + piece)
         if len(piece) <= CACHED_LENGTH:
             self[piece] = ids
         return ids

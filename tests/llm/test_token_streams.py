@@ -34,7 +34,7 @@ def ids_of(name, texts):
 def test_pieces_equal_whole_texts(name, cached, monkeypatch):
     monkeypatch.setattr(tokens_module, "CACHED_PIECES", cached)
     rng = random.Random(1)
-    parts = ["a", "b", "É", "\n", " ", "\t", "  ", " ", " ", "'s", "<|endoftext|>", "9", "\r", "\x1c", "!", "́", "ß", "Σ", "日本", "İ", "\x0b", "\x85", "word,", "Ende.", "x" * 60]
+    parts = ["a", "b", "É", "\n", " ", "\t", "  ", " ", " ", "'s", "<|endoftext|>", "9", "\r", "\x1c", "!", "́", "ß", "Σ", "日本", "İ", "\x0b", "\x85", "word,", "Ende.", "Ää$$$", "b%_", "x',", "z|<", "x" * 60]
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(4000)]
     texts += ["", "\n", "\n\n", " ", "a\n", "\na", "\n "]
     encode = PieceEncoder(public_tokenizers.path(name)).encode
