@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from perilgrid.llm import suffix_dedup as module
-from perilgrid.llm.bwt_merge import Merged, ShardBWT, repeated_starts
+from perilgrid.llm.bwt_merge import Merged, Transforms, repeated_starts
 from tests.llm.conftest import rows_of
 
 
@@ -42,17 +42,18 @@ STRINGS = st.lists(st.binary(max_size=30) | st.text("ab", max_size=40).map(str.e
 def test_merged_intervals(strings, length, shards):
     counts = collections.Counter(s[i : i + length] for s in strings for i in range(len(s) - length + 1))
     want = [[i for i in range(len(s) - length + 1) if counts[s[i : i + length]] > 1] for s in strings]
-    got = repeated_starts(strings, np.ones(len(strings)), length, shards)
+    got = repeated_starts(strings, np.ones(len(strings)), length, np.arange(len(strings)) % shards)
+    assert [g.tolist() for g in got] == want
+    got = repeated_starts(strings, np.ones(len(strings)), length)
     assert [g.tolist() for g in got] == want
 
 
 @settings(max_examples=80, deadline=None)
 @given(STRINGS)
 def test_merged_order_and_prefixes(strings):
-    parts = [strings[::2], strings[1::2]]
-    merged = Merged([ShardBWT(p, 1000) for p in parts], 1000)
-    shard, string, offset = merged.suffixes()
-    suffixes = [parts[a][b][c:] for a, b, c in zip(shard, string, offset, strict=True)]
+    found = Transforms(strings, np.arange(len(strings)) % 2, 1000)
+    merged = Merged(found, 1000)
+    suffixes = [strings[i][k:] for i, k in zip(found.string, found.offset, strict=True)]
     order = merged.interleave()
     ranked = [suffixes[i] for i in order]
     assert ranked == sorted(suffixes)
