@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from perilgrid.llm.arrow import text_slices
 from perilgrid.llm.bwt_merge import repeated_starts
 from perilgrid.llm.shipping import ship_package
-from perilgrid.session import new_dir
+from perilgrid.session import drop_dir, new_dir
 
 LENGTH = 400
 GRAM = 64
@@ -135,7 +135,10 @@ def _scan(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(name, context, copies, bytes): the bytes of the contexts named by their first place."""
+    """(name, context, copies, bytes): the bytes of the contexts named by their first place.
+
+    Rows that repeat doc_id and text bring the same contexts once each.
+    """
     grouped = wanted.groupBy("doc_id", "h_text").agg(
         F.collect_list(F.struct("begin", "end", "name", "context", "copies")).alias("runs")
     )
@@ -154,9 +157,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             yield _batch(schema, rows)
 
     joined = _with_row_key(docs, grouped, "inner").select("text", "runs")
-    # rows that repeat doc_id and text bring the same contexts once each
-    found = joined.mapInArrow(run, "name long, context long, copies long, bytes binary")
-    return found.dropDuplicates(["name", "context"])
+    return joined.mapInArrow(run, "name long, context long, copies long, bytes binary")
 
 
 def _with_row_key(docs: DataFrame, other: DataFrame, how: str) -> DataFrame:
@@ -165,17 +166,13 @@ def _with_row_key(docs: DataFrame, other: DataFrame, how: str) -> DataFrame:
     return docs.join(other.hint("shuffle_hash"), same, how).drop("_doc_id", "_h_text")
 
 
-def _merged_windows(contexts: DataFrame, length: int) -> DataFrame:
+def _merged_windows(contexts: DataFrame, groups: int, length: int) -> DataFrame:
     """(name, context, firsts, ends): runs of offsets where windows start that occur again."""
-    spark = contexts.sparkSession
-    path = new_dir(spark, "contexts")
-    contexts.write.option("compression", "zstd").parquet(path)
-    stored = spark.read.parquet(path)
-    total = stored.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
-    groups = max(1, -(-total // GROUP_BYTES))
 
     def merge(table: pa.Table) -> pa.Table:
         table = table.sort_by([("name", "ascending"), ("context", "ascending")])
+        keys = list(zip(table.column("name").to_pylist(), table.column("context").to_pylist(), strict=True))
+        table = table.filter(pa.array([k == 0 or key != keys[k - 1] for k, key in enumerate(keys)], pa.bool_()))
         weights = np.array(table.column("copies").to_pylist(), float)
         firsts, ends = [], []
         for starts in repeated_starts(table.column("bytes").to_pylist(), weights, length):
@@ -192,7 +189,7 @@ def _merged_windows(contexts: DataFrame, length: int) -> DataFrame:
             }
         )
 
-    grouped = stored.withColumn("_group", F.pmod(F.xxhash64("name"), F.lit(groups))).groupBy("_group")
+    grouped = contexts.withColumn("_group", F.pmod(F.xxhash64("name"), F.lit(groups))).groupBy("_group")
     return grouped.applyInArrow(merge, "name long, context long, firsts array<long>, ends array<long>")
 
 
@@ -225,23 +222,28 @@ def _counted_windows(docs: DataFrame, hot: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, h_text, begin, end): byte spans covered by windows that occur again, overlapping."""
     spark = docs.sparkSession
-    path = new_dir(spark, "runs")
-    _scan(docs, length, gram).write.parquet(path)
-    runs = spark.read.parquet(path)
+    scanned = new_dir(spark, "runs")
+    _scan(docs, length, gram).write.option("compression", "zstd").parquet(scanned)
+    runs = spark.read.parquet(scanned)
     place = F.struct("doc_id", "h_text", "begin", "end")
     copies = runs.groupBy("name", "context").agg(F.count("*").alias("copies"))
     names = copies.groupBy("name").agg(F.sum("copies").alias("total"), F.count("*").alias("kinds"))
     path = new_dir(spark, "repeated-names")
     names.where("total > 1").select("name", "kinds").write.parquet(path)
-    path_runs = new_dir(spark, "repeated-runs")
-    runs.join(spark.read.parquet(path), "name").write.parquet(path_runs)
-    shared = spark.read.parquet(path_runs)
+    repeated = new_dir(spark, "repeated-runs")
+    runs.join(spark.read.parquet(path), "name").write.parquet(repeated)
+    drop_dir(spark, scanned)  # all that is needed of it is written
+    shared = spark.read.parquet(repeated)
     settled = shared.where("kinds = 1").select("doc_id", "h_text", "begin", (F.col("end") + (length - 1)).alias("end"))
     mixed = shared.where(f"kinds > 1 AND kinds <= {HOT_CONTEXTS}")
     first = mixed.groupBy("name", "context").agg(F.min(place).alias("p"), F.count("*").alias("copies"))
-    wanted = first.select("p.*", "name", "context", "copies")
+    path = new_dir(spark, "contexts")
+    first.select("p.*", "name", "context", "copies").write.parquet(path)
+    wanted = spark.read.parquet(path)
+    total = wanted.agg(F.sum(F.expr(f"end - begin + {length - 1}"))).first()[0] or 0
+    groups = max(1, -(-total // GROUP_BYTES))
     path = new_dir(spark, "repeated-windows")
-    _merged_windows(_contexts(docs, wanted, length), length).where("size(firsts) > 0").write.parquet(path)
+    _merged_windows(_contexts(docs, wanted, length), groups, length).where("size(firsts) > 0").write.parquet(path)
     found = mixed.join(spark.read.parquet(path), ["name", "context"])
     merged = found.select(
         "doc_id", "h_text", F.col("begin").alias("base"), F.explode(F.arrays_zip("firsts", "ends")).alias("run")
