@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perilgrid.functions.buckets import width_bucket
-from perilgrid.functions.geometry import Box, edges
+from perilgrid.functions.geometry import Box, edges, st_intersects
 from perilgrid.operators import hexbin
 from perilgrid.operators.keyed_join import row_bytes, sized_join
 from perilgrid.operators.rollup import loss_rollup, sum_and_avg
@@ -19,6 +19,8 @@ GULF_BOX = Box(-94.0, 31.0, -96.0, 29.0)
 WIDE_GULF_BOX = Box(-91.0, 31.0, -96.0, 29.0)
 HISTOGRAM_RANGE = (150.0, 3990682000.0, 99)
 
+FEW_POINTS = 100  # rows of a site that are compared with footprints one by one
+
 SITE_KEYS = ["portfolio_id", "account_id", "site_id"]
 
 
@@ -76,7 +78,7 @@ def footprints_at_site(sites: DataFrame, footprints: DataFrame, site_id: str) ->
     """One row with the portfolio id per footprint touching the site."""
     site = sites.where(F.col("site_id") == site_id).select("portfolio_id", FID, "geom")
     extent = site.agg(
-        *[F.expr(f"{fn}(geom.{axis}) AS {axis}{fn}") for fn in ("min", "max") for axis in "xy"]
+        F.count("geom.x").alias("n"), *[F.expr(f"{fn}(geom.{axis}) AS {axis}{fn}") for fn in ("min", "max") for axis in "xy"]
     ).first()
     near = footprints.select("geometry").where(
         "false"
@@ -84,6 +86,10 @@ def footprints_at_site(sites: DataFrame, footprints: DataFrame, site_id: str) ->
         else f"geometry.bbox.xmin <= {extent['xmax']!r}D AND geometry.bbox.xmax >= {extent['xmin']!r}D "
         f"AND geometry.bbox.ymin <= {extent['ymax']!r}D AND geometry.bbox.ymax >= {extent['ymin']!r}D"
     )
+    if extent["n"] <= FEW_POINTS:
+        # a handful of points is tested against the few footprints around them, without tiles
+        hit = st_intersects("geom", "geometry")
+        return near.join(F.broadcast(site.where("geom.x IS NOT NULL")), hit).select("portfolio_id")
     return spatial_join(site, near).select("portfolio_id")
 
 

@@ -121,3 +121,13 @@ def test_spatial_join_view(spark):
     df = spark.sql("SELECT portfolio_id, count(OBJECTID) AS n FROM site_fire GROUP BY portfolio_id")
     assert sum(r.n for r in df.collect()) == 349
     assert "BroadcastNestedLoopJoin" not in plan_of(df) and "CartesianProduct" not in plan_of(df)
+
+
+@pytest.mark.parametrize("few", [-1, 100])
+def test_footprints_at_site(spark, monkeypatch, few):
+    """Direct tests and tiles agree, for one site, many rows of a site, and none."""
+    monkeypatch.setattr(reports, "FEW_POINTS", few)
+    sites, fires = inputs.sites(spark, SF_DIR), inputs.footprints(spark, SF_DIR)
+    one_site = sites.withColumn("site_id", F.lit("all"))
+    assert reports.footprints_at_site(one_site, fires, "all").count() == 349
+    assert reports.footprints_at_site(sites, fires, "no such site").count() == 0
