@@ -18,15 +18,22 @@ BITS = 64
 BLOCK = 1 << 16  # shingles whose bits are counted at once
 
 
-def fingerprint(text: str, shingle: int) -> int:
-    """Signed 64-bit SimHash of a text's word shingles."""
+def shingle_hashes(text: str, shingle: int) -> np.ndarray:
+    """XXH64 of a text's word shingles in their order; none for a text without words."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     width = min(shingle, len(words))
     grams = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
-    total = len(words) - width + 1
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64, total)
+    return np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64, len(words) - width + 1)
+
+
+def fingerprint(text: str, shingle: int) -> int:
+    """Signed 64-bit SimHash of a text's word shingles."""
+    hashes = shingle_hashes(text, shingle)
+    total = len(hashes)
+    if not total:
+        return 0
     ones = np.zeros(BITS, np.int64)
     for start in range(0, total, BLOCK):
         rows = hashes[start : start + BLOCK].view(np.uint8).reshape(-1, 8)
