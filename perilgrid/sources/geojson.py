@@ -34,9 +34,10 @@ def read_features(spark: SparkSession, path: str | list[str], feature_type: Feat
     """One row per feature with columns ``type, id, properties, geometry``.
 
     ``lines``: one feature per line, as in newline-delimited GeoJSON or a collection written with
-    one feature per line and its other members on lines of their own. Files of any size are split
-    over tasks. Lines that can only be part of a collection's frame are skipped; any other line
-    that is not a feature, a cut-off one included, gives a row of nulls, so it is counted.
+    one feature per line and its other members on lines of their own; several features on a line,
+    beside the frame or a whole collection on one line, are read as well. Files of any size are
+    split over tasks. Lines that can only be part of a collection's frame are skipped; any other
+    line that is not made of features, a cut-off one included, gives a row of nulls, so it is counted.
     ``collection``: a FeatureCollection document per file, spread over tasks by file; use
     it for many moderate files and ``lines`` for large ones. A document that cannot be read gives
     one row of nulls.
@@ -44,10 +45,13 @@ def read_features(spark: SparkSession, path: str | list[str], feature_type: Feat
     schema = feature_schema(feature_type)
     if layout == "lines":
         text = F.regexp_replace(F.trim("value"), r",\s*$", "")
+        listed = F.concat(F.lit("["), F.regexp_replace(text, _OPENING, ""), F.lit("]"))
+        features = F.from_json(listed, T.ArrayType(schema), {"mode": "PERMISSIVE"})
+        one_null = F.array(F.lit(None).cast(schema))
         return (
             spark.read.text(path)
-            .where(~text.rlike(_FRAME))
-            .select(F.from_json(text, schema, {"mode": "PERMISSIVE"}).alias("f"))
+            .where(~text.rlike(_FRAME) | text.rlike(_RECORD))
+            .select(F.explode(F.when(F.size(features) > 0, features).otherwise(one_null)).alias("f"))
             .select("f.*")
         )
     if layout == "collection":
@@ -73,6 +77,18 @@ _FRAME = (
     r'|^\]\s*[,}]'
 )
 
+# What no line of the frame holds: (a part of) a feature, or a list of features that goes on after
+# its opening bracket.
+_RECORD = (
+    r'"type"\s*:\s*"Feature"'
+    r'|"features"\s*:(?!\s*(?:$|\[\s*$|\[\s*\]))'
+    r'|^"(?:geometry|properties|coordinates)"\s*:'
+    r'|^\]\s*,\s*[^"\s]'
+)
+
+# The frame ahead of the first feature on a line.
+_OPENING = r'^(?:(?:(?!"Feature").)*?"features"\s*:\s*\[|\[)(?=\s*\{)'
+
 
 def feature_polygon() -> Column:
     """Polygon of a feature row; null unless it is a Polygon with closed, complete rings."""

@@ -226,3 +226,30 @@ def test_write_and_read_back_text(spark):
     write_delimited(df, path, header=True, null_token="NULL")
     rows = sorted(r.fields for r in read_fields(spark, path, header=True).collect())
     assert rows == [["1", " padded ", "NULL"], ["2", '"q"', ""]]
+
+
+def test_geojson_features_beside_the_frame(spark, text_file):
+    crs = {"type": "name", "properties": {"name": "CRS84"}}
+    whole = json.dumps({"type": "FeatureCollection", "name": "fires", "crs": crs, "features": FEATURES, "more": [{}]})
+    first, second, *rest = (json.dumps(f) for f in FEATURES)
+    layouts = [
+        [whole],
+        ['{"type": "FeatureCollection", "features": [' + first + ",", second + ",", ", ".join(rest) + "]}"],
+        ["{", '"type": "FeatureCollection",', '"features": [' + first + ", " + second + ",", *[r + "," for r in rest[:-1]], rest[-1], "]", "}"],
+        ["[" + first + ",", *[r + "," for r in (second, *rest[:-1])], rest[-1] + "]"],
+    ]
+    for k, lines in enumerate(layouts):
+        df = ingest.ingest_geojson(spark, text_file(*lines, name=f"{k}.json"), layout="lines")
+        check_features(df)
+        assert tuple(ingest.quality_counts(df).first()) == (2, 3)
+
+
+def test_geojson_cut_collections_are_counted(spark, text_file):
+    whole = json.dumps({"type": "FeatureCollection", "features": FEATURES})
+    feature_lines = ["{", '"type": "Feature",', '"properties": {"OBJECTID": 1},', '"geometry": null', "}"]
+    for k, lines in enumerate([[whole[: len(whole) // 2]], feature_lines]):
+        df = ingest.ingest_geojson(spark, text_file(*lines, name=f"{k}.json"), layout="lines")
+        written, failed = ingest.quality_counts(df).first()
+        assert written == 0 and failed >= 1
+    empty = text_file(json.dumps({"type": "FeatureCollection", "features": []}), name="empty.json")
+    assert tuple(ingest.quality_counts(ingest.ingest_geojson(spark, empty, layout="lines")).first()) == (0, 0)
