@@ -6,11 +6,14 @@ import hashlib
 import math
 import re
 import string
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from perilgrid.llm.arrow import map_texts
+from perilgrid.session import new_dir
 
 _ASSIGN = re.compile(
     r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -37,6 +40,8 @@ ENCODINGS = (
 )
 FALSE_DISCOVERIES = 0.01
 ORDER_LEVEL = 0.001
+STEPS = 16  # levels for each halving of a p-value
+LAST_LEVEL = STEPS * 1100  # beyond the smallest positive double
 
 
 def _normal_below(z: float) -> float:
@@ -92,27 +97,30 @@ def serial_correlation(codes: np.ndarray) -> float:
     return math.erfc(abs(r + 1 / n) * math.sqrt(n / 2))
 
 
-def discoveries(tokens: list[str]) -> list[bool]:
-    """Which strings of one text are secrets, at a bounded share of false ones.
+def level(token: str) -> int:
+    """Evidence against ordinary text, the p-value by length as steps of a logarithmic scale.
 
-    The evidence against ordinary text is the uniformity test; weights in proportion to the length
-    give long strings more of the error budget (weighted Benjamini-Hochberg). Strings whose order
-    is not random, by runs or serial correlation, are vetoed.
+    The p-value is that of the uniformity test, and one where the order is not random by runs or
+    serial correlation. Division by the length weights it: long strings get more of the error budget.
     """
-    if not tokens:
-        return []
-    coded = [_codes(t.rstrip("=")) for t in tokens]
-    lengths = np.array([len(c) for c, _, _ in coded], float)
-    weights = lengths / lengths.mean()
-    adjusted = np.array([uniformity(*c) for c in coded]) / weights
-    order = np.argsort(adjusted, kind="stable")
-    limits = FALSE_DISCOVERIES * np.arange(1, len(tokens) + 1) / len(tokens)
-    passed = np.nonzero(adjusted[order] <= limits)[0]
-    threshold = adjusted[order[passed[-1]]] if len(passed) else -1.0
-    return [
-        bool(p <= threshold) and 2 * min(runs(c, size), serial_correlation(c)) >= ORDER_LEVEL
-        for p, (c, size, _) in zip(adjusted, coded, strict=True)
-    ]
+    codes, size, coincidence = _codes(token.rstrip("="))
+    p = uniformity(codes, size, coincidence)
+    if 2 * min(runs(codes, size), serial_correlation(codes)) < ORDER_LEVEL:
+        p = 1.0
+    return math.floor(-STEPS * math.log2(p / len(codes))) if p > 0 else LAST_LEVEL
+
+
+def lowest_level(counts: dict[int, int], mean_length: float) -> int:
+    """The level from which strings are secrets at a bounded share of false ones.
+
+    Weighted Benjamini-Hochberg over the counts of all strings by level.
+    """
+    total, above, lowest = sum(counts.values()), 0, LAST_LEVEL + 1
+    for k in sorted(counts, reverse=True):
+        above += counts[k]
+        if mean_length * 2 ** (-k / STEPS) <= FALSE_DISCOVERIES * above / total:
+            lowest = k
+    return lowest
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -124,15 +132,24 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """Base spans, and the random strings outside them."""
-    base = base_spans(text)
-    candidates = []
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """(start, end, level, length) of the strings outside the base spans that are tested."""
+    found = []
     for match in _CANDIDATE.finditer(text):
         if not any(start <= match.start() and match.end() <= end for start, _, end in base):
-            candidates.append(match)
-    chosen = discoveries([m.group() for m in candidates])
-    return base, [(m.start(), 3, m.end()) for m, hit in zip(candidates, chosen, strict=True) if hit]
+            token = match.group()
+            found.append((match.start(), match.end(), level(token), len(token.rstrip("="))))
+    return found
+
+
+def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """Base spans, and the random strings outside them, of a text that is the whole corpus."""
+    base = base_spans(text)
+    tested = candidates(text, base)
+    if not tested:
+        return base, []
+    lowest = lowest_level(Counter(k for _, _, k, _ in tested), sum(n for *_, n in tested) / len(tested))
+    return base, [(start, 3, end) for start, end, k, _ in tested if k >= lowest]
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
@@ -140,16 +157,21 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def _rows(doc_id: list, text: list[str]) -> dict:
-    found = [find_spans(t) for t in text]
-    kinds = [[sum(k == kind for _, k, _ in base) for base, _ in found] for kind in range(3)]
+    bases = [base_spans(t) for t in text]
+    tested = [candidates(t, base) for t, base in zip(text, bases, strict=True)]
+    # all spans in order; those of known forms have no level
+    spans = [
+        sorted([(*s, -1, 0) for s in base] + [(start, 3, end, k, n) for start, end, k, n in more])
+        for base, more in zip(bases, tested, strict=True)
+    ]
+    kinds = [[sum(k == kind for _, k, _ in base) for base in bases] for kind in range(3)]
     return {
         "doc_id": doc_id,
         "n_assign": kinds[0],
         "n_access": kinds[1],
         "n_hex": kinds[2],
-        "n_random": [len(more) for _, more in found],
-        "base_sha256": [hashlib.sha256(_joined(base).encode()).hexdigest() for base, _ in found],
-        "spans": [_joined(sorted(base + more)) for base, more in found],
+        "base_sha256": [hashlib.sha256(_joined(base).encode()).hexdigest() for base in bases],
+        **{name: [[s[i] for s in row] for row in spans] for i, name in enumerate(("begin", "kind", "end", "level", "length"))},
     }
 
 
@@ -158,15 +180,34 @@ def secret_scan(docs: DataFrame) -> DataFrame:
 
     Base spans are assignments to a password-like name, access keys and long lower-case hex runs.
     Other strings of 20 and more symbols are tested: the encoding is inferred from the symbols,
-    and those spread too evenly for ordinary text, in random order, are added as ``random``.
+    and those spread too evenly for ordinary text, in random order, are added as ``random``. The
+    limit is set once over all strings of the table, from their counts by level, so that equal
+    strings get equal verdicts in whatever text they stand.
     Positions are code points, ends exclusive; spans are joined as kind:start:end by start.
 
     Null and empty texts have no spans (''); repeated rows and null doc_ids keep their rows; an
     empty table gives no rows; other columns are ignored. Memory is in proportion to one text.
     """
-    return map_texts(
+    path = new_dir(docs.sparkSession, "tested-strings")
+    map_texts(
         docs.select("doc_id", "text"),
-        "doc_id long, n_assign long, n_access long, n_hex long, n_random long, "
-        "base_sha256 string, spans string",
+        "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, "
+        "begin array<long>, kind array<long>, end array<long>, level array<long>, length array<long>",
         _rows,
+    ).write.parquet(path)
+    rows = docs.sparkSession.read.parquet(path)
+    tested = rows.select(F.explode(F.arrays_zip("level", "length")).alias("s")).where("s.level >= 0")
+    counts = tested.groupBy("s.level").agg(F.count("*").alias("n"), F.sum("s.length").alias("symbols")).collect()
+    total = sum(r.n for r in counts)
+    lowest = lowest_level({r.level: r.n for r in counts}, sum(r.symbols for r in counts) / total) if total else 0
+    found = rows.withColumn("s", F.expr(f"filter(arrays_zip(begin, kind, end, level), s -> s.kind < 3 OR s.level >= {lowest})"))
+    names = ", ".join(f"'{k}'" for k in KINDS)
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.expr("CAST(size(filter(s, x -> x.kind = 3)) AS BIGINT)").alias("n_random"),
+        "base_sha256",
+        F.expr(f"array_join(transform(s, x -> concat_ws(':', get(array({names}), CAST(x.kind AS INT)), x.begin, x.end)), ',')").alias("spans"),
     )
