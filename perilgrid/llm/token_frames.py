@@ -22,6 +22,7 @@ import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from tokenizers import Tokenizer
 
 from perilgrid.llm.arrow import text_slices
 from perilgrid.llm.shipping import ship_package
@@ -55,8 +56,11 @@ class FrameWriter:
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         """Append a document, given as little-endian unsigned 32-bit ids."""
-        self._docs.append((doc_id, len(ids) // 4))
-        self._held += np.frombuffer(ids, "<u4").astype(self._type).tobytes()
+        values = np.frombuffer(ids, "<u4")
+        if len(values) and int(values.max()) >> (8 * self._width):
+            raise ValueError(f"id {values.max()} does not fit {self._width} bytes")
+        self._docs.append((doc_id, len(values)))
+        self._held += values.astype(self._type).tobytes()
         while len(self._held) >= FRAME_BYTES:
             self._flush(FRAME_BYTES)
 
@@ -137,15 +141,25 @@ class FrameReader:
         return np.frombuffer(b"".join(parts), f"<u{self.width}").astype("<u4")
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, out_dir: str, end_id: int = 0, width: int = 2) -> DataFrame:
+def id_width(tokenizer: str, end_id: int = 0) -> int:
+    """Bytes that hold every id of a tokenizer and the end id: two or four."""
+    ids = Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values()
+    return 2 if max(end_id, *ids, 0) < 1 << 16 else 4
+
+
+def write_token_files(
+    docs: DataFrame, tokenizer: str, out_dir: str, end_id: int = 0, width: int | None = None
+) -> DataFrame:
     """Encode ``docs`` in ascending doc_id order; one row (part, path, n_docs, n_tokens) per file.
 
     Documents are dealt out by ranges of doc_id (nulls first) and sorted inside, so the files in
     order of ``part`` hold all of them in order; rows of equal id are ordered by text. Each task
     streams into a file of a name of its own, and only finished tasks report one, so a task that
-    runs again leaves an unlisted file at worst. ``width`` is the bytes of an id in the file.
+    runs again leaves an unlisted file at worst. ``width`` is the bytes of an id in the file, by
+    default as many as the tokenizer's vocabulary needs; an id that does not fit is an error.
     """
     ship_package(docs.sparkSession)
+    width = id_width(tokenizer, end_id) if width is None else width
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
