@@ -1,4 +1,4 @@
-"""SimHash near-duplicates: fingerprints of word shingles, linked by multi-index hashing."""
+"""SimHash near-duplicates: fingerprints of word shingles, linked by radius-one neighbourhoods."""
 
 from __future__ import annotations
 
@@ -54,12 +54,11 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
 def near_links(distinct: DataFrame) -> DataFrame:
     """Links (a, b) that connect exactly the fingerprints ``fp`` at two or fewer differing bits.
 
-    The fingerprint has two segments of 32 bits. For each segment, the ball of radius one around
-    its value is enumerated, the other segment staying as it is, and table entries are grouped by
-    the resulting value: two fingerprints at distance two or less always meet in such a value, and
-    nothing else does. An entry holds its members as a bit mask (which bit was flipped), so at most
+    The ball of radius one around the whole fingerprint is enumerated, without tables by segment,
+    and entries are grouped by the resulting value: two fingerprints at distance two or less always
+    meet in such a value, and nothing else does. An entry holds its members as a bit mask (which bit was flipped), so at most
     65 fingerprints meet in one entry however many copies exist, and counting is partial before the
-    shuffle. Members are linked to one of them, and the full distance is verified for each link.
+    shuffle. Members are linked to one of them; the distance test states the limit and drops no row.
     """
     segments = F.explode(F.sequence(F.lit(-1), F.lit(BITS - 1))).alias("_bit")
     balls = distinct.select("fp", segments).select(
