@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perilgrid.llm.chat_snapshots import format_chats
+from perilgrid.llm.chosen_path import path_groups
 from perilgrid.llm.decontaminate import find_benchmark
 from perilgrid.llm.line_dedup import line_dedup
 from perilgrid.llm.packing import pack
@@ -86,6 +87,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op11_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return path_groups(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_chat_snapshots": op2_chat_snapshots,
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
+    "op11_chosen_path": op11_chosen_path,
 }
 
 ORACLES: dict[str, str] = {
