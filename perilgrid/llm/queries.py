@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from perilgrid.llm.chat_snapshots import format_chats
 from perilgrid.llm.chosen_path import path_groups
+from perilgrid.llm.count_automata import collocations
 from perilgrid.llm.decontaminate import find_benchmark
 from perilgrid.llm.line_dedup import line_dedup
 from perilgrid.llm.packing import pack
 from perilgrid.llm.pseudonyms import pseudonymize
 from perilgrid.llm.quality_rules import quality_rules
+from perilgrid.llm.ranked_search import ranked_search
 from perilgrid.llm.secret_scan import secret_scan
 from perilgrid.llm.simhash import simhash_groups
 from perilgrid.llm.suffix_dedup import suffix_dedup
@@ -91,6 +93,14 @@ def op11_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return path_groups(_documents(spark, sf_dir))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_chat_snapshots": op2_chat_snapshots,
@@ -103,9 +113,72 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
     "op11_chosen_path": op11_chosen_path,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_collocations": op13_collocations,
 }
 
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"unnest(regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+
 ORACLES: dict[str, str] = {
+    "op12_ranked_search": f"""
+WITH t AS (SELECT doc_id, {_TERMS} AS term FROM documents),
+post AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+len AS (SELECT doc_id, count(*) AS n FROM t GROUP BY ALL),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM len),
+norm AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM len, total),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM post, total GROUP BY term, docs
+),
+query AS (SELECT item_id, {_TERMS} AS term FROM benchmark),
+wanted AS (SELECT item_id, term, count(*) AS c FROM query GROUP BY ALL),
+scored AS (
+  SELECT item_id, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN post USING (term) JOIN norm USING (doc_id) GROUP BY ALL
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+""",
+    "op13_collocations": rf"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         regexp_extract_all(unnest(regexp_split_to_array({_LOWER.format('text')}, '[.,;:!?
+
+]')), '[^ 	]+') AS w
+  FROM documents
+),
+word AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM piece),
+counts AS (
+  SELECT lang, array_to_string(w[i:i+k-1], ' ') AS phrase, k, count(*) AS f
+  FROM (SELECT *, unnest([1, 2, 3]) AS k FROM word) WHERE i + k - 1 <= len(w) GROUP BY ALL
+),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 10),
+parts AS (
+  SELECT *, array_to_string(w[1:cut], ' ') AS before, array_to_string(w[cut+1:], ' ') AS after
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand)
+),
+cuts AS (
+  SELECT p.*, l.f AS l, r.f AS r, ((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM parts p JOIN counts l ON l.lang = p.lang AND l.phrase = before JOIN counts r ON r.lang = p.lang AND r.phrase = after
+),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[j:j+1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest([1, 2]) AS j FROM cand WHERE k = 3) GROUP BY ALL
+),
+ranked AS (
+  SELECT x.lang, row_number() OVER (PARTITION BY x.lang ORDER BY score DESC, a DESC, x.phrase) AS rank,
+         x.phrase, a, l, r, n, score
+  FROM lowest x JOIN total USING (lang) LEFT JOIN inside i ON i.lang = x.lang AND i.phrase = x.phrase
+  WHERE i.longer IS NULL OR 100 * i.longer < 50 * a
+)
+SELECT * FROM ranked WHERE rank <= 2000
+""",
     "op2_chat_snapshots": """
 WITH t AS (
   SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL

@@ -1,0 +1,96 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from perilgrid.llm import count_automata as module
+from perilgrid.llm.count_automata import Shard, collocations, transducer
+from tests.llm.conftest import rows_of
+
+
+def plain_pieces(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [re.findall("[^\x20\x09]+", p) for p in re.split("[.,;:!?\n-\r]", low)]
+
+
+def plain_counts(rows):
+    counts = defaultdict(Counter)
+    for lang, text in rows:
+        for words in plain_pieces(text):
+            for k in (1, 2, 3):
+                counts["und" if lang is None else lang].update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    return counts
+
+
+def expected(rows, least=10, top=2000):
+    out = []
+    for lang, f in plain_counts(rows).items():
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        found = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        ranked = []
+        for p, a in found.items():
+            score, k = min((10**6 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            longer = [b for q, b in found.items() if len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))]
+            if not any(100 * b >= 50 * a for b in longer):
+                ranked.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(ranked)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, l, r, n, -score))
+    return sorted(out, key=repr)
+
+
+def made(rng):
+    rows = []
+    for _ in range(300):
+        words = [rng.choice(["A", "b", "é", "dd", "ee", "f\x00g", "h\xa0i", "ß"]) + rng.choice(["", "", ",", ".", "\n", "\x0b"]) for _ in range(rng.randrange(1, 40))]
+        rows.append((rng.choice(["en", "de", None, ""]), rng.choice([" ", "\t", "  "]).join(words)))
+    rows += [("en", None), (None, ""), ("fr", "."), ("en", "one phrase again " * 20_000), ("de", "x y z"), ("de", "x y z")]
+    return rows
+
+
+@pytest.mark.parametrize("shard_words, least, top", [(1 << 22, 10, 2000), (200, 10, 2000), (50, 3, 7)])
+def test_against_plain_python(spark, monkeypatch, shard_words, least, top):
+    rows = made(random.Random(shard_words))
+    monkeypatch.setattr(module, "SHARD_WORDS", shard_words)
+    df = spark.createDataFrame([(lang, text, i, i) for i, (lang, text) in enumerate(rows)], "lang string, text string, state long, weight long")
+    assert rows_of(collocations(df.repartition(5), least, top)) == expected(rows, least, top)
+
+
+def test_transducer_is_sorted_and_whole():
+    rows = [("en", t) for _, t in made(random.Random(9)) if t]
+    shard = Shard()
+    shard.add([t for _, t in rows])
+    arcs = [tuple(r.values()) for t in transducer("en", shard, (1, 2, 3)) for r in t.to_pylist()]
+    assert arcs[0][3] == sum(len(p) for _, t in rows for p in plain_pieces(t))
+    for order in (1, 2, 3):
+        own = [(s.encode(), w.encode()) for _, s, w, _ in arcs[1:] if len(f"{s} {w}".split(" ")) == order + (s == "")]
+        assert own == sorted(own)
+    want = {(" ".join(p[:-1]), p[-1]): c for p, c in plain_counts(rows)["en"].items()}
+    assert {(s, w): c for _, s, w, c in arcs[1:]} == want
+
+
+def test_filter_has_every_arc(spark):
+    rng = random.Random(10)
+    words = sorted({f"é{rng.randrange(10**6)}".encode() for _ in range(300)})
+    pairs = sorted({(rng.randrange(300), rng.randrange(300)) for _ in range(2000)})
+    names = [(("de"), words[a % len(words)].decode(), words[b % len(words)].decode()) for a, b in pairs]
+    known = module.arc_filter(spark.createDataFrame(names, "lang string, state string, label string"))
+    size = len(words)
+    arc = np.array([(a % size) * size + b % size for a, b in pairs])
+    held = pa.array([w.decode() for w in words])
+    assert module._probably("de", held, arc, size, known).all()
+    assert module._probably("fr", held, arc, size, known).mean() < 0.01
+
+
+def test_exact_beyond_64_bits(spark):
+    big = 3_000_000_000_000
+    exact = "cast((1000000 * cast(a AS decimal(19)) * cast(a AS decimal(19))) div (cast(l AS decimal(19)) * cast(r AS decimal(19))) AS long)"
+    got = spark.createDataFrame([(big, big + 1, big + 7)], "a long, l long, r long").select(F.expr(exact)).first()[0]
+    assert got == 10**6 * big * big // ((big + 1) * (big + 7))
+
+
+def test_empty_table(spark):
+    assert collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
