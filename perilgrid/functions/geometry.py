@@ -1,7 +1,9 @@
 """Point, polygon and box expressions over plain Spark structs.
 
 Points are ``struct<x,y>`` (longitude first); polygons are
-``struct<rings: array<array<struct<x,y>>>, bbox: struct<xmin,ymin,xmax,ymax>>``.
+``struct<rings: array<array<struct<x,y>>>, bbox: struct<xmin,ymin,xmax,ymax>, parts: array<int>>``,
+where ``parts`` is null for one part and else the number of rings of each of several parts. A part is its
+rings by the even-odd rule; a polygon of several parts is what at least one of them covers.
 Everything here is a built-in column expression: no Python runs per row.
 """
 
@@ -38,17 +40,33 @@ def let(name: str, value: str, body: str) -> str:
     return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
+_ONE_PART = "CAST(NULL AS ARRAY<INT>)"
+
+
 def polygon(rings: str) -> Column:
     """Attach the envelope to an array of rings; null rings give a null polygon."""
-    return F.expr(let("_rings", rings, _with_envelope("_rings")))
+    return F.expr(let("_rings", rings, with_envelope("_rings")))
+
+
+def multi_polygon(parts: str) -> Column:
+    """Polygon of several parts, each an array of rings; null parts give a null polygon."""
+    sizes = "CASE WHEN size(_parts) > 1 THEN transform(_parts, p -> size(p)) END"
+    return F.expr(let("_parts", parts, let("_rings", "flatten(_parts)", with_envelope("_rings", sizes))))
 
 
-def _with_envelope(rings: str) -> str:
+def part_rings(poly: str) -> str:
+    """The rings of each part of a polygon: an array of arrays of rings."""
+    before = f"aggregate(slice({poly}.parts, 1, i), 0, (a, b) -> a + b)"
+    several = f"transform({poly}.parts, (n, i) -> slice({poly}.rings, 1 + {before}, n))"
+    return f"CASE WHEN {poly}.parts IS NULL THEN array({poly}.rings) ELSE {several} END"
+
+
+def with_envelope(rings: str, parts: str = _ONE_PART) -> str:
     ends = ", ".join(
         f"'{axis}{fn}', array_{fn}(transform(_all, p -> p.{axis}))" for fn in ("min", "max") for axis in "xy"
     )
     box = let("_all", f"flatten({rings})", f"named_struct({ends})")
-    return f"CASE WHEN {rings} IS NOT NULL THEN named_struct('rings', {rings}, 'bbox', {box}) END"
+    return f"CASE WHEN {rings} IS NOT NULL THEN named_struct('rings', {rings}, 'bbox', {box}, 'parts', {parts}) END"
 
 
 def rectangle_rings(xmin: str, ymin: str, xmax: str, ymax: str) -> str:
@@ -63,9 +81,18 @@ def rectangle_rings(xmin: str, ymin: str, xmax: str, ymax: str) -> str:
 
 def edges(poly: str) -> str:
     """All ring segments of a polygon as ``array<struct<x0,y0,x1,y1>>``."""
+    return ring_edges(f"{poly}.rings")
+
+
+def part_edges(poly: str) -> str:
+    """The ring segments of each part of a polygon."""
+    return f"transform({part_rings(poly)}, rings -> {ring_edges('rings')})"
+
+
+def ring_edges(rings: str) -> str:
     n = "greatest(size(ring) - 1, 0)"
     return (
-        f"flatten(transform({poly}.rings, ring -> zip_with(slice(ring, 1, {n}), slice(ring, 2, {n}), "
+        f"flatten(transform({rings}, ring -> zip_with(slice(ring, 1, {n}), slice(ring, 2, {n}), "
         "(a, b) -> named_struct('x0', a.x, 'y0', a.y, 'x1', b.x, 'y1', b.y))))"
     )
 
@@ -108,14 +135,59 @@ def in_envelope(x: str, y: str, box: str) -> str:
 
 def st_intersects(geom: str, poly: str) -> Column:
     """Point column in the interior or on the boundary of the polygon column; null for nulls."""
-    x, y = f"{geom}.x", f"{geom}.y"
-    return _unless_null(geom, poly, f"{position(x, y, edges(poly))} <> {OUTSIDE}")
+    return _unless_null(geom, poly, _located(geom, poly, f"<> {OUTSIDE}"))
 
 
 def st_contains(poly: str, geom: str) -> Column:
     """Point column strictly inside the polygon column; boundary and holes do not count."""
+    return _unless_null(geom, poly, _located(geom, poly, f"= {INSIDE}"))
+
+
+def _located(geom: str, poly: str, wanted: str) -> str:
     x, y = f"{geom}.x", f"{geom}.y"
-    return _unless_null(geom, poly, f"{position(x, y, edges(poly))} = {INSIDE}")
+    several = f"exists({part_edges(poly)}, es -> {position(x, y, 'es')} {wanted})"
+    return f"CASE WHEN {poly}.parts IS NULL THEN {position(x, y, edges(poly))} {wanted} ELSE {several} END"
+
+
+def segments_meet(a: str, b: str) -> str:
+    """Two segments ``struct<x0,y0,x1,y1>`` cross or touch."""
+
+    def side(s: str, x: str, y: str) -> str:
+        return f"({s}.x1 - {s}.x0) * ({y} - {s}.y0) - ({s}.y1 - {s}.y0) * ({x} - {s}.x0)"
+
+    def apart(s: str, t: str) -> str:
+        """The ends of ``t`` lie on different sides of the line through ``s``."""
+        return f"(({side(s, f'{t}.x0', f'{t}.y0')}) > 0D) <> (({side(s, f'{t}.x1', f'{t}.y1')}) > 0D)"
+
+    def on(s: str, x: str, y: str) -> str:
+        return touches(x, y, f"{s}.x0", f"{s}.y0", f"{s}.x1", f"{s}.y1")
+
+    ends = [on(s, f"{t}.x{k}", f"{t}.y{k}") for s, t in ((a, b), (b, a)) for k in (0, 1)]
+    return f"(({apart(a, b)}) AND ({apart(b, a)}) OR {' OR '.join(ends)})"
+
+
+def parts_overlap(a: str, b: str) -> str:
+    """Two polygons, given as the segments of their parts, share at least one point.
+
+    Their outlines meet, or one of them has a part that begins inside the other. Segments outside of the
+    other's envelope are not compared.
+    """
+
+    def near(parts: str, other: str) -> str:
+        x, y = f"flatten({other})", f"flatten({parts})"
+        box = [f"array_{fn}(transform({x}, e -> {fn2}(e.{c}0, e.{c}1)))" for c in "xy" for fn, fn2 in (("min", "least"), ("max", "greatest"))]
+        keep = (
+            "greatest(e.x0, e.x1) >= _b.xmin AND least(e.x0, e.x1) <= _b.xmax "
+            "AND greatest(e.y0, e.y1) >= _b.ymin AND least(e.y0, e.y1) <= _b.ymax"
+        )
+        names = ("xmin", "xmax", "ymin", "ymax")
+        return let("_b", f"named_struct({', '.join(f"'{n}', {v}" for n, v in zip(names, box))})", f"filter({y}, e -> {keep})")
+
+    def begins(parts: str, other: str) -> str:
+        return f"exists({parts}, p -> exists({other}, es -> {position('p[0].x0', 'p[0].y0', 'es')} <> {OUTSIDE}))"
+
+    meet = let("_na", near(a, b), let("_nb", near(b, a), f"exists(_na, s -> exists(_nb, t -> {segments_meet('s', 't')}))"))
+    return f"({begins(a, b)} OR {begins(b, a)} OR {meet})"
 
 
 def _unless_null(geom: str, poly: str, exact: str) -> Column:

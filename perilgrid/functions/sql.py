@@ -6,26 +6,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perilgrid.functions.buckets import width_bucket_sql
-from perilgrid.functions.geometry import INSIDE, OUTSIDE, edges, position
+from perilgrid.functions.geometry import INSIDE, OUTSIDE, part_edges, parts_overlap, position
 from perilgrid.schema import geometry_fields
 
 # One SQL type for points and polygons, so that a function takes either in either order.
-# A point is its own envelope; `empty` is null for a null geometry.
+# A point is its own envelope and has no parts; `empty` is null for a null geometry.
 GEOMETRY = (
     "STRUCT<empty: BOOLEAN, xmin: DOUBLE, ymin: DOUBLE, xmax: DOUBLE, ymax: DOUBLE, "
-    "edges: ARRAY<STRUCT<x0: DOUBLE, y0: DOUBLE, x1: DOUBLE, y1: DOUBLE>>>"
+    "parts: ARRAY<ARRAY<STRUCT<x0: DOUBLE, y0: DOUBLE, x1: DOUBLE, y1: DOUBLE>>>>"
 )
 
 
 def _point(geom: Column) -> Column:
-    nothing = F.lit(None).cast("array<struct<x0:double,y0:double,x1:double,y1:double>>")
+    nothing = F.lit(None).cast("array<array<struct<x0:double,y0:double,x1:double,y1:double>>>")
     return F.struct(
         F.when(geom.isNotNull(), geom["x"].isNull()).alias("empty"),
         geom["x"].alias("xmin"),
         geom["y"].alias("ymin"),
         geom["x"].alias("xmax"),
         geom["y"].alias("ymax"),
-        nothing.alias("edges"),
+        nothing.alias("parts"),
     )
 
 
@@ -34,7 +34,7 @@ def _polygon(name: str) -> Column:
     return F.struct(
         F.when(geom.isNotNull(), F.size(geom["rings"]) == 0).alias("empty"),
         *[geom["bbox"][n].alias(n) for n in ("xmin", "ymin", "xmax", "ymax")],
-        F.expr(edges(name)).alias("edges"),
+        F.expr(f"CASE WHEN {name} IS NOT NULL THEN {part_edges(name)} END").alias("parts"),
     )
 
 
@@ -72,8 +72,11 @@ def register(spark: SparkSession) -> None:
     g = f"g {GEOMETRY}"
     ab = f"a {GEOMETRY}, b {GEOMETRY}"
     overlap = "a.xmin <= b.xmax AND a.xmax >= b.xmin AND a.ymin <= b.ymax AND a.ymax >= b.ymin"
-    in_a, in_b = position("b.xmin", "b.ymin", "a.edges"), position("a.xmin", "a.ymin", "b.edges")
-    unsupported = "raise_error('polygon with polygon is not supported')"
+    in_a, in_b = position("b.xmin", "b.ymin", "es"), position("a.xmin", "a.ymin", "es")
+    # a rectangle holds a polygon if it holds its envelope; other outlines are not compared that way
+    is_box = "size(a.parts) = 1 AND size(a.parts[0]) = 4 AND forall(a.parts[0], e -> e.x0 = e.x1 OR e.y0 = e.y1)"
+    holds = "a.xmin <= b.xmin AND a.xmax >= b.xmax AND a.ymin <= b.ymin AND a.ymax >= b.ymax AND NOT b.empty"
+    unsupported = "raise_error('only a box can be tested for containing a polygon')"
 
     def edge(x0: str, y0: str, x1: str, y1: str) -> str:
         return f"named_struct('x0', {x0}, 'y0', {y0}, 'x1', {x1}, 'y1', {y1})"
@@ -89,8 +92,8 @@ def register(spark: SparkSession) -> None:
     )
     corners = "x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE"
 
-    _function(spark, "st_x", g, "DOUBLE", "CASE WHEN g.edges IS NULL THEN g.xmin END")
-    _function(spark, "st_y", g, "DOUBLE", "CASE WHEN g.edges IS NULL THEN g.ymin END")
+    _function(spark, "st_x", g, "DOUBLE", "CASE WHEN g.parts IS NULL THEN g.xmin END")
+    _function(spark, "st_y", g, "DOUBLE", "CASE WHEN g.parts IS NULL THEN g.ymin END")
     _function(spark, "st_isempty", g, "BOOLEAN", "g.empty")
     _function(
         spark,
@@ -98,24 +101,26 @@ def register(spark: SparkSession) -> None:
         corners,
         GEOMETRY,
         f"named_struct('empty', false, 'xmin', {left}, 'ymin', {bottom}, 'xmax', {right}, 'ymax', {top}, "
-        f"'edges', array({box_edges}))",
+        f"'parts', array(array({box_edges})))",
     )
     _function(
         spark,
         "st_intersects",
         ab,
         "BOOLEAN",
-        f"{overlap} AND CASE WHEN a.edges IS NULL AND b.edges IS NULL THEN true "
-        f"WHEN b.edges IS NULL THEN {in_a} <> {OUTSIDE} WHEN a.edges IS NULL THEN {in_b} <> {OUTSIDE} "
-        f"ELSE {unsupported} END",
+        f"{overlap} AND CASE WHEN a.parts IS NULL AND b.parts IS NULL THEN true "
+        f"WHEN b.parts IS NULL THEN exists(a.parts, es -> {in_a} <> {OUTSIDE}) "
+        f"WHEN a.parts IS NULL THEN exists(b.parts, es -> {in_b} <> {OUTSIDE}) "
+        f"ELSE {parts_overlap('a.parts', 'b.parts')} END",
     )
     _function(
         spark,
         "st_contains",
         ab,
         "BOOLEAN",
-        f"{overlap} AND CASE WHEN a.edges IS NULL THEN b.edges IS NULL "
-        f"WHEN b.edges IS NULL THEN {in_a} = {INSIDE} ELSE {unsupported} END",
+        f"{overlap} AND CASE WHEN a.parts IS NULL THEN b.parts IS NULL "
+        f"WHEN b.parts IS NULL THEN exists(a.parts, es -> {in_a} = {INSIDE}) "
+        f"WHEN {is_box} THEN {holds} ELSE {unsupported} END",
     )
     _function(
         spark,

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from perilgrid.functions import geometry as g
 from perilgrid.functions.sql import create_feature_view, register
 from perilgrid.operators import hexbin
+from perilgrid.operators.polygon_join import polygon_join
 from perilgrid.operators.rollup import sum_and_avg
 from perilgrid.operators.spatial_join import spatial_join
 from perilgrid.plans import inputs, reports
-from perilgrid.plans.oracles import BUCKETS, HISTOGRAM_PORTFOLIO, LOOKUP_SITE, PORTFOLIO
+from perilgrid.plans.oracles import BUCKETS, FIRE_BOX, HISTOGRAM_PORTFOLIO, LOOKUP_SITE, PORTFOLIO
 from perilgrid.schema import FEATURE_TYPES, FID
 from perilgrid.session import new_dir
 from perilgrid.sources import ingest
@@ -226,6 +227,38 @@ def fire_lookup_site(spark, sf_dir):
     return reports.footprints_at_site(inputs.sites(spark, sf_dir), inputs.footprints(spark, sf_dir), LOOKUP_SITE)
 
 
+@query
+def fire_exposure_multipart(spark, sf_dir):
+    """Footprints of several parts, some over each other: a site counts once for a footprint."""
+    sites = inputs.sites(spark, sf_dir, heavy=True).select("portfolio_id", "s_udf_met1", FID, "geom")
+    pairs = spatial_join(sites, inputs.multi_footprints(spark, sf_dir).select("OBJECTID", "geometry"))
+    total = F.round(F.sum("s_udf_met1"), DIGITS).alias("sum_s_udf_met1")
+    return pairs.groupBy("portfolio_id").agg(total, F.count(F.lit(1)).alias("n_pairs"))
+
+
+@query
+def fire_contains_multipart(spark, sf_dir):
+    """The same pairs, strictly inside, through the join that shuffles tiles and splits hot ones."""
+    sites = inputs.sites(spark, sf_dir, heavy=True).select(FID, "geom")
+    fires = inputs.multi_footprints(spark, sf_dir).select("OBJECTID", "geometry")
+    return spatial_join(sites, fires, "contains", broadcast_bytes=0, left_rows=20_000, right_rows=50).drop("geom")
+
+
+@query
+def footprints_in_box(spark, sf_dir):
+    register(spark)
+    create_feature_view(inputs.multi_footprints(spark, sf_dir), "fires")
+    corners = ", ".join(f"{v}D" for v in FIRE_BOX)
+    return spark.sql(f"SELECT OBJECTID FROM fires WHERE st_intersects(st_makeBBOX({corners}), geometry)")
+
+
+@query
+def footprint_overlaps(spark, sf_dir):
+    fires = inputs.multi_footprints(spark, sf_dir)
+    left, right = (fires.select(F.col("OBJECTID").alias(c), "geometry") for c in "ab")
+    return polygon_join(left, right).where("a < b")
+
+
 # --- losses --------------------------------------------------------------------------------
 
 
@@ -489,6 +522,35 @@ def ingest_geojson_collection(spark, sf_dir):
     return _footprint_edges(read_feature_table(spark, root, "wildfireevent"))
 
 
+def _multi_feature(footprints: DataFrame) -> DataFrame:
+    """One indented GeoJSON feature of several parts per row."""
+    parts = F.transform(F.expr(g.part_rings("geometry")), lambda p: F.transform(p, lambda ring: F.transform(ring, lambda v: F.array(v["x"], v["y"]))))
+    shape = F.struct(F.lit("MultiPolygon").alias("type"), parts.alias("coordinates"))
+    properties = F.struct("OBJECTID", "FIRE_NAME", "ACRES")
+    feature = F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), shape.alias("geometry"))
+    return footprints.select("OBJECTID", F.to_json(feature, {"pretty": "true"}).alias("value"))
+
+
+@query
+def ingest_geojson_indented(spark, sf_dir):
+    """Collections as most tools write them: indented over many lines, features of several parts."""
+    root = new_dir(spark, "indented")
+    features = _multi_feature(inputs.multi_footprints(spark, sf_dir))
+    grouped = features.groupBy(F.floor(F.col("OBJECTID") / 500)).agg(F.array_join(F.collect_list("value"), ",\n").alias("value"))
+    head = '{\n  "type": "FeatureCollection",\n  "crs": { "type": "name", "properties": { "name": "CRS84" } },\n  "features": [\n'
+    grouped.select(F.concat(F.lit(head), "value", F.lit("\n  ]\n}"))).write.text(f"{root}/source")
+    rows = ingest.ingest_geojson(spark, f"{root}/source", key_columns=["OBJECTID"])
+    ingest.load(rows, root, "wildfireevent", quarantine=f"{root}/quarantine")
+    loaded = read_feature_table(spark, root, "wildfireevent")
+    rings = loaded.select("OBJECTID", "FIRE_NAME", "ACRES", F.expr(f"posexplode({g.part_rings('geometry')}) AS (part, _rings)"))
+    rings = rings.select("OBJECTID", "FIRE_NAME", "ACRES", "part", F.posexplode("_rings").alias("ring", "_points"))
+    ends = F.posexplode(F.expr("slice(_points, 1, size(_points) - 1)")).alias("seq", "_from")
+    return rings.select("*", ends).selectExpr(
+        "OBJECTID", "FIRE_NAME", "ACRES", "part", "ring", "seq", "_from.x AS x0", "_from.y AS y0",
+        "_points[seq + 1].x AS x1", "_points[seq + 1].y AS y1",
+    )
+
+
 @query
 def ingest_text_counts(spark, sf_dir):
     """Blank lines, lines with a stray control character and lines with too many fields fail."""

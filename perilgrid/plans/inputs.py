@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from perilgrid.functions.geometry import polygon, rectangle_rings
+from perilgrid.functions.geometry import multi_polygon, polygon, rectangle_rings
 from perilgrid.schema import FEATURE_TYPES, FID
 
 # --- expressions shared with the oracle --------------------------------------------------
@@ -137,6 +137,19 @@ HOLE = ((0.2, 0.2), (-0.2, 0.2), (-0.2, -0.2), (0.2, -0.2), (0.2, 0.2))
 HOLE_EVERY = 7  # footprints whose id is a multiple of this have the hole
 
 
+def _moved(ring, scale: float, dx: float, dy: float):
+    return tuple((scale * x + dx, scale * y + dy) for x, y in ring)
+
+
+# parts of a footprint of several: the star with its hole, a smaller one over its corner with a hole of its own,
+# a star apart from both; ids leave 0, 1 or 2 when divided by 3 and have that many parts more than one
+PARTS = (
+    (STAR, HOLE),
+    (_moved(STAR, 0.75, 0.5, 0.25), _moved(HOLE, 0.75, 0.5, 0.25)),
+    (_moved(STAR, 0.5, 2.5, 0.0),),
+)
+
+
 def _projection(columns: dict[str, str]) -> list[str]:
     return [f"{expr} AS {name}" for name, expr in columns.items()]
 
@@ -186,18 +199,28 @@ def zooms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "part").where(ZOOM_FILTER).selectExpr(*_projection(ZOOM_COLUMNS))
 
 
-def footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shaped = _table(spark, sf_dir, "supplier").selectExpr(*_projection(FOOTPRINT_COLUMNS))
+def _ring_literal(offsets) -> str:
+    return f"array({', '.join(f"named_struct('x', {dx!r}D, 'y', {dy!r}D)" for dx, dy in offsets)})"
+
 
-    def literal(offsets) -> str:
-        return f"array({', '.join(f"named_struct('x', {dx}D, 'y', {dy}D)" for dx, dy in offsets)})"
+_PLACED = "transform({}, ring -> transform(ring, o -> named_struct('x', cx + r * o.x, 'y', cy + r * o.y)))"
 
+
+def footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shaped = _table(spark, sf_dir, "supplier").selectExpr(*_projection(FOOTPRINT_COLUMNS))
     offsets = (
-        f"CASE WHEN OBJECTID % {HOLE_EVERY} = 0 THEN array({literal(STAR)}, {literal(HOLE)}) "
-        f"ELSE array({literal(STAR)}) END"
+        f"CASE WHEN OBJECTID % {HOLE_EVERY} = 0 THEN array({_ring_literal(STAR)}, {_ring_literal(HOLE)}) "
+        f"ELSE array({_ring_literal(STAR)}) END"
     )
-    rings = f"transform({offsets}, ring -> transform(ring, o -> named_struct('x', cx + r * o.x, 'y', cy + r * o.y)))"
-    return shaped.withColumn("geometry", polygon(rings)).drop("cx", "cy", "r")
+    return shaped.withColumn("geometry", polygon(_PLACED.format(offsets))).drop("cx", "cy", "r")
+
+
+def multi_footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Footprints of one to three parts, some of which overlap, with holes."""
+    shaped = _table(spark, sf_dir, "supplier").selectExpr(*_projection(FOOTPRINT_COLUMNS))
+    parts = [_PLACED.format(f"array({', '.join(map(_ring_literal, rings))})") for rings in PARTS]
+    chosen = f"slice(array({', '.join(parts)}), 1, CAST(OBJECTID % {len(PARTS)} + 1 AS INT))"
+    return shaped.withColumn("geometry", multi_polygon(chosen)).drop("cx", "cy", "r")
 
 
 def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,13 +239,43 @@ def _select(columns: dict[str, str], table: str, where: str | None = None, extra
     return f"{sql} WHERE {where}" if where else sql
 
 
-def _edge_rows() -> str:
+def _edge_rows(rings) -> list[str]:
     rows = []
-    for ring, offsets in enumerate((STAR, HOLE)):
+    for ring, offsets in enumerate(rings):
         for seq, ((x0, y0), (x1, y1)) in enumerate(zip(offsets, offsets[1:])):
-            rows.append(f"({ring}, {seq}, {x0}, {y0}, {x1}, {y1})")
-    return ", ".join(rows)
+            rows.append(f"{ring}, {seq}, {x0!r}, {y0!r}, {x1!r}, {y1!r}")
+    return rows
+
+
+def _edges_of(rows: str, columns: str, where: str) -> str:
+    return f"""
+        SELECT OBJECTID, {columns}ring, seq, cx + r * dx0 AS x0, cy + r * dy0 AS y0, cx + r * dx1 AS x1, cy + r * dy1 AS y1
+        FROM footprints CROSS JOIN (
+          SELECT {columns}ring, seq, CAST(dx0 AS DOUBLE) AS dx0, CAST(dy0 AS DOUBLE) AS dy0,
+                 CAST(dx1 AS DOUBLE) AS dx1, CAST(dy1 AS DOUBLE) AS dy1
+          FROM (VALUES {rows}) v({columns}ring, seq, dx0, dy0, dx1, dy1)) o
+        WHERE {where}"""
+
 
+_MULTI_ROWS = ", ".join(f"({part}, {row})" for part, rings in enumerate(PARTS) for row in _edge_rows(rings))
+
+
+def _located(edges: str, boxes: str, part: str = "") -> str:
+    """Every (site, footprint) pair inside the envelope, with its crossing count and boundary flag."""
+    same = " AND e.part = b.part" if part else ""
+    return f"""
+        SELECT s.{FID}, e.OBJECTID{part},
+          sum(CASE WHEN (y0 > geom_y) <> (y1 > geom_y)
+                    AND geom_x < (x1 - x0) * (geom_y - y0) / (y1 - y0) + x0 THEN 1 ELSE 0 END) % 2 = 1 AS inside,
+          max(CASE WHEN (x1 - x0) * (geom_y - y0) - (y1 - y0) * (geom_x - x0) = 0
+                    AND geom_x BETWEEN least(x0, x1) AND greatest(x0, x1)
+                    AND geom_y BETWEEN least(y0, y1) AND greatest(y0, y1) THEN 1 ELSE 0 END) = 1 AS on_edge
+        FROM sites s JOIN {boxes} b ON geom_x BETWEEN xmin AND xmax AND geom_y BETWEEN ymin AND ymax
+        JOIN {edges} e ON e.OBJECTID = b.OBJECTID{same}
+        GROUP BY s.{FID}, e.OBJECTID{part}"""
+
+
+_BOX = "SELECT OBJECTID{0}, min(x0) AS xmin, max(x0) AS xmax, min(y0) AS ymin, max(y0) AS ymax FROM {1} GROUP BY OBJECTID{0}"
 
 ORACLE_VIEWS = {
     "sites": _select(
@@ -237,27 +290,25 @@ ORACLE_VIEWS = {
     "footprints": _select(FOOTPRINT_COLUMNS, "supplier"),
     "policies": _select(POLICY_COLUMNS, "orders"),
     "accounts": _select(ACCOUNT_COLUMNS, "customer"),
-    "edges": f"""
-        SELECT OBJECTID, ring, seq, cx + r * dx0 AS x0, cy + r * dy0 AS y0, cx + r * dx1 AS x1, cy + r * dy1 AS y1
-        FROM footprints CROSS JOIN (
-          SELECT ring, seq, CAST(dx0 AS DOUBLE) AS dx0, CAST(dy0 AS DOUBLE) AS dy0,
-                 CAST(dx1 AS DOUBLE) AS dx1, CAST(dy1 AS DOUBLE) AS dy1
-          FROM (VALUES {_edge_rows()}) v(ring, seq, dx0, dy0, dx1, dy1)) o
-        WHERE ring = 0 OR OBJECTID % {HOLE_EVERY} = 0""",
-    "boxes": "SELECT OBJECTID, min(x0) AS xmin, max(x0) AS xmax, min(y0) AS ymin, max(y0) AS ymax FROM edges GROUP BY OBJECTID",
-    # every (site, footprint) pair inside the envelope, with its crossing count and boundary flag
-    "located": f"""
-        SELECT s.{FID}, e.OBJECTID,
-          sum(CASE WHEN (y0 > geom_y) <> (y1 > geom_y)
-                    AND geom_x < (x1 - x0) * (geom_y - y0) / (y1 - y0) + x0 THEN 1 ELSE 0 END) % 2 = 1 AS inside,
-          max(CASE WHEN (x1 - x0) * (geom_y - y0) - (y1 - y0) * (geom_x - x0) = 0
-                    AND geom_x BETWEEN least(x0, x1) AND greatest(x0, x1)
-                    AND geom_y BETWEEN least(y0, y1) AND greatest(y0, y1) THEN 1 ELSE 0 END) = 1 AS on_edge
-        FROM sites s JOIN boxes b ON geom_x BETWEEN xmin AND xmax AND geom_y BETWEEN ymin AND ymax
-        JOIN edges e ON e.OBJECTID = b.OBJECTID
-        GROUP BY s.{FID}, e.OBJECTID""",
+    "edges": _edges_of(
+        ", ".join(f"({row})" for row in _edge_rows((STAR, HOLE))), "", f"ring = 0 OR OBJECTID % {HOLE_EVERY} = 0"
+    ),
+    "boxes": _BOX.format("", "edges"),
+    "located": _located("edges", "boxes"),
+    "multi_edges": _edges_of(_MULTI_ROWS, "part, ", f"part <= OBJECTID % {len(PARTS)}"),
+    "multi_boxes": _BOX.format(", part", "multi_edges"),
+    "multi_located": _located("multi_edges", "multi_boxes", ", e.part"),
+}
+_DEPENDS = {
+    "sites": ["side"],
+    "grid": ["side"],
+    "edges": ["footprints"],
+    "boxes": ["edges"],
+    "located": ["sites", "boxes"],
+    "multi_edges": ["footprints"],
+    "multi_boxes": ["multi_edges"],
+    "multi_located": ["sites", "multi_boxes"],
 }
-_DEPENDS = {"sites": ["side"], "grid": ["side"], "edges": ["footprints"], "boxes": ["edges"], "located": ["sites", "boxes"]}
 
 
 def with_views(query: str, *views: str) -> str:

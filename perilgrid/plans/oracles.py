@@ -89,6 +89,44 @@ _EXPOSURE = f"""SELECT portfolio_id, round(sum(s_udf_met1), 4) AS sum_s_udf_met1
   FROM located JOIN sites USING ({FID}) WHERE inside OR on_edge GROUP BY portfolio_id"""
 _CONTAINED = f"""SELECT {FID}, {_SITE}, OBJECTID FROM located JOIN sites USING ({FID}) WHERE inside AND NOT on_edge"""
 
+
+
+def _side(s: str, t: str, k: int) -> str:
+    """On which side of segment ``s`` an end of ``t`` lies."""
+    return f"(({s}.x1 - {s}.x0) * ({t}.y{k} - {s}.y0) - ({s}.y1 - {s}.y0) * ({t}.x{k} - {s}.x0))"
+
+
+def _on(s: str, t: str, k: int) -> str:
+    x, y = f"{t}.x{k}", f"{t}.y{k}"
+    return f"({_side(s, t, k)} = 0 AND {x} BETWEEN least({s}.x0, {s}.x1) AND greatest({s}.x0, {s}.x1) AND {y} BETWEEN least({s}.y0, {s}.y1) AND greatest({s}.y0, {s}.y1))"
+
+
+_CROSS = " AND ".join(f"({_side(s, t, 0)} > 0) <> ({_side(s, t, 1)} > 0)" for s, t in (("s", "t"), ("t", "s")))
+_TOUCH = " OR ".join(_on(s, t, k) for s, t in (("s", "t"), ("t", "s")) for k in (0, 1))
+_ODD = """sum(CASE WHEN (t.y0 > s.y0) <> (t.y1 > s.y0) AND s.x0 < (t.x1 - t.x0) * (s.y0 - t.y0) / (t.y1 - t.y0) + t.x0
+  THEN 1 ELSE 0 END) % 2 = 1"""
+
+
+def _overlaps(a: str, b: str, where: str) -> str:
+    """Pairs (a, b) of outlines, given as segments with ids, that meet or of which one holds a vertex of the other."""
+
+    def held(a: str, b: str, swapped: bool) -> str:
+        ids = "t.id AS a, s.id AS b" if swapped else "s.id AS a, t.id AS b"
+        return f"SELECT {ids} FROM {a} s JOIN {b} t ON {where} GROUP BY s.id, t.id, s.part, t.part, s.ring, s.seq, s.x0, s.y0 HAVING {_ODD}"
+
+    return f"""SELECT DISTINCT a, b FROM (
+      SELECT s.id AS a, t.id AS b FROM {a} s JOIN {b} t ON {where} WHERE ({_CROSS}) OR {_TOUCH}
+      UNION ALL {held(a, b, False)} UNION ALL {held(b, a, True)})"""
+
+
+_MULTI = "(SELECT OBJECTID AS id, part, ring, seq, x0, y0, x1, y1 FROM multi_edges)"
+FIRE_BOX = (-97.25, 28.5, -94.5, 31.25)
+_BOX_SIDES = """(SELECT 0 AS id, 0 AS part, 0 AS ring, seq, CAST(x0 AS DOUBLE) AS x0, CAST(y0 AS DOUBLE) AS y0,
+  CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1
+  FROM (VALUES (0, {0}, {1}, {2}, {1}), (1, {2}, {1}, {2}, {3}), (2, {2}, {3}, {0}, {3}), (3, {0}, {3}, {0}, {1})) v(seq, x0, y0, x1, y1))""".format(*FIRE_BOX)
+_MULTI_EXPOSURE = f"""SELECT portfolio_id, round(sum(s_udf_met1), 4) AS sum_s_udf_met1, count(*) AS n_pairs
+  FROM (SELECT DISTINCT {FID}, OBJECTID FROM multi_located WHERE inside OR on_edge) JOIN sites USING ({FID}) GROUP BY portfolio_id"""
+
 ORACLES: dict[str, str] = {
     # scans
     "scan_feature_table": w(_SITE_ROWS, "sites"),
@@ -131,6 +169,12 @@ ORACLES: dict[str, str] = {
         f"SELECT portfolio_id FROM located JOIN sites USING ({FID}) WHERE site_id = '{LOOKUP_SITE}' AND (inside OR on_edge)",
         "located",
     ),
+    "fire_exposure_multipart": w(_MULTI_EXPOSURE, "multi_located"),
+    "fire_contains_multipart": w(
+        f"SELECT DISTINCT {FID}, OBJECTID FROM multi_located WHERE inside AND NOT on_edge", "multi_located"
+    ),
+    "footprints_in_box": w(f"SELECT b AS \"OBJECTID\" FROM ({_overlaps(_BOX_SIDES, _MULTI, 'true')})", "multi_edges"),
+    "footprint_overlaps": w(_overlaps(_MULTI, _MULTI, "s.id <> t.id") + " WHERE a < b", "multi_edges"),
     # losses
     "loss_by_portfolio": w(_loss("portfolio_id"), "sites", "losses"),
     "loss_by_portfolio_bbox": w(_loss("portfolio_id", f"WHERE {GULF_INTERIOR}"), "sites", "losses"),
@@ -183,6 +227,10 @@ ORACLES: dict[str, str] = {
     "ingest_portfolio_account": w("SELECT * FROM accounts", "accounts"),
     "ingest_site_loss": w("SELECT * FROM losses", "losses"),
     "ingest_geojson_collection": w(f"{_EDGES} WHERE f.OBJECTID % 9 <> 4", "footprints", "edges"),
+    "ingest_geojson_indented": w(
+        "SELECT f.OBJECTID, FIRE_NAME, ACRES, part, ring, seq, x0, y0, x1, y1 FROM footprints f JOIN multi_edges e ON e.OBJECTID = f.OBJECTID",
+        "multi_edges",
+    ),
     "ingest_text_counts": "SELECT count(*) FILTER (p_partkey % 7 > 2) AS written, count(*) FILTER (p_partkey % 7 <= 2) AS failed FROM part",
     "ingest_wildfire_geojson": w(_EDGES, "footprints", "edges"),
     "ingest_quality_counts": "SELECT count(*) FILTER (l_linenumber <> 7) AS written, count(*) FILTER (l_linenumber = 7) AS failed FROM lineitem",

@@ -11,8 +11,13 @@ FID = "__fid__"
 
 POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 BOX = T.StructType([T.StructField(n, T.DoubleType()) for n in ("xmin", "ymin", "xmax", "ymax")])
+# rings of all parts; `parts` has the number of rings of each, null for a polygon of one part
 POLYGON = T.StructType(
-    [T.StructField("rings", T.ArrayType(T.ArrayType(POINT))), T.StructField("bbox", BOX)]
+    [
+        T.StructField("rings", T.ArrayType(T.ArrayType(POINT))),
+        T.StructField("bbox", BOX),
+        T.StructField("parts", T.ArrayType(T.IntegerType())),
+    ]
 )
 
 _TYPES = {
@@ -90,7 +95,7 @@ def geometry_fields(schema: T.StructType) -> dict[str, str]:
         names = field.dataType.fieldNames() if isinstance(field.dataType, T.StructType) else []
         if names == ["x", "y"]:
             found[field.name] = "Point"
-        elif names == ["rings", "bbox"]:
+        elif names[:2] == ["rings", "bbox"]:
             found[field.name] = "Polygon"
     return found
 

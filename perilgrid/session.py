@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -49,3 +51,20 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder that `new_dir` named, once nothing is to be read from it any more."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the session's Python workers, once for each context."""
+    context = spark.sparkContext
+    if getattr(context, "_perilgrid_shipped", None):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.TemporaryDirectory()  # kept as long as the context, which serves the file
+    path = os.path.join(folder.name, "perilgrid.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for base, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(base, name)
+                archive.write(full, os.path.relpath(full, os.path.dirname(top)))
+    context.addPyFile(path)
+    context._perilgrid_shipped = folder

@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perilgrid.functions.geometry import let, polygon, valid_rings
+from perilgrid.functions.geometry import let, multi_polygon, valid_rings
 from perilgrid.schema import FeatureType
+from perilgrid.sources.json_scan import feature_texts
 
-_COORDINATES = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
+_POSITIONS = T.ArrayType(T.ArrayType(T.DoubleType()))
+_PARTS = T.ArrayType(T.ArrayType(_POSITIONS))
 
 
 def feature_schema(feature_type: FeatureType) -> T.StructType:
-    """Layout of one feature: scalar attributes under ``properties``, rings under ``geometry``."""
+    """Layout of one feature: scalar attributes under ``properties``, coordinates as text under ``geometry``."""
     properties = T.StructType(
         [f for f in feature_type.schema if not isinstance(f.dataType, T.StructType)]
     )
     geometry = T.StructType(
-        [T.StructField("type", T.StringType()), T.StructField("coordinates", _COORDINATES)]
+        [T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())]
     )
     return T.StructType(
         [
@@ -33,6 +37,9 @@ def feature_schema(feature_type: FeatureType) -> T.StructType:
 def read_features(spark: SparkSession, path: str | list[str], feature_type: FeatureType, layout: str) -> DataFrame:
     """One row per feature with columns ``type, id, properties, geometry``.
 
+    ``any``: documents of any layout, indented or not, one or several to a file; files of any size are split
+    over tasks (see :func:`perilgrid.sources.json_scan.feature_texts`). ``auto``, the default: ``lines`` if the
+    first feature of the input stands on a line of its own, else ``any``.
     ``lines``: one feature per line, as in newline-delimited GeoJSON or a collection written with
     one feature per line and its other members on lines of their own; several features on a line,
     beside the frame or a whole collection on one line, are read as well. Files of any size are
@@ -43,6 +50,11 @@ def read_features(spark: SparkSession, path: str | list[str], feature_type: Feat
     one row of nulls.
     """
     schema = feature_schema(feature_type)
+    if layout == "auto":
+        layout = _guess(spark, path)
+    if layout == "any":
+        texts = feature_texts(spark, path)
+        return texts.select(F.from_json("text", schema, {"mode": "PERMISSIVE"}).alias("f")).select("f.*")
     if layout == "lines":
         text = F.regexp_replace(F.trim("value"), r",\s*$", "")
         listed = F.concat(F.lit("["), F.regexp_replace(text, _OPENING, ""), F.lit("]"))
@@ -90,7 +102,27 @@ _RECORD = (
 _OPENING = r'^(?:(?:(?!"Feature").)*?"features"\s*:\s*\[|\[)(?=\s*\{)'
 
 
+_HEAD_PIECES = 64
+
+
+def _guess(spark: SparkSession, path: str | list[str]) -> str:
+    """Layout of the input by its head, which is read up to a number of closing braces."""
+    head = "}".join(r.value for r in spark.read.option("lineSep", "}").text(path).limit(_HEAD_PIECES).collect())
+    lines = [line.strip().rstrip(",") for line in head.splitlines()]
+    features = [line for line in lines if re.search(r'"type"\s*:\s*"Feature"', line)]
+    if len(lines) < 2 and features:
+        return "any"
+    return "any" if features and not re.search(r"[\[{].*[}\]]$", features[0]) else "lines"
+
+
 def feature_polygon() -> Column:
-    """Polygon of a feature row; null unless it is a Polygon with closed, complete rings."""
-    rings = "transform(geometry.coordinates, r -> transform(r, p -> named_struct('x', get(p, 0), 'y', get(p, 1))))"
-    return polygon(f"CASE WHEN geometry.type = 'Polygon' THEN {let('_read', rings, f'CASE WHEN {valid_rings("_read")} THEN _read END')} END")
+    """Polygon of a feature row; null unless it is a Polygon or MultiPolygon with closed, complete rings.
+
+    Coordinates are kept as text until the geometry's type tells how deep they are nested.
+    """
+    # a polygon is read as the only part of one
+    text = "CASE WHEN geometry.type = 'Polygon' THEN concat('[', geometry.coordinates, ']') WHEN geometry.type = 'MultiPolygon' THEN geometry.coordinates END"
+    parts = f"from_json({text}, '{_PARTS.simpleString()}')"
+    points = "transform(_parts_read, rings -> transform(rings, r -> transform(r, p -> named_struct('x', get(p, 0), 'y', get(p, 1)))))"
+    valid = f"coalesce(size(_read) > 0 AND forall(_read, part -> {valid_rings('part')}), false)"
+    return multi_polygon(let("_parts_read", parts, let("_read", points, f"CASE WHEN {valid} THEN _read END")))

@@ -103,9 +103,9 @@ def ingest_geojson(
     path: str | list[str],
     name: str = "wildfireevent",
     key_columns: list[str] | None = None,
-    layout: str = "lines",
+    layout: str = "auto",
 ) -> DataFrame:
-    """Read polygon features: ``__fid__``, attributes, ``_ok``.
+    """Read polygon features, of one or several parts: ``__fid__``, attributes, ``_ok``.
 
     Without ``key_columns`` the feature's own ``id`` is used, then a hash of its content.
     """
