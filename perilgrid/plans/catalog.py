@@ -14,7 +14,7 @@ from perilgrid.operators.polygon_join import polygon_join
 from perilgrid.operators.rollup import sum_and_avg
 from perilgrid.operators.spatial_join import spatial_join
 from perilgrid.plans import inputs, reports
-from perilgrid.plans.oracles import BUCKETS, FIRE_BOX, HISTOGRAM_PORTFOLIO, LOOKUP_SITE, PORTFOLIO
+from perilgrid.plans.oracles import BUCKETS, FIRE_BOX, HISTOGRAM_PORTFOLIO, LIMIT_BUCKETS, LOOKUP_SITE, PORTFOLIO
 from perilgrid.schema import FEATURE_TYPES, FID
 from perilgrid.session import new_dir
 from perilgrid.sources import ingest
@@ -313,14 +313,14 @@ def cov_histogram(spark, sf_dir):
 
 @query
 def cov_histogram_alias(spark, sf_dir):
+    """Policies by limit: the bucket is named once in the select list and grouped by that name."""
     register(spark)
-    reports.coverage_max(inputs.sites(spark, sf_dir)).createOrReplaceTempView("site_coverage")
-    first, last, n = BUCKETS
+    inputs.policies(spark, sf_dir).createOrReplaceTempView("policies")
+    low, high, n = LIMIT_BUCKETS
     return spark.sql(
-        f"""FROM site_coverage AS c
-            SELECT WIDTH_BUCKET_1(c.max_10, {first}D, {last}D, {n}) AS BIN,
-                   count(*) AS FREQUENCY, min(c.max_10) AS MIN_VAL, max(c.max_10) AS MAX_VAL
-            GROUP BY BIN ORDER BY BIN"""
+        f"""SELECT portfolio_id, WIDTH_BUCKET_1(policy_bl_grosslimit, {low}D, {high}D, {n}) AS limit_class,
+                   count(DISTINCT account_id) AS accounts, round(sum(policy_bl_grosslimit), {DIGITS}) AS total_limit
+            FROM policies WHERE policy_bl_grosslimit IS NOT NULL GROUP BY portfolio_id, limit_class"""
     )
 
 
@@ -586,4 +586,34 @@ def export_csv_round_trip(spark, sf_dir):
     return spark.read.schema(schema).option("sep", "|").option("header", True).csv(path)
 
 
+@query
+def ingest_twice(spark, sf_dir):
+    """Losses loaded twice by feature id, the second time with more of them: each is there once."""
+    root = new_dir(spark, "twice")
+    rows = inputs.losses(spark, sf_dir)
+    for part, chosen in (("half", F.col("analysis_id") < 4), ("whole", F.lit(True))):
+        source = f"{root}/{part}"
+        write_delimited(_as_text(rows.where(chosen), "sitelossanalyzevent"), source, False)
+        ingest.load(ingest.ingest_text(spark, source, "sitelossanalyzevent"), root, "sitelossanalyzevent", mode="upsert")
+    return read_feature_table(spark, root, "sitelossanalyzevent").groupBy("portfolio_id").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("gross_loss"), DIGITS).alias("sum_gross_loss")
+    )
+
+
+@query
+def ingest_incremental(spark, sf_dir):
+    """Policies that arrive in two drops of files, with a restart in between and one after them."""
+    root = new_dir(spark, "drops")
+    rows = inputs.policies(spark, sf_dir)
+    for drop in range(2):
+        chosen = rows.where(F.col("policy_id") % 2 == drop)
+        write_delimited(_as_text(chosen, "policyexposureevent"), f"{root}/source/{drop}", False)
+        for _ in range(2):
+            ingest.ingest_new_files(
+                spark, f"{root}/source/*", root, "policyexposureevent", f"{root}/state", header=False, key_columns=["policy_id"]
+            )
+    loaded = read_feature_table(spark, root, "policyexposureevent")
+    return loaded.select("policy_id", "portfolio_id", "account_id", F.col("premium").cast("double").alias("premium"))
+
+
 QUERIES["export_csv"] = QUERIES.pop("export_csv_round_trip")

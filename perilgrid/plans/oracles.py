@@ -9,6 +9,7 @@ PORTFOLIO = 51325
 HISTOGRAM_PORTFOLIO = 51326
 LOOKUP_SITE = "1025"
 BUCKETS = (0.0, 130000.0, 99)
+LIMIT_BUCKETS = (1000.0, 401000.0, 8)
 
 GULF = "geom_x BETWEEN -96 AND -94 AND geom_y BETWEEN 29 AND 31"
 GULF_INTERIOR = "geom_x > -96 AND geom_x < -94 AND geom_y > 29 AND geom_y < 31"
@@ -189,7 +190,12 @@ ORACLES: dict[str, str] = {
     "cov_bucket": w(_BINNED, "sites"),
     "cov_bucket_sql": w(_BINNED, "sites"),
     "cov_histogram": w(_BINS.format(_BINNED, f"WHERE portfolio_id = {HISTOGRAM_PORTFOLIO}", "LIMIT 100"), "sites"),
-    "cov_histogram_alias": w(_BINS.format(_BINNED, "", ""), "sites"),
+    "cov_histogram_alias": w(
+        f"""SELECT portfolio_id, {_bucket("policy_bl_grosslimit", *LIMIT_BUCKETS)} AS limit_class,
+            count(DISTINCT account_id) AS accounts, round(sum(policy_bl_grosslimit), 4) AS total_limit
+            FROM policies WHERE policy_bl_grosslimit IS NOT NULL GROUP BY ALL""",
+        "policies",
+    ),
     # hexagons
     "count_site_zoom": w(f"SELECT count(*) AS n FROM sites, zooms WHERE portfolio_id = {PORTFOLIO}", "sites", "zooms"),
     "hex_site_zoom": _hex(f"{_SITE}, x, y, lod"),
@@ -231,6 +237,12 @@ ORACLES: dict[str, str] = {
         "SELECT f.OBJECTID, FIRE_NAME, ACRES, part, ring, seq, x0, y0, x1, y1 FROM footprints f JOIN multi_edges e ON e.OBJECTID = f.OBJECTID",
         "multi_edges",
     ),
+    "ingest_twice": w(
+        "SELECT portfolio_id, count(*) AS n, round(sum(gross_loss), 4) AS sum_gross_loss FROM losses GROUP BY portfolio_id", "losses"
+    ),
+    "ingest_incremental": w(
+        "SELECT policy_id, portfolio_id, account_id, CAST(premium AS DOUBLE) AS premium FROM policies", "policies"
+    ),
     "ingest_text_counts": "SELECT count(*) FILTER (p_partkey % 7 > 2) AS written, count(*) FILTER (p_partkey % 7 <= 2) AS failed FROM part",
     "ingest_wildfire_geojson": w(_EDGES, "footprints", "edges"),
     "ingest_quality_counts": "SELECT count(*) FILTER (l_linenumber <> 7) AS written, count(*) FILTER (l_linenumber = 7) AS failed FROM lineitem",

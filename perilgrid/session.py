@@ -53,6 +53,11 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the session's Python workers, once for each context."""
     context = spark.sparkContext

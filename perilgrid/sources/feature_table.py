@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perilgrid.schema import FEATURE_TYPES, FID, FeatureType, geometry_fields
+from perilgrid.session import drop_dir, new_dir, path_exists
+
+BUCKET = "_bucket"
+BUCKETS = 64
 
 
 def _feature_type(name: str) -> FeatureType:
@@ -99,6 +103,47 @@ def write_feature_table(
     return path
 
 
+def upsert_feature_table(
+    df: DataFrame, root: str, name: str, table: str | None = None, buckets: int = BUCKETS
+) -> str:
+    """Write rows by feature id: a row replaces the stored one of the same id, others are added.
+
+    The table lies in directories by a hash of the id. Only those that the new rows fall into are read and
+    written again, and they are replaced when all tasks are done. A load that runs again, after a
+    failure or by mistake, therefore leaves the same table. Of several new rows with one id the one with the
+    smallest hash stays, so that a retry keeps the same one; rows with a null id are refused.
+
+    A table belongs to one way of writing: one that was appended to cannot be upserted.
+    """
+    spark = df.sparkSession
+    path = table_path(root, name, table)
+    schema = _feature_type(name).table_schema
+    columns = [F.col(f"`{f.name}`") for f in schema]
+    if path_exists(spark, path):
+        stored = spark.read.parquet(path)
+        if stored.columns and BUCKET not in stored.columns:
+            raise ValueError(f"{path} was not written by feature id")
+    bucket = F.pmod(F.xxhash64(FID), F.lit(buckets)).cast("int").alias(BUCKET)
+    one = F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("row")
+    known = F.when(F.col(FID).isNull(), F.raise_error(F.lit("a feature id is null"))).otherwise(F.col(FID))
+    staged = new_dir(spark, "upsert")
+    fresh = conform(df, name).withColumn(FID, known).groupBy(F.col(FID).alias("_id")).agg(one).select("row.*")
+    fresh.select("*", bucket).write.partitionBy(BUCKET).parquet(staged)
+    fresh = spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(staged)
+    touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]  # at most ``buckets``
+    if not touched:
+        drop_dir(spark, staged)
+        return path
+    merged = fresh
+    if path_exists(spark, path):
+        old = spark.read.schema(fresh.schema).parquet(path).where(F.col(BUCKET).isin(touched))
+        merged = old.join(fresh.select(BUCKET, FID), [BUCKET, FID], "left_anti").select(*fresh.columns).union(fresh)
+    writer = merged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(BUCKET).parquet(path)
+    drop_dir(spark, staged)
+    return path
+
+
 def export_csv(df: DataFrame, path: str, mode: str = "error") -> str:
     """Pipe-delimited text with a header; geometry columns are not exportable as text."""
     if nested := [f.name for f in df.schema if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))]:

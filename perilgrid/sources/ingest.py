@@ -10,7 +10,8 @@ from perilgrid.functions.geometry import point, wkt_point, wkt_polygon
 from perilgrid.schema import FEATURE_TYPES, FID
 from perilgrid.sources import geojson
 from perilgrid.sources.delimited import field, read_fields
-from perilgrid.sources.feature_table import write_feature_table
+from perilgrid.session import drop_dir, new_dir, path_exists
+from perilgrid.sources.feature_table import upsert_feature_table, write_feature_table
 
 # Positions of the coordinate and shape fields in a site exposure line,
 # and the two tables whose text files start with a header line.
@@ -145,13 +146,21 @@ def load(
     The counts are observed during the write itself, so accounting costs no extra pass.
     Failed rows go to the ``quarantine`` path if one is given; only then, and only if there
     are any, is the source read again.
+
+    ``mode="upsert"`` writes by feature id (:func:`upsert_feature_table`), so that a load can run again; the
+    quarantine then holds the failures of the last load.
     """
     counts = Observation()
     observed = ingested.observe(
         counts, F.count_if(F.col("_ok")).alias("written"), F.count_if(~F.col("_ok")).alias("failed")
     )
     good = observed.where("_ok").drop("_ok", "geo_valid")
-    if cluster_tile:
+    if mode == "upsert":
+        if cluster_tile:
+            raise ValueError("a table written by feature id is not laid out by area")
+        upsert_feature_table(good, root, name)
+        written, failed = counts.get["written"], counts.get["failed"]
+    elif cluster_tile:
         # a range shuffle samples its input first, which would run the observed stage twice
         good = ingested.where("_ok").drop("_ok", "geo_valid")
         write_feature_table(good, root, name, mode=mode, cluster_tile=cluster_tile)
@@ -160,5 +169,62 @@ def load(
         write_feature_table(good, root, name, mode=mode)
         written, failed = counts.get["written"], counts.get["failed"]
     if quarantine and failed:
-        ingested.where(~F.col("_ok")).write.mode(mode).parquet(quarantine)
+        ingested.where(~F.col("_ok")).write.mode("overwrite" if mode == "upsert" else mode).parquet(quarantine)
     return written, failed
+
+
+def ingest_new_files(
+    spark: SparkSession,
+    source: str,
+    root: str,
+    name: str,
+    state: str,
+    files_per_batch: int = 1000,
+    **options,
+) -> DataFrame:
+    """Load the files of a folder that were not loaded before; returns (file, written, failed) of all loads.
+
+    A stream discovers the files and remembers them below ``state``, in batches of a bounded number; it ends
+    when all that stand there now are loaded. Rows are written by feature id and the accounting of a batch
+    replaces itself, so a run that was cut off can be started again: each record is there once. ``options``
+    go to :func:`ingest_text`; a new file needs a new name.
+    """
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .option("recursiveFileLookup", True)
+        .load(source)
+        .select("path")  # contents are not read here
+    )
+    accounts = f"{state.rstrip('/')}/accounting"
+    counts = "file string, written bigint, failed bigint, batch bigint"
+
+    def load_batch(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        paths = sorted(r.path for r in batch.collect())
+        if not paths:
+            return
+        staged = new_dir(session, "new-files")
+        rows = ingest_text(session, paths, name, **options)
+        rows.withColumn("_file", F.input_file_name()).write.parquet(staged)
+        rows = session.read.schema(T.StructType([*rows.schema.fields, T.StructField("_file", T.StringType())])).parquet(staged)
+        upsert_feature_table(rows.where("_ok").drop("_ok", "geo_valid", "_file"), root, name)
+        by_file = rows.groupBy(F.col("_file").alias("file")).agg(
+            F.count_if(F.col("_ok")).alias("written"), F.count_if(~F.col("_ok")).alias("failed")
+        )
+        empty = session.createDataFrame([(p,) for p in paths], "file string")
+        by_file = empty.join(by_file, "file", "left").fillna(0)
+        by_file.coalesce(1).write.mode("overwrite").parquet(f"{accounts}/batch={number}")
+        drop_dir(session, staged)
+
+    query = (
+        files.writeStream.foreachBatch(load_batch)
+        .option("checkpointLocation", f"{state.rstrip('/')}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    if not path_exists(spark, accounts):
+        return spark.createDataFrame([], counts).drop("batch")
+    return spark.read.schema(counts).parquet(accounts).drop("batch")
