@@ -22,7 +22,7 @@ LEAST = 10  # occurrences of a candidate
 CONTAINED_PERCENT = 50
 TOP = 2000
 NO_LANG = "und"
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 3 << 20
 FILTER_BITS = 1 << 25
 
 _KEYS = ["lang", "state", "label"]
@@ -79,9 +79,7 @@ def transducer(lang: str, shard: Shard, orders: tuple[int, ...], known: np.ndarr
         real = arc >= 0
         yield _arcs(lang, words.take(pa.array(arc[real] // size)), words.take(pa.array(arc[real] % size)), weight[real])
     if 3 in orders and len(pairs) > 1:
-        wanted = arc >= 0
-        if known is not None:
-            wanted &= _probably(lang, words, arc, size, known)
+        wanted = arc >= 0 if known is None else _probably(lang, words, arc, size, known)
         follows = wanted[number[:-1]] & wanted[number[1:]]
         triple, weight = np.unique(number[:-1][follows] * size + run[2:][follows], return_counts=True)
         first, last = arc[triple // size], words.take(pa.array(triple % size))
@@ -94,19 +92,21 @@ def _arcs(lang: str, state: pa.Array, label: pa.Array, weight: np.ndarray) -> pa
     return pa.Table.from_arrays(columns, schema=_SCHEMA)
 
 
+# Place of an arc in the filter, in SQL and below; words are hashed once each.
+_PLACE = f"pmod(xxhash64(lang, state) ^ xxhash64(label, lang), {FILTER_BITS}L)"
+
+
 def _probably(lang: str, words: pa.Array, arc: np.ndarray, size: int, known: np.ndarray) -> np.ndarray:
-    """Which two-word arcs the filter may hold; its hash is xxhash64(lang, state, label) of SQL."""
+    """Which two-word arcs the filter may hold."""
     names = [w.encode("utf-8", "surrogatepass") for w in words.to_pylist()]
-    seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-    of_state: dict[int, int] = {}
-    out = np.zeros(len(arc), np.uint64)
-    for i, (state, label) in enumerate(zip((arc // size).tolist(), (arc % size).tolist(), strict=True)):
-        if state >= 0:
-            if state not in of_state:
-                of_state[state] = xxhash.xxh64_intdigest(names[state], seed)
-            out[i] = xxhash.xxh64_intdigest(names[label], of_state[state])
-    bit = out % np.uint64(FILTER_BITS)
-    return (known[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+    code, h = lang.encode(), xxhash.xxh64_intdigest
+    seed = h(code, 42)
+    state = np.fromiter((h(w, seed) for w in names), np.uint64, len(names))
+    label = np.fromiter((h(code, h(w, 42)) for w in names), np.uint64, len(names))
+    real = arc >= 0
+    bit = np.zeros(len(arc), np.uint64)
+    bit[real] = (state[arc[real] // size] ^ label[arc[real] % size]) % np.uint64(FILTER_BITS)
+    return real & ((known[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1)
 
 
 def shard_arcs(docs: DataFrame, orders: tuple[int, ...], known: np.ndarray | None = None) -> DataFrame:
@@ -196,7 +196,7 @@ def compose(arcs: DataFrame, parts: DataFrame) -> DataFrame:
 
 def arc_filter(arcs: DataFrame) -> np.ndarray:
     """A bitmap of FILTER_BITS bits over the arcs, built in Spark; its size does not grow with them."""
-    bit = arcs.select(F.pmod(F.xxhash64(*_KEYS), F.lit(FILTER_BITS)).alias("bit"))
+    bit = arcs.select(F.expr(_PLACE).alias("bit"))
     cells = bit.groupBy(F.expr("bit div 64").alias("cell")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 AS int)))").alias("bits"))
     found = cells.toArrow()
     out = np.zeros(FILTER_BITS // 64, np.uint64)
