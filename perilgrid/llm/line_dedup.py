@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from perilgrid.session import new_dir
 
 EDITS = 2
+# Lines of fewer characters have no edits to spare: they are repeats only where they are equal.
 MIN_CHARS = 40
+BLANK = " \t\r"  # a line of nothing else is no repeat
 # Shared segment keys that may be broadcast (16 bytes each); beyond it they are shuffled.
 BROADCAST_KEYS = 1 << 20
 # Characters whose parities make the signature that rules out pairs before they are compared.
@@ -108,13 +110,13 @@ def within_edits(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
     return rows.where("_near").drop("_near")
 
 
-def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, h_text, line_no, line, h1, h2) of the lines long enough to take part."""
+def _lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, h_text, line_no, line, h1, h2) of the lines that are not blank."""
     lines = docs.select(
         "doc_id",
         F.xxhash64("text").alias("h_text"),
         F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"),
-    ).where(F.length("line") >= min_chars)
+    ).where(F.btrim("line", F.lit(BLANK)) != "")
     return lines.withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit(1), "line"))
 
 
@@ -127,7 +129,7 @@ def near_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     the rest is verified by the edit distance.
     """
     spark = docs.sparkSession
-    keyed = _lines(docs, min_chars).select("h1", "h2", "line", F.explode(F.expr(segment_keys("line", edits))).alias("k"))
+    keyed = _lines(docs).where(F.length("line") >= min_chars).select("h1", "h2", "line", F.explode(F.expr(segment_keys("line", edits))).alias("k"))
     keyed = keyed.select("h1", "h2", "line", "k.key", "k.own")
     shared = keyed.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
     path = new_dir(spark, "segment-keys")
@@ -163,7 +165,7 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHA
     docs = docs.select("doc_id", "text")
     links_at, lines_at = new_dir(spark, "near-lines"), new_dir(spark, "lines")
     near_lines(docs, edits, min_chars).write.parquet(links_at)
-    _lines(docs, min_chars).drop("line").write.parquet(lines_at)
+    _lines(docs).drop("line").write.parquet(lines_at)
     links, lines = spark.read.parquet(links_at), spark.read.parquet(lines_at)
     place = F.struct("doc_id", "h_text", "line_no")
     first = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
@@ -182,7 +184,7 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHA
 
 
 def _rebuilt(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """``docs`` with the column ``_removed`` (null where nothing goes)."""
+    """(doc_id, text, ...) with the column ``_removed`` (null where nothing goes)."""
     gone = repeated_lines(docs, edits, min_chars).select(
         F.col("doc_id").alias("_doc_id"), F.col("h_text").alias("_h_text"), F.col("removed").alias("_removed")
     )
@@ -201,9 +203,9 @@ def _kept_text(docs: DataFrame) -> DataFrame:
 def line_dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, n_lines, n_removed, text) of every row: its text without repeated lines.
 
-    Lines are parted by line feeds; those of fewer than ``min_chars`` code points always stay. Of
-    lines that are equal, or differ by at most ``edits`` inserted, deleted or replaced characters,
-    the earliest stays (by doc_id, nulls first, then text hash and line number).
+    Lines are parted by line feeds; blank ones always stay. Of lines that are equal, or have ``min_chars``
+    code points or more and differ by at most ``edits`` inserted, deleted or replaced characters, the
+    earliest stays (by doc_id, nulls first, then text hash and line number).
 
     A null text has no lines and stays null; an empty one has one line. Rows that repeat both
     doc_id and text are treated alike; an empty table gives no rows; other columns are ignored.
@@ -225,9 +227,15 @@ def strip_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
 
     Rows that lose all their text stay, with an empty one.
     """
-    out = _kept_text(_rebuilt(docs, edits, min_chars))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed = F.when(F.col("_removed").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", changed)
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the row goes along as one value, so that no column of it can clash with those of the work
+    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    out = _kept_text(_rebuilt(whole, edits, min_chars))
+    columns = []
+    for c in docs.columns:
+        value = F.col("_row")[c]
+        if c == "text":
+            value = F.col("text")
+        elif c == "n_chars":
+            value = F.when(F.col("_removed").isNotNull(), F.length("text").cast(docs.schema[c].dataType)).otherwise(value)
+        columns.append(value.alias(c))
+    return out.select(*columns)

@@ -202,16 +202,16 @@ WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
          unnest(range(0, len(string_split(text, chr(10))))) AS line_no
   FROM documents
-), long AS (
-  SELECT * FROM lines WHERE length(line) >= 40
+), filled AS (
+  SELECT * FROM lines WHERE trim(line, ' ' || chr(9) || chr(13)) <> ''
 ), classes AS (
-  SELECT line, min({'d': doc_id, 'l': line_no}) AS first FROM long GROUP BY line
+  SELECT line, min({'d': doc_id, 'l': line_no}) AS first FROM filled GROUP BY line
 ), gone AS (
   SELECT DISTINCT a.line FROM classes a JOIN classes b
-    ON length(b.line) BETWEEN length(a.line) - 2 AND length(a.line) + 2 AND b.first < a.first
+    ON length(a.line) >= 40 AND length(b.line) >= 40 AND length(b.line) BETWEEN length(a.line) - 2 AND length(a.line) + 2 AND b.first < a.first
    AND levenshtein(a.line, b.line) <= 2
 ), out AS (
-  SELECT g.doc_id, g.line_no FROM long g JOIN classes c USING (line)
+  SELECT g.doc_id, g.line_no FROM filled g JOIN classes c USING (line)
   WHERE {'d': g.doc_id, 'l': g.line_no} <> c.first OR g.line IN (SELECT line FROM gone)
 )
 SELECT l.doc_id, count(*) AS n_lines, count(o.line_no) AS n_removed,

@@ -52,10 +52,10 @@ def brute(rows, edits, shortest, hashes):
     places = {}
     for (doc_id, text), h in zip(rows, hashes, strict=True):
         for k, line in enumerate(text.split("\n") if text is not None else []):
-            if len(line) >= shortest:
+            if line.strip(" \t\r"):
                 places.setdefault(line, []).append(((doc_id is not None, doc_id or 0, h, k)))
     first = {line: min(at) for line, at in places.items()}
-    gone = {a for a in first for b in first if a != b and first[b] < first[a] and distance(a, b, edits) <= edits}
+    gone = {a for a in first for b in first if a != b and min(len(a), len(b)) >= shortest and first[b] < first[a] and distance(a, b, edits) <= edits}
     out = []
     for (doc_id, text), h in zip(rows, hashes, strict=True):
         if text is None:
@@ -65,7 +65,7 @@ def brute(rows, edits, shortest, hashes):
         kept = [
             x
             for k, x in enumerate(lines)
-            if len(x) < shortest or (x not in gone and first[x] == (doc_id is not None, doc_id or 0, h, k))
+            if not x.strip(" \t\r") or (x not in gone and first[x] == (doc_id is not None, doc_id or 0, h, k))
         ]
         out.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return sorted(out, key=repr)
@@ -78,6 +78,7 @@ def made_rows():
     for k in range(80):
         lines = [edited(rng, rng.choice(bases), rng.choice([0, 0, 1, 2, 3])) for _ in range(rng.randint(1, 6))]
         rows.append((k, "\n".join(lines + [""] * rng.randint(0, 1))))
+    rows += [(90 + k, line) for k, line in enumerate(["MIT", " ", "MIT", "\tMIT", "MIT\r", "\r", "MIT\n \t\nMIT"])]
     rows += [(None, None), (None, bases[0]), (3, ""), (4, "\n\n"), (5, bases[1]), (5, bases[1]), (5, bases[2]), (200, (bases[3] + "\n") * 3000)]
     return rows
 
@@ -103,6 +104,24 @@ def test_shuffled_keys_and_columns(docs, monkeypatch):
     assert out.where("n_chars <> length(text)").count() == 0
 
 
+def test_short_license_lines(docs):
+    lines = ["Released under the MIT License.", "All rights reserved.", "Licensed under CC BY-NC 4.0."]
+    rows = [(k, f"own text {k}\n{lines[k % 3]}\n\nend {k}") for k in range(9)]
+    left = {r.doc_id: r.text for r in strip_lines(docs(rows)).collect()}
+    assert [k for k in left if any(line in left[k] for line in lines)] == [0, 1, 2]
+    assert left[5] == "own text 5\n\nend 5"
+
+
+def test_clashing_columns(docs):
+    names = ["_removed", "_h_text", "_doc_id", "_lines", "_row", "removed", "line", "row.x"]
+    df = docs([(1, "one\ntwo"), (2, "two\nthree")], extra=False)
+    for k, name in enumerate(names):
+        df = df.withColumn(name, F.lit(k))
+    out = strip_lines(df)
+    assert out.columns == df.columns
+    assert [tuple(r) for r in out.orderBy("doc_id").collect()] == [(1, "one\ntwo", *range(8)), (2, "three", *range(8))]
+
+
 def test_empty_table(docs):
     assert line_dedup(docs([])).count() == 0
 
