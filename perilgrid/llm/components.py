@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilgrid.session import new_dir
+from perilgrid.session import drop_dir, new_dir
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
+def _stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write below the shared folder and read again: the lineage ends here."""
     path = new_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), path
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
@@ -25,11 +25,12 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round links all larger neighbours of a node to its smallest one (large star), then all
     smaller ones (small star); the number of rounds grows with the logarithm of the longest path.
-    Rounds are written to the shared folder, so a lost executor costs one round at most. Self
+    Each round is written to the shared folder and replaces the one before, so a lost executor costs one
+    round at most. Self
     links, repeated links and both directions are allowed; rows with a null are ignored.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges = _stored(edges.where("a <> b").distinct(), "links")
+    edges, path = _stored(edges.where("a <> b").distinct(), "links")
     before = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -38,7 +39,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.distinct()
         low = _smallest(large)
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = _stored(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "links")
+        last = path
+        edges, path = _stored(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "links")
+        drop_dir(edges.sparkSession, last)
         state = edges.agg(
             F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))
         ).first()

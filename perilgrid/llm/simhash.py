@@ -1,4 +1,4 @@
-"""SimHash near-duplicates: fingerprints of word shingles, linked by radius-one neighbourhoods."""
+"""SimHash near-duplicates: fingerprints of word shingles, linked through tables by fingerprint segment."""
 
 from __future__ import annotations
 
@@ -30,7 +30,11 @@ def shingle_hashes(text: str, shingle: int) -> np.ndarray:
 
 def fingerprint(text: str, shingle: int) -> int:
     """Signed 64-bit SimHash of a text's word shingles."""
-    hashes = shingle_hashes(text, shingle)
+    return fingerprint_of(shingle_hashes(text, shingle))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """Signed 64-bit SimHash of shingle hashes, repeats included."""
     total = len(hashes)
     if not total:
         return 0
@@ -51,34 +55,38 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     return map_texts(keyed, "doc_id long, h_text long, fp long", rows)
 
 
+# A fingerprint has two segments of 32 bits. Two of them at two bits or less have one segment in common,
+# or a differing bit in both.
+_SEGMENTS = ("shiftrightunsigned(fp, 32)", "(fp & 4294967295L)")
+# Rests of the other segment that stand in a key beside the segment: with two bits at most to differ one of
+# three is equal, with one bit one of two.
+_THIRDS = ((0, 2047), (11, 2047), (22, 1023))
+_HALVES = ((0, 65535), (16, 65535))
+
+
+def _keys(table: int, segment: str, other: str, rests: tuple) -> list[str]:
+    return [f"xxhash64({table}, {segment}, {k}, shiftrightunsigned({other}, {at}) & {mask}L)" for k, (at, mask) in enumerate(rests)]
+
+
 def near_links(distinct: DataFrame) -> DataFrame:
-    """Links (a, b) that connect exactly the fingerprints ``fp`` at two or fewer differing bits.
+    """Links (a, b), a < b, between the fingerprints ``fp`` at two or fewer differing bits: all of them, each once.
 
-    The ball of radius one around the whole fingerprint is enumerated, without tables by segment,
-    and entries are grouped by the resulting value: two fingerprints at distance two or less always
-    meet in such a value, and nothing else does. An entry holds its members as a bit mask (which bit was flipped), so at most
-    65 fingerprints meet in one entry however many copies exist, and counting is partial before the
-    shuffle. Members are linked to one of them; the distance test states the limit and drops no row.
+    Multi-index hashing: a fingerprint stands in the tables of its segments, under the value of the segment and
+    a part of the rest, and probes the table of its first segment with the ball of radius one around it.
+    What the tables give for the probes is verified by the complete distance. A key holds 42 or more bits
+    of a fingerprint, so a value that many fingerprints have in one segment does not bring them all together.
     """
-    segments = F.explode(F.sequence(F.lit(-1), F.lit(BITS - 1))).alias("_bit")
-    balls = distinct.select("fp", segments).select(
-        F.expr("CASE WHEN _bit < 0 THEN fp ELSE fp ^ shiftleft(1L, _bit) END").alias("key"),
-        F.expr("CASE WHEN _bit < 0 THEN 0L ELSE shiftleft(1L, _bit) END").alias("flipped"),
-        F.expr("CASE WHEN _bit < 0 THEN 1 ELSE 0 END").alias("centre"),
-    )
-    table = balls.groupBy("key").agg(
-        F.bit_or("flipped").alias("flips"), F.max("centre").alias("centre")
-    )
-    met = table.where("bit_count(flips) + centre > 1")
-    members = met.select(
-        F.expr(
-            """concat(CASE WHEN centre = 1 THEN array(key) ELSE array() END,
-               transform(filter(sequence(0, 63), i -> flips & shiftleft(1L, i) <> 0),
-                         i -> key ^ shiftleft(1L, i)))"""
-        ).alias("members")
+    high, low = _SEGMENTS
+    equal = [*_keys(0, high, low, _THIRDS), *_keys(1, low, high, _THIRDS)]
+    ball = "explode(transform(sequence(0, 31), i -> shiftleft(1L, i))) AS flip"
+    probes = distinct.selectExpr("fp", ball).selectExpr(
+        "fp", f"explode(array({', '.join(_keys(2, f'({high} ^ flip)', low, _HALVES))})) AS key"
     )
-    links = members.select(F.array_min("members").alias("b"), F.explode("members").alias("a"))
-    return links.where("a <> b AND bit_count(a ^ b) <= 2")
+    one_off = distinct.selectExpr("fp AS other", f"explode(array({', '.join(_keys(2, high, low, _HALVES))})) AS key")
+    same = distinct.selectExpr("fp", f"explode(array({', '.join(equal)})) AS key")
+    met = same.join(same.withColumnRenamed("fp", "other"), "key").where("fp < other AND bit_count(fp ^ other) <= 2")
+    near = probes.join(one_off, "key").where("fp < other AND bit_count(fp ^ other) <= 2")
+    return met.select("fp", "other").union(near.select("fp", "other")).distinct().toDF("a", "b")
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3) -> DataFrame:

@@ -1,151 +1,99 @@
-"""Similar texts: all pairs whose sets of word shingles have a Jaccard similarity of 0.8 or more."""
+"""Similar texts: SimHash tables first, then a set similarity join for what lies too far apart in bits."""
 
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perilgrid.llm.arrow import map_texts
+from perilgrid.llm.chosen_path import _set_id, _stored, _whole, minwise_tokens, path_links
 from perilgrid.llm.components import components
-from perilgrid.llm.simhash import shingle_hashes
-from perilgrid.session import new_dir
+from perilgrid.llm.simhash import fingerprint_of, near_links, shingle_hashes
+from perilgrid.session import drop_dir
 
 SHINGLE = 5
-# Shingles that at least COMMON_COUNT of every COMMON_PART-th text hold come last in the order of
-# shingles. Any order gives the same links; this one lets fewer dissimilar texts meet.
-COMMON_PART = 16
-COMMON_COUNT = 8
-COMMON_MOST = 1 << 16
+PERCENT = 80
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def shingle_set(text: str, shingle: int) -> np.ndarray:
-    """Different shingle hashes of a text, sorted."""
-    return np.unique(shingle_hashes(text, shingle))
-
-
-def _set_id(values: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(values.tobytes())).view(np.int64))
-
-
-def prefix(values: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The first shingles of a set, common ones last: two sets at 0.8 or more share one of theirs.
-
-    They share at least four fifths of either set, so the first shared one, in an order that is the
-    same for all sets, has fewer than a fifth of its set before it.
-    """
-    last = np.isin(values, common, assume_unique=True)
-    n = len(values)
-    return np.concatenate([values[~last], values[last]])[: n - (4 * n + 4) // 5 + 1]
-
-
-def _common(docs: DataFrame, shingle: int) -> np.ndarray:
-    """Shingles that many texts hold, the most frequent ones first dealt out; see COMMON_PART."""
-
-    def rows(text: list[str]) -> dict:
-        return {"h": np.concatenate([np.empty(0, np.uint64), *(shingle_set(t, shingle) for t in text)]).view(np.int64)}
-
-    part = docs.select("text").where(f"pmod(xxhash64(text), {COMMON_PART}) = 0")
-    counts = map_texts(part, "h long", rows).groupBy("h").count().where(f"count >= {COMMON_COUNT}")
-    top = counts.orderBy(F.desc("count"), "h").limit(COMMON_MOST).collect()
-    return np.sort(np.array([r.h for r in top], np.int64).view(np.uint64))
-
-
-def _sets(docs: DataFrame, shingle: int, common: np.ndarray) -> DataFrame:
-    """(doc_id, h_text, sid, n, keys) of every row: name, size and first shingles of its set."""
+def _described(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, h_text, sid, n, tokens, fp) of every row: set name, set size, minwise tokens, fingerprint."""
 
     def rows(doc_id: list, text: list[str], h_text: list) -> dict:
-        sets = [shingle_set(t, shingle) for t in text]
+        hashes = [shingle_hashes(t, shingle) for t in text]
+        sets = [np.unique(h) for h in hashes]
         return {
             "doc_id": doc_id,
             "h_text": h_text,
             "sid": [_set_id(s) for s in sets],
             "n": [len(s) for s in sets],
-            "keys": [prefix(s, common).view(np.int64) if len(s) else [] for s in sets],
+            "tokens": [minwise_tokens(s).view(np.int64) if len(s) else [] for s in sets],
+            "fp": [fingerprint_of(h) for h in hashes],
         }
 
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("h_text"))
-    return map_texts(keyed, "doc_id long, h_text long, sid long, n long, keys array<long>", rows)
-
+    return map_texts(keyed, "doc_id long, h_text long, sid long, n long, tokens array<long>, fp long", rows)
 
-def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """The pairs (a, b) of set names whose sets have a similarity of 0.8 or more."""
-    pairs = _stored(pairs, "similar-pairs")
 
-    def sets(text: list[str]) -> dict:
-        found = [shingle_set(t, shingle) for t in text]
-        return {"sid": [_set_id(s) for s in found], "items": [s.view(np.int64) for s in found]}
+def simhash_pairs(rows: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) of set names whose fingerprints differ in two bits at most.
 
+    Of sets with one fingerprint each stands against the first, which stands for all of them in the tables.
+    """
+    sets = rows.where("n > 0").select("sid", "fp").distinct()
+    first = sets.groupBy("fp").agg(F.min("sid").alias("low"))
+    alike = sets.join(first, "fp").where("sid <> low").select(F.col("low").alias("a"), F.col("sid").alias("b"))
+    links = near_links(first.select("fp"))
+    of = first.select(F.col("fp").alias("a"), F.col("low").alias("la"))
+    links = links.join(of, "a").join(of.select(F.col("a").alias("b"), F.col("la").alias("lb")), "b")
+    return alike.union(links.select("la", "lb"))
+
+
+def confirmed(docs: DataFrame, rows: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs whose whole sets are similar enough."""
+    pairs, at = _stored(pairs, "simhash-pairs")
     ends = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-    one = rows.join(ends, "sid", "left_semi").groupBy("sid").agg(F.min("h_text").alias("_h"))
-    texts = docs.select("text").join(one, F.xxhash64("text") == F.col("_h"), "left_semi")
-    # only the texts of pairs are read into sets; copies are one row
-    items = _stored(map_texts(texts.distinct(), "sid long, items array<long>", sets), "shingle-sets")
+    items, items_at = _stored(_whole(docs, rows, ends, shingle), "simhash-sets")
     both = pairs.join(items.select(F.col("sid").alias("a"), F.col("items").alias("x")), "a")
     both = both.join(items.select(F.col("sid").alias("b"), F.col("items").alias("y")), "b")
     both = both.select("a", "b", (F.size("x") + F.size("y")).alias("n"), F.size(F.array_intersect("x", "y")).alias("common"))
-    return both.where("9 * common >= 4 * n").select("a", "b")
-
+    links, _ = _stored(both.where(f"100 * common >= {percent} * (n - common)").select("a", "b"), "simhash-links")
+    for old in (at, items_at):
+        drop_dir(docs.sparkSession, old)
+    return links
 
-def similar_links(docs: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
-    """Links (a, b) that connect exactly the sets that chains of similarity 0.8 or more connect.
 
-    Sets meet by the shingles of their prefixes, and only if what follows the shared one is long
-    enough on both sides. First every set meets one set for each shingle; sets that are linked
-    then need not be compared any more, so that a large group of near copies costs no pairs. The
-    others meet each other. Each pair is verified on the whole sets.
-    """
-    entries = rows.select("sid", "n", F.posexplode("keys").alias("i", "key"))
-    shared = entries.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
-    shared = _stored(shared.where("low <> high").select("key"), "shared-shingles")
-    met = entries.join(shared, "key", "left_semi").groupBy("key", "sid").agg(F.first("n").alias("n"), F.first("i").alias("i"))
-    met = _stored(met, "shingle-entries")
-    close = "9 * least(n - i, bn - bi) >= 4 * (n + bn)"
-    lead = met.groupBy("key").agg(F.min(F.struct(F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("i").alias("bi"))).alias("lead"))
-    stars = met.join(lead.select("key", "lead.*"), "key").where(f"sid <> b AND {close}")
-    links = _stored(_verified(docs, rows, stars.select(F.col("sid").alias("a"), "b").distinct(), shingle), "similar-links")
-    roots = components(links).withColumnRenamed("node", "sid")
-    met = met.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    met = _stored(met, "shingle-entries")
-    open_keys = met.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    met = _stored(met.join(open_keys.select("key"), "key", "left_semi"), "open-entries")
-    other = met.select("key", *(F.col(c).alias(f"b{c}") for c in ("sid", "n", "i", "root")))
-    rest = met.join(other, "key").where(f"sid < bsid AND root <> broot AND {close}")
-    rest = rest.select(F.col("sid").alias("a"), F.col("bsid").alias("b")).distinct()
-    return links.union(_verified(docs, rows, rest, shingle))
-
-
-def similar_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def similar_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, h_text, component_id) of every row; component_id is the smallest doc_id reachable.
 
-    Two texts are linked if the sets of their shingles of ``shingle`` words have a Jaccard
-    similarity of 0.8 or more. Words are those of `simhash_groups`; a text with fewer words is one
+    Two texts are linked if the sets of their shingles of ``shingle`` words have a Jaccard similarity of
+    ``percent`` per cent or more. Words are those of `simhash_groups`; a text with fewer words is one
     shingle, texts without words (null and empty ones) are alike. Shingles are compared by 64-bit
     hash and equal sets, named by a 64-bit hash, are one entry of all joins.
+
+    Candidates come from the SimHash tables, and are confirmed on whole sets. Similarity 0.8 can lie ten and more
+    bits apart, beyond any radius that tables of 64 bits reach at scale; what they leave is found by
+    `path_links`, which leaves out the pairs that are linked by then. A pair at 0.8 is missed with about 3e-5.
     """
     docs = docs.select("doc_id", "text")
-    rows = _stored(_sets(docs, shingle, _common(docs, shingle)), "shingle-prefixes")
-    roots = components(similar_links(docs, rows, shingle)).withColumnRenamed("node", "sid")
+    rows, at = _stored(_described(docs, shingle), "similar-rows")
+    links = confirmed(docs, rows, simhash_pairs(rows), shingle, percent)
+    roots = components(path_links(docs, rows, shingle, percent, links)).withColumnRenamed("node", "sid")
     first = rows.groupBy("sid").agg(F.min("doc_id").alias("first_id"))
     named = first.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_set = named.join(smallest, "root").select("sid", "component_id")
-    return rows.select("doc_id", "h_text", "sid").join(of_set, "sid").drop("sid")
+    out, _ = _stored(rows.select("doc_id", "h_text", "sid").join(of_set, "sid").drop("sid"), "similar-groups")
+    drop_dir(docs.sparkSession, at)
+    return out
 
 
-def keep_one_similar(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def keep_one_similar(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its group, all columns unchanged.
 
     Rows with a null doc_id always stay. Rows that share a doc_id are judged by their own text.
     """
-    dropped = similar_groups(docs, shingle).where("doc_id > component_id")
+    dropped = similar_groups(docs, shingle, percent).where("doc_id > component_id")
     dropped = dropped.select(F.col("doc_id").alias("_doc_id"), F.col("h_text").alias("_h_text")).distinct()
     same = (docs["doc_id"] == dropped["_doc_id"]) & (F.xxhash64(docs["text"]) == dropped["_h_text"])
     return docs.join(dropped, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

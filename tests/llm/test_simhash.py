@@ -52,6 +52,15 @@ def test_links_connect_all_close_pairs(spark):
     assert all(((r.a & mask) ^ (r.b & mask)).bit_count() <= 2 for r in links)
     close = [(a, b) for a in signed for b in signed if a < b and ((a & mask) ^ (b & mask)).bit_count() <= 2]
     assert roots(signed, [(r.a, r.b) for r in links]) == roots(signed, close)
+    assert sorted((r.a, r.b) for r in links) == sorted(close)
+
+
+def test_tables_give_more_than_links(spark):
+    """Values that share a segment and more meet in a table; the distance decides."""
+    base = [0, 7 << 11, 1 << 40 | 7 << 11, 3]
+    links = near_links(spark.createDataFrame([(v,) for v in base], "fp long"))
+    assert {(r.a, r.b) for r in links.collect()} == {(0, 3), (7 << 11, 1 << 40 | 7 << 11)}
+    assert len({v >> 32 for v in base}) < len(base)
 
 
 @pytest.mark.parametrize("shape", ["chain", "star", "random", "none"])

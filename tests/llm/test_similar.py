@@ -1,6 +1,5 @@
 import random
 
-from perilgrid.llm import similar as module
 from perilgrid.llm.similar import keep_one_similar, similar_groups
 from tests.llm.conftest import rows_of
 from tests.llm.test_simhash import EDGE, roots
@@ -49,12 +48,9 @@ def check(df, rows):
     return want
 
 
-def test_groups_equal_brute_force(docs, monkeypatch):
+def test_groups_equal_brute_force(docs):
     rows = made_rows()
     check(docs(rows), rows)
-    monkeypatch.setattr(module, "COMMON_PART", 1)
-    monkeypatch.setattr(module, "COMMON_COUNT", 3)
-    check(docs(rows), rows)
 
 
 def test_stage_equals_brute_force(spark, docs):
