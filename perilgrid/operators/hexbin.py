@@ -16,6 +16,10 @@ from perilgrid.operators.keyed_join import BROADCAST_BYTES, row_bytes
 ORIGIN_X = 20037507.0671618
 ORIGIN_Y = 19971868.8804086
 
+# Sphere of the web map projection, and the latitude at which its square ends.
+EARTH_RADIUS = 6378137.0
+MERCATOR_LATITUDE = 85.05112877980659
+
 LEVELS_PER_GROUP = 64  # zoom rows carried along as one packed row
 
 
@@ -153,8 +157,30 @@ def assign(df: DataFrame) -> DataFrame:
 STEPS = (offsets, quads, centers, residuals, azimuth, assign)
 
 
-def hex_steps(points: DataFrame, zooms: DataFrame, last=assign, origin_x=ORIGIN_X, origin_y=ORIGIN_Y) -> DataFrame:
-    """Run the chain up to and including ``last``."""
+def web_mercator(geom: str) -> Column:
+    """Point in degrees as a point in metres of the web map projection.
+
+    Latitudes beyond the projection's square are clipped to its edge. Empty points stay empty.
+    """
+    lat = F.greatest(_d(-MERCATOR_LATITUDE), F.least(_d(MERCATOR_LATITUDE), F.col(geom)["y"]))
+    x = F.col(geom)["x"] * F.pi() / _d(180.0) * _d(EARTH_RADIUS)
+    y = F.ln(F.tan(F.pi() / _d(4.0) + lat * F.pi() / _d(360.0))) * _d(EARTH_RADIUS)
+    both = F.col(geom)["y"].isNotNull()  # greatest and least pass over a null
+    return F.when(F.col(geom).isNotNull(), F.struct(F.when(both, x).alias("x"), F.when(both, y).alias("y")))
+
+
+def hex_steps(
+    points: DataFrame, zooms: DataFrame, last=assign, origin_x=ORIGIN_X, origin_y=ORIGIN_Y, project: str | None = None
+) -> DataFrame:
+    """Run the chain up to and including ``last``.
+
+    The default takes coordinates as they are; ``project="webmercator"`` turns degrees into metres first, the
+    unit of the radius and of the origin.
+    """
+    if project not in (None, "webmercator"):
+        raise ValueError(f"unknown projection {project!r}")
+    if project:
+        points = points.withColumn("geom", web_mercator("geom"))
     df = with_origin(site_zoom(points, zooms), origin_x, origin_y)
     for step in STEPS[: STEPS.index(last) + 1]:
         df = step(df)
@@ -167,9 +193,10 @@ def hex_bin(
     origin_x: float = ORIGIN_X,
     origin_y: float = ORIGIN_Y,
     limit: int | None = None,
+    project: str | None = None,
 ) -> DataFrame:
     """``portfolio_id, account_id, site_id, lod, arow, acol`` for every point and zoom level."""
     columns = ["portfolio_id", "account_id", "site_id"]
-    binned = hex_steps(points.select(*columns, "geom"), zooms, assign, origin_x, origin_y)
+    binned = hex_steps(points.select(*columns, "geom"), zooms, assign, origin_x, origin_y, project)
     result = binned.select(*columns, "lod", "arow", "acol")
     return result if limit is None else result.limit(limit)

@@ -6,7 +6,7 @@ oracle sees the same inputs. Constants are doubles throughout.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from perilgrid.functions.geometry import multi_polygon, polygon, rectangle_rings
 from perilgrid.schema import FEATURE_TYPES, FID
@@ -171,17 +171,16 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
-def _side(spark: SparkSession, sf_dir: str) -> str:
-    side = _table(spark, sf_dir, "part").selectExpr(f"{GRID_SIDE} AS side").first()["side"]
-    return f"{side}L AS side"
+def _side(spark: SparkSession, sf_dir: str) -> Column:
+    """A scalar subquery: plans that need no cell prune it unread."""
+    return _table(spark, sf_dir, "part").selectExpr(f"{GRID_SIDE} AS side").scalar().alias("side")
 
 
 def sites(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Site exposure; ``heavy`` asks for enough partitions to keep every core busy."""
     lines = _table(spark, sf_dir, "lineitem")
-    located = (spread(lines) if heavy else lines).selectExpr(
-        "*", f"{_LON} AS lon", f"{_LAT} AS lat", _side(spark, sf_dir)
-    )
+    located = (spread(lines) if heavy else lines).selectExpr("*", f"{_LON} AS lon", f"{_LAT} AS lat")
+    located = located.select("*", _side(spark, sf_dir))
     return located.selectExpr(*_projection(SITE_COLUMNS), "named_struct('x', lon, 'y', lat) AS geom")
 
 
@@ -190,7 +189,7 @@ def losses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "part").selectExpr("p_partkey", _side(spark, sf_dir))
+    rows = _table(spark, sf_dir, "part").select("p_partkey", _side(spark, sf_dir))
     cells = rows.selectExpr(*_projection(GRID_COLUMNS))
     return cells.withColumn("SHAPE", polygon(rectangle_rings("minx", "miny", "maxx", "maxy")))
 

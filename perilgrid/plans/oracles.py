@@ -77,6 +77,12 @@ def _hex_cells(columns: str, everywhere: bool = False) -> str:
 
 _HEX_BIN = _hex_cells(f"{_SITE}, lod, {_CELL}")
 _HEX_ALL = _hex_cells(f"{_SITE}, lod, {_CELL}", everywhere=True)
+_NORTH = f"CASE WHEN CAST(site_id AS BIGINT) % 4 = 0 THEN geom_y + {_n(55)} ELSE geom_y END"
+_CLIPPED = f"greatest(-85.05112877980659::DOUBLE, least(85.05112877980659::DOUBLE, {_NORTH}))"
+_HEX_MERCATOR = _HEX_ALL.replace(
+    "geom_x AS x, geom_y AS y",
+    f"geom_x * pi() / {_n(180)} * {_n(6378137)} AS x, ln(tan(pi() / {_n(4)} + {_CLIPPED} * pi() / {_n(360)})) * {_n(6378137)} AS y",
+)
 _CORNERS = "(0, minx, miny), (1, maxx, miny), (2, maxx, maxy), (3, minx, maxy), (4, minx, miny)"
 _EDGES = """SELECT f.OBJECTID, FIRE_NAME, ACRES, ring, seq, x0, y0, x1, y1
            FROM footprints f JOIN edges e ON e.OBJECTID = f.OBJECTID"""
@@ -212,6 +218,7 @@ ORACLES: dict[str, str] = {
     ),
     "hex_bin": _HEX_BIN,
     "hex_bin_all": _HEX_ALL,
+    "hex_bin_mercator": _HEX_MERCATOR,
     "hex_bin_saved": _hex_cells(f"fid || '/' || CAST(lod AS VARCHAR) AS {FID}, {_SITE}, lod, {_CELL}").replace(
         f"(SELECT {_SITE}, geom_x", f"(SELECT {FID} AS fid, {_SITE}, geom_x"
     ),

@@ -187,7 +187,7 @@ def ingest_new_files(
     A stream discovers the files and remembers them below ``state``, in batches of a bounded number; it ends
     when all that stand there now are loaded. Rows are written by feature id and the accounting of a batch
     replaces itself, so a run that was cut off can be started again: each record is there once. ``options``
-    go to :func:`ingest_text`; a new file needs a new name.
+    go to :func:`ingest_text`; a new file needs a new name, and one without content has no account.
     """
     files = (
         spark.readStream.format("binaryFile")
@@ -195,25 +195,28 @@ def ingest_new_files(
         .option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", True)
         .load(source)
-        .select("path")  # contents are not read here
+        .select("path", F.col("_metadata.file_path").alias("file"))  # contents are not read here
     )
     accounts = f"{state.rstrip('/')}/accounting"
     counts = "file string, written bigint, failed bigint, batch bigint"
 
     def load_batch(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        paths = sorted(r.path for r in batch.collect())
+        found = sorted(map(tuple, batch.collect()))
+        paths = [p for p, _ in found]
         if not paths:
             return
         staged = new_dir(session, "new-files")
         rows = ingest_text(session, paths, name, **options)
-        rows.withColumn("_file", F.input_file_name()).write.parquet(staged)
+        # local paths are written in two ways
+        of = F.regexp_replace(F.input_file_name(), "^file:/+", "file:/")
+        rows.withColumn("_file", of).write.parquet(staged)
         rows = session.read.schema(T.StructType([*rows.schema.fields, T.StructField("_file", T.StringType())])).parquet(staged)
         upsert_feature_table(rows.where("_ok").drop("_ok", "geo_valid", "_file"), root, name)
         by_file = rows.groupBy(F.col("_file").alias("file")).agg(
             F.count_if(F.col("_ok")).alias("written"), F.count_if(~F.col("_ok")).alias("failed")
         )
-        empty = session.createDataFrame([(p,) for p in paths], "file string")
+        empty = session.createDataFrame([(name,) for _, name in found], "file string")
         by_file = empty.join(by_file, "file", "left").fillna(0)
         by_file.coalesce(1).write.mode("overwrite").parquet(f"{accounts}/batch={number}")
         drop_dir(session, staged)

@@ -85,3 +85,15 @@ def test_points_are_not_shuffled(spark):
         plan = plan_of(hexbin.hex_bin(points, zooms))
         assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
         assert hexbin.hex_bin(points, zooms).count() == n
+
+
+def test_projection(spark):
+    """Metres of the web map: the whole width is that of its square, latitudes beyond it are clipped."""
+    rows = [(0, 0.0, 0.0), (1, 180.0, 85.05112877980659), (2, -180.0, -90.0), (3, 10.0, 89.9), (4, None, None)]
+    df = spark.createDataFrame(rows, "i int, x double, y double").selectExpr("i", "named_struct('x', x, 'y', y) AS geom")
+    got = {r.i: r.p for r in df.select("i", hexbin.web_mercator("geom").alias("p")).collect()}
+    edge = 20037508.342789244
+    assert abs(got[0].x) < 1e-6 and abs(got[0].y) < 1e-6
+    assert abs(got[1].x - edge) < 1e-6 and abs(got[1].y - edge) < 1e-6
+    assert abs(got[2].x + edge) < 1e-6 and abs(got[2].y + edge) < 1e-6
+    assert abs(got[3].y - edge) < 1e-6 and tuple(got[4]) == (None, None)
