@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perilgrid.functions.buckets import width_bucket_sql
-from perilgrid.functions.geometry import INSIDE, OUTSIDE, part_edges, parts_overlap, position
+from perilgrid.functions.geometry import INSIDE, OUTSIDE, let, part_edges, parts_overlap, position
 from perilgrid.schema import geometry_fields
 
 # One SQL type for points and polygons, so that a function takes either in either order.
@@ -67,7 +67,10 @@ def register(spark: SparkSession) -> None:
     ``st_x, st_y, st_isempty, st_makeBBOX, st_contains, st_intersects, bbox`` work on the
     views of :func:`create_feature_view`. ``WIDTH_BUCKET_1`` is the bucket function under
     a name of its own, since Spark has a built-in ``width_bucket`` with other edge cases and does
-    not let a SQL function replace it. For joins of large tables see :func:`create_spatial_join_view`.
+    not let a SQL function replace it. A join ``ON st_intersects(..)`` is a nested loop; the table functions
+    ``st_point_cells`` and ``st_cells``, used with LATERAL, make it an equi-join in plain SQL: every point and
+    polygon whose level lies between ``lo`` and ``hi`` meet in one cell. See also
+    :func:`create_spatial_join_view`.
     """
     g = f"g {GEOMETRY}"
     ab = f"a {GEOMETRY}, b {GEOMETRY}"
@@ -129,6 +132,33 @@ def register(spark: SparkSession) -> None:
         "BOOLEAN",
         f"g.xmin <= {right} AND g.xmax >= {left} AND g.ymin <= {top} AND g.ymax >= {bottom}",
     )
+    # Cells of 2^level degrees. A polygon has the level of its extent, so at most four cells hold its envelope;
+    # a point has one cell of every level asked for.
+    table = "TABLE(level INT, cx BIGINT, cy BIGINT)"
+    spans = ", ".join(f"'{c}{fn}', floor(g.{c}{fn} / pow(2D, v))" for c in "xy" for fn in ("min", "max"))
+    extent = "greatest(g.xmax - g.xmin, g.ymax - g.ymin)"
+    level = f"greatest(lo, CASE WHEN {extent} > 0 THEN cast(ceil(log2({extent})) AS int) ELSE lo END)"
+    checked = f"CASE WHEN {level} > hi THEN raise_error('a polygon is wider than the cells of the highest level') ELSE {level} END"
+    cells = (
+        "flatten(transform(sequence(s.xmin, s.xmax), x -> transform(sequence(s.ymin, s.ymax), "
+        "y -> named_struct('level', v, 'cx', x, 'cy', y))))"
+    )
+    cells = let("v", checked, let("s", f"named_struct({spans})", cells))
+    at = "named_struct('level', l, 'cx', floor(g.xmin / pow(2D, l)), 'cy', floor(g.ymin / pow(2D, l)))"
+    _function(
+        spark,
+        "st_point_cells",
+        f"{g}, lo INT, hi INT",
+        table,
+        f"SELECT c.level, c.cx, c.cy FROM (SELECT inline(CASE WHEN g.xmin IS NOT NULL THEN transform(sequence(lo, hi), l -> {at}) END) AS (level, cx, cy)) c",
+    )
+    _function(
+        spark,
+        "st_cells",
+        f"{g}, lo INT, hi INT",
+        table,
+        f"SELECT c.level, c.cx, c.cy FROM (SELECT inline(CASE WHEN g.xmin IS NOT NULL THEN {cells} END) AS (level, cx, cy)) c",
+    )
     _function(
         spark,
         "WIDTH_BUCKET_1",

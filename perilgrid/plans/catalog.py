@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from perilgrid.plans.oracles import BUCKETS, FIRE_BOX, HISTOGRAM_PORTFOLIO, LIMI
 from perilgrid.schema import FEATURE_TYPES, FID
 from perilgrid.session import new_dir
 from perilgrid.sources import ingest
+from perilgrid.sources.catalog_tables import create_bucketed_table
 from perilgrid.sources.delimited import write_delimited
 from perilgrid.sources.feature_table import export_csv, read_feature_table, write_feature_table
 
@@ -244,6 +246,25 @@ def fire_contains_multipart(spark, sf_dir):
     return spatial_join(sites, fires, "contains", broadcast_bytes=0, left_rows=20_000, right_rows=50).drop("geom")
 
 
+@query
+def fire_exposure_sql(spark, sf_dir):
+    """The exposure report in plain SQL: cells of points and polygons make it an equi-join."""
+    register(spark)
+    create_feature_view(inputs.sites(spark, sf_dir, heavy=True), "siteexposure_event")
+    create_feature_view(inputs.footprints(spark, sf_dir), "wildfireevent")
+    return spark.sql(
+        """WITH places AS (
+             SELECT portfolio_id, s_udf_met1, geom, c.* FROM siteexposure_event, LATERAL st_point_cells(geom, -3, 3) c
+           ), fires AS (
+             SELECT geometry, c.* FROM wildfireevent, LATERAL st_cells(geometry, -3, 3) c
+           )
+           SELECT portfolio_id, round(sum(s_udf_met1), 4) AS sum_s_udf_met1,
+                  round(sum(s_udf_met1), 4) / count(s_udf_met1) AS avg_s_udf_met1
+           FROM places JOIN fires USING (level, cx, cy)
+           WHERE st_intersects(geom, geometry) GROUP BY portfolio_id"""
+    )
+
+
 @query
 def footprints_in_box(spark, sf_dir):
     register(spark)
@@ -274,6 +295,15 @@ def loss_by_portfolio_bbox(spark, sf_dir):
     )
 
 
+@query
+def loss_by_portfolio_bucketed(spark, sf_dir):
+    """Sites and losses kept by site id in the catalog: neither side is shuffled for the join."""
+    label = uuid.uuid4().hex
+    sites = create_bucketed_table(inputs.sites(spark, sf_dir), "siteexposure_event", f"sites_{label}", ["site_id"], 16)
+    losses = create_bucketed_table(inputs.losses(spark, sf_dir), "sitelossanalyzevent", f"losses_{label}", ["site_id"], 16)
+    return reports.loss_by_portfolio(sites, losses, digits=DIGITS)
+
+
 @query
 def loss_by_site_bbox(spark, sf_dir):
     return reports.loss_by_site(inputs.sites(spark, sf_dir), inputs.losses(spark, sf_dir), digits=DIGITS)

@@ -176,6 +176,7 @@ ORACLES: dict[str, str] = {
         f"SELECT portfolio_id FROM located JOIN sites USING ({FID}) WHERE site_id = '{LOOKUP_SITE}' AND (inside OR on_edge)",
         "located",
     ),
+    "fire_exposure_sql": w(_EXPOSURE, "located"),
     "fire_exposure_multipart": w(_MULTI_EXPOSURE, "multi_located"),
     "fire_contains_multipart": w(
         f"SELECT DISTINCT {FID}, OBJECTID FROM multi_located WHERE inside AND NOT on_edge", "multi_located"
@@ -184,6 +185,7 @@ ORACLES: dict[str, str] = {
     "footprint_overlaps": w(_overlaps(_MULTI, _MULTI, "s.id <> t.id") + " WHERE a < b", "multi_edges"),
     # losses
     "loss_by_portfolio": w(_loss("portfolio_id"), "sites", "losses"),
+    "loss_by_portfolio_bucketed": w(_loss("portfolio_id"), "sites", "losses"),
     "loss_by_portfolio_bbox": w(_loss("portfolio_id", f"WHERE {GULF_INTERIOR}"), "sites", "losses"),
     "loss_by_site_bbox": w(_loss("site_id", f"WHERE {GULF}"), "sites", "losses"),
     "loss_by_site_bucket": w(

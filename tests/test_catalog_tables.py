@@ -1,0 +1,53 @@
+import re
+import uuid
+
+import pytest
+
+from perilgrid.plans import inputs, reports
+from perilgrid.schema import FID
+from perilgrid.session import new_dir
+from perilgrid.sources.catalog_tables import attach_feature_table, create_bucketed_table
+from perilgrid.sources.feature_table import write_feature_table
+from tests.conftest import SF_DIR, plan_of
+
+
+@pytest.fixture
+def named(spark):
+    made = []
+
+    def make(label):
+        made.append(f"{label}_{uuid.uuid4().hex}")
+        return made[-1]
+
+    yield make
+    for table in made:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_no_shuffle_below_the_join(spark, named):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sites = create_bucketed_table(inputs.sites(spark, SF_DIR), "siteexposure_event", named("sites"), ["site_id"], 4)
+        losses = create_bucketed_table(inputs.losses(spark, SF_DIR), "sitelossanalyzevent", named("losses"), ["site_id"], 4)
+        joined = reports.loss_by_portfolio(sites, losses)
+        plan = plan_of(joined)
+        assert "SortMergeJoin" in plan
+        assert not re.search(r"hashpartitioning\([^)]*site_id", plan)
+        plain = reports.loss_by_portfolio(inputs.sites(spark, SF_DIR), inputs.losses(spark, SF_DIR), digits=4)
+        assert re.search(r"hashpartitioning\([^)]*site_id", plan_of(plain))
+        rounded = reports.loss_by_portfolio(sites, losses, digits=4)
+        assert sorted(map(tuple, rounded.collect())) == sorted(map(tuple, plain.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_stored_table_by_name(spark, named):
+    root, table = new_dir(spark, "attached"), named("zooms")
+    df = spark.createDataFrame([("1", 1, 10), ("2", 2, 20)], f"{FID} string, zoom_id bigint, zoom_value bigint")
+    write_feature_table(df, root, "hexzoomevent")
+    attach_feature_table(spark, root, "hexzoomevent", table)
+    assert spark.sql(f"SELECT zoom_value FROM {table} WHERE zoom_id = 2").first()[0] == 20
+    write_feature_table(df, root, "hexzoomevent")
+    spark.catalog.refreshTable(table)
+    assert spark.table(table).count() == 4

@@ -10,6 +10,7 @@ from perilgrid.functions.geometry import multi_polygon, st_contains, st_intersec
 from perilgrid.functions.sql import create_feature_view, register
 from perilgrid.operators.polygon_join import polygon_join
 from perilgrid.operators.spatial_join import spatial_join
+from tests.conftest import plan_of
 
 PARTS = "ARRAY<ARRAY<ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>>>"
 
@@ -135,3 +136,19 @@ def test_sql_predicates(spark, made):
     assert sorted(r[0] for r in got.collect()) == inside
     pairs = spark.sql("SELECT a.OBJECTID AS a, b.OBJECTID AS b FROM shapes a JOIN shapes b ON st_intersects(a.geometry, b.geometry)")
     assert sorted(map(tuple, pairs.where("a < 12 AND b < 12").collect())) == sorted((i, j) for i in range(12) for j in range(12) if overlap(parts[i], parts[j]))
+
+
+def test_cells_make_an_equi_join(spark, made):
+    parts, points, polygons, df = made
+    register(spark)
+    create_feature_view(df, "places")
+    create_feature_view(polygons, "shapes")
+    sql = """SELECT pid, OBJECTID FROM (SELECT pid, geom, c.* FROM places, LATERAL st_point_cells(geom, -2, 5) c)
+             JOIN (SELECT OBJECTID, geometry, c.* FROM shapes, LATERAL st_cells(geometry, -2, {}) c) USING (level, cx, cy)
+             WHERE st_intersects(geom, geometry)"""
+    joined = spark.sql(sql.format(5))
+    assert "NestedLoop" not in plan_of(joined) and "Cartesian" not in plan_of(joined)
+    want = sorted((i, k) for i, (x, y) in enumerate(points) for k, p in enumerate(parts) if any(position(x, y, r) for r in p))
+    assert sorted(map(tuple, joined.collect())) == want
+    with pytest.raises(Exception, match="wider than the cells"):
+        spark.sql(sql.format(1)).collect()
