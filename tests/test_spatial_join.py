@@ -1,5 +1,6 @@
 import math
 import random
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -203,12 +204,16 @@ def test_semi_join_keeps_repeated_rows(spark, broadcast_bytes, sizes):
     assert sorted(r["__fid__"] for r in found.collect()) == ["a", "a", "a", "b"]
 
 
-def test_shuffled_places_are_thin(spark, world):
+def test_shuffled_places_are_thin(spark, world, monkeypatch):
+    """What meets the tiles, and is written once before the rows are joined back, has places only."""
     sites, polygons, _ = world
     wide = sites.withColumn("payload", F.lit("p"))
-    plan = plan_of(spatial_join(wide, polygons, broadcast_bytes=0))
-    generated = [line for line in plan.split("\n\n") if "Generate" in line and "_level" in line]
-    assert generated and all("payload" not in line for line in generated)
+    module, plans = sys.modules[spatial_join.__module__], []
+    plain = module._written
+    monkeypatch.setattr(module, "_written", lambda df, label: plans.append(plan_of(df)) or plain(df, label))
+    assert "Generate" not in plan_of(spatial_join(wide, polygons, broadcast_bytes=0))
+    generated = [line for line in plans[0].split("\n\n") if "Generate" in line and "_level" in line]
+    assert len(plans) == 1 and generated and all("payload" not in line for line in generated)
 
 
 @pytest.mark.parametrize("how", ["inner", "left_semi"])
