@@ -19,6 +19,7 @@ KINDS = tuple(FORMATS)
 PATTERN = "|".join(f"(?:{p})" for p in FORMATS.values())
 ROUNDS = 8
 CYCLE_STEPS = 64
+DATE_STEPS = 256
 # Days of a 400-year calendar cycle, 189 * 773; cycles are counted from this day.
 _DAY_HIGH, _DAY_LOW, _DAY_ZERO = 189, 773, "DATE'1800-01-01'"
 
@@ -137,17 +138,30 @@ def _parsed(m: str) -> str:
 
 
 def _date(key: str, m: str) -> str:
-    """The day is permuted within its 400-year cycle, written in the same format."""
-    day = f"CAST(datediff(day, {_DAY_ZERO}, t) AS BIGINT)"
+    """The day is permuted within its 400-year cycle, written in the same format.
+
+    Permuted again until the year has four digits and the day of the month is above 12 just where
+    the input's is. So a slash date keeps its reading, and no two dates of one format meet.
+    """
     cycle = _DAY_HIGH * _DAY_LOW
-    mixed = f"""aggregate(sequence(1, {ROUNDS}),
-        named_struct('a', pmod(y, {cycle}L) div {_DAY_LOW}L, 'b', pmod(y, {cycle}L) % {_DAY_LOW}L),
-        (s, i) -> CASE WHEN i % 2 = 0
-            THEN named_struct('a', (s.a + {_number(_digest(key, 'date', 'i', 's.b'))}) % {_DAY_HIGH}L, 'b', s.b)
-            ELSE named_struct('a', s.a, 'b', (s.b + {_number(_digest(key, 'date', 'i', 's.a'))}) % {_DAY_LOW}L) END,
-        s -> date_add({_DAY_ZERO}, CAST(y - pmod(y, {cycle}L) + s.a * {_DAY_LOW}L + s.b AS INT)))"""
+
+    def mixed(v: str) -> str:
+        return f"""aggregate(sequence(1, {ROUNDS}),
+            named_struct('a', pmod({v}, {cycle}L) div {_DAY_LOW}L, 'b', pmod({v}, {cycle}L) % {_DAY_LOW}L),
+            (s, i) -> CASE WHEN i % 2 = 0
+                THEN named_struct('a', (s.a + {_number(_digest(key, 'date', 'i', 's.b'))}) % {_DAY_HIGH}L, 'b', s.b)
+                ELSE named_struct('a', s.a, 'b', (s.b + {_number(_digest(key, 'date', 'i', 's.a'))}) % {_DAY_LOW}L) END,
+            s -> {v} - pmod({v}, {cycle}L) + s.a * {_DAY_LOW}L + s.b)"""
+
+    def at(v: str) -> str:
+        return f"date_add({_DAY_ZERO}, CAST({v} AS INT))"
+
+    fits = f"year({at('v')}) BETWEEN 1 AND 9999 AND (day({at('v')}) > 12) = (day(t) > 12)"
+    day = f"CAST(datediff(day, {_DAY_ZERO}, t) AS BIGINT)"
+    walked = f"""aggregate(sequence(1, {DATE_STEPS}), {mixed('y')},
+        (v, j) -> CASE WHEN {fits} THEN v ELSE {mixed('v')} END, v -> {at('v')})"""
     cases = " ".join(f"WHEN {m} RLIKE '{shape}' THEN date_format(w, '{form}')" for shape, form in _DATE_SHAPES)
-    written = _let("w", mixed, f"CASE {cases} END")
+    written = _let("w", walked, f"CASE {cases} END")
     return _let("t", _parsed(m), _let("y", day, written))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +17,6 @@ from perilgrid.llm.shipping import ship_package
 DUPLICATE_SHARE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 TOP_SHARE = {2: 0.20, 3: 0.18, 4: 0.16}
 DUPLICATE_LINE_SHARE = 0.20
-SYMBOLS_PER_WORD = 0.10
 MIN_WORDS = 20
 BASE_WINDOW = 8
 BASE_REPEAT = 0.30
@@ -70,7 +70,7 @@ def measure(text: str) -> dict:
     lengths = np.fromiter(map(len, tokens), np.int64, n_words)
     chars = int(lengths.sum())
     n_symbols = len(_SYMBOL.findall(text))
-    hashes = np.fromiter(map(hash, tokens), np.int64, n_words).view(np.uint64)
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(t) for t in tokens), np.uint64, n_words)
     repeat_words, repeat_share, top_share, failed = 0, 0.0, 0.0, False
     for n, rolled in ngram_hashes(hashes, max(DUPLICATE_SHARE)):
         if n not in TOP_SHARE and n not in DUPLICATE_SHARE:
@@ -102,7 +102,6 @@ def measure(text: str) -> dict:
             seen.add(line)
     line_share = dup_chars / line_chars if line_chars else 0.0
     failed |= line_share > DUPLICATE_LINE_SHARE
-    failed |= n_symbols > SYMBOLS_PER_WORD * n_words
     base_failed = n_words < MIN_WORDS or 100 * repeat_words > 100 * BASE_REPEAT * n_words
     return {
         "n_words": n_words,

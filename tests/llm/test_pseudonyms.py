@@ -5,7 +5,7 @@ from datetime import date, timedelta
 
 import pytest
 
-from perilgrid.llm.pseudonyms import KINDS, pseudonymize
+from perilgrid.llm.pseudonyms import KINDS, PATTERN, pseudonymize
 from tests.llm.conftest import rows_of
 
 KEY = "k'1\\"
@@ -57,16 +57,25 @@ def ip(text):
     return str(ipaddress.ip_address(a << 16 | b))
 
 
-def day(value):
-    zero = date(1800, 1, 1)
-    y = (value - zero).days
+def mixed_day(y):
     a, b = divmod(y % 146097, 773)
     for i in range(1, 9):
         if i % 2 == 0:
             a = (a + number("date", i, b)) % 189
         else:
             b = (b + number("date", i, a)) % 773
-    return zero + timedelta(days=y - y % 146097 + a * 773 + b)
+    return y - y % 146097 + a * 773 + b
+
+
+def day(value):
+    zero = date(1800, 1, 1)
+    y = mixed_day((value - zero).days)
+    while True:
+        if date.min <= zero + timedelta(days=min(y, 2_900_000)) and y <= (date.max - zero).days:
+            out = zero + timedelta(days=y)
+            if (out.day > 12) == (value.day > 12):
+                return out
+        y = mixed_day(y)
 
 
 def ssn(text):
@@ -122,6 +131,21 @@ def test_invalid_values_stay(spark, docs, text):
     assert row.text == text and sum(row[f"n_{k}"] for k in KINDS) == 0
 
 
+def test_slash_dates_never_share(spark, docs):
+    days = [date(1999, 1, 1) + timedelta(days=k) for k in range(3000)]
+    values = [f"{d.month:02d}/{d.day:02d}/{d.year}" for d in days]
+    values += [f"{d.day:02d}/{d.month:02d}/{d.year}" for d in days if d.day > 12]
+    got = [r.text for r in pseudonymize(docs(list(enumerate(values))), KEY).orderBy("doc_id").collect()]
+    assert len(set(got)) == len(values)
+    assert [int(v[:2]) > 12 for v in values] == [int(g[:2]) > 12 for g in got]
+
+
+@pytest.mark.parametrize("value", ["9999-12-31", "9998-01-05", "1799-12-31", "0301-01-01"])
+def test_dates_at_the_ends(spark, docs, value):
+    row = one(spark, docs, f"on {value}.")
+    assert row.text == f"on {day(date.fromisoformat(value)).isoformat()}." and row.n_date == 1
+
+
 def test_one_to_one(spark, docs):
     cards = []
     for k in range(0, 4000, 3):
@@ -147,19 +171,65 @@ def test_key_matters(spark, docs):
     assert a != b
 
 
-def test_query(spark, sf_dir):
+def slash_or_other(text):
+    """The date of a text in one of the formats and its parts' order, None if it is none."""
+    parts = [int(p) for p in re.split(r"[-/.]", text)]
+    if re.match(r"\d{4}", text):
+        order = "ymd"
+    elif text[2] == "/" and 1 <= parts[0] <= 12:
+        order = "mdy"
+    else:
+        order = "dmy"
+    at = dict(zip(order, parts, strict=True))
+    try:
+        return date(at["y"], at["m"], at["d"]), order
+    except ValueError:
+        return None
+
+
+def replaced(text):
+    """Text and kinds by plain Python, value by value."""
+    kinds = []
+
+    def made(match):
+        m = match[0]
+        digits = re.sub(r"\D", "", m)
+        if "@" in m:
+            kind, new = "email", permuted("email", m.split("@")[0]) + "@" + m.split("@")[1]
+        elif re.fullmatch(r"\d+(\.\d+){3}", m):
+            kind, new = "ip", ip(m) if all(int(o) < 256 for o in m.split(".")) else None
+        elif re.fullmatch(r"\d{4}([-/])\d\d\1\d\d|\d\d[./]\d\d[./]\d{4}", m):
+            kind, new = "date", None
+            if (found := slash_or_other(m)) and len({c for c in m if not c.isdigit()}) == 1:
+                out = day(found[0])
+                new = re.search(r"\D", m)[0].join(
+                    {"y": f"{out.year:04d}", "m": f"{out.month:02d}", "d": f"{out.day:02d}"}[c] for c in found[1]
+                )
+        elif re.fullmatch(r"\d{3}-\d\d-\d{4}", m):
+            kind, new = "ssn", ssn(m) if re.fullmatch(r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}", m) else None
+        elif re.fullmatch(r"\d{13,19}|\d{4}([ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5}", m):
+            kind, new = "card", card(m) if luhn(digits) else None
+        else:
+            head = re.match(r"[+]\d{1,3}[ .-]", m)
+            n = head.end() if head else 0
+            kind, new = "phone", m[:n] + permuted("phone", m[n:])
+        if new is None:
+            return m
+        kinds.append(kind)
+        return new
+
+    return re.sub(PATTERN, made, text), kinds
+
+
+def test_query(spark, sf_dir, monkeypatch):
+    """Every row of the table: counts of each kind and the whole replaced text."""
     from perilgrid.llm.queries import QUERIES
 
+    monkeypatch.setattr("tests.llm.test_pseudonyms.KEY", "pseudonym key")
     got = {r.doc_id: r for r in QUERIES["op7_pseudonyms"](spark, sf_dir).collect()}
-    pattern = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])")
     for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
         row = got.pop(r.doc_id)
-        old = [m[0] for m in pattern.finditer(r.text) if all(int(o) < 256 for o in m[0].split("."))]
-        assert row.n_ip == len(old) and not any(o in row.text for o in old)
-        mails = re.findall(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", r.text)
-        assert row.n_email == len(mails) and not any(m in row.text for m in mails)
-        cards = [c for c in re.findall(r"(?<!\d)\d{13,19}(?!\d)", r.text) if luhn(c)]
-        assert row.n_card == len(cards) and not any(c in row.text for c in cards)
-        if not sum(row[f"n_{k}"] for k in KINDS):
-            assert row.text == r.text
+        text, kinds = replaced(r.text)
+        assert row.text == text
+        assert {k: row[f"n_{k}"] for k in KINDS} == {k: kinds.count(k) for k in KINDS}
     assert not got

@@ -10,7 +10,14 @@ import pytest
 
 from perilgrid.llm import decontaminate
 from perilgrid.llm.decontaminate import Matcher, drop_contaminated, find_benchmark
-from perilgrid.llm.quality_rules import filter_quality, measure, quality_rules
+from perilgrid.llm.quality_rules import (
+    DUPLICATE_LINE_SHARE,
+    DUPLICATE_SHARE,
+    TOP_SHARE,
+    filter_quality,
+    measure,
+    quality_rules,
+)
 from perilgrid.llm.secret_scan import base_spans, find_spans, secret_scan
 from tests.llm.conftest import rows_of
 
@@ -51,12 +58,63 @@ def test_quality_base(spark, sf_dir, docs):
     assert got.where("base_failed AND kept").count() == 0
 
 
+def repetition(text):
+    """Shares and verdict of the repetition rules by sets of tuples of words."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    chars = sum(map(len, words))
+    shares = {}
+    for n in range(2, 11):
+        grams = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+        counts = collections.Counter(grams)
+        if n <= 4:
+            most = max(counts.values(), default=1)
+            tops = [g for g, c in counts.items() if c == most] if most > 1 else []
+            marks = [[i for i, g in enumerate(grams) if g == top] for top in tops]
+        else:
+            seen, later = set(), []
+            for i, g in enumerate(grams):
+                if g in seen:
+                    later.append(i)
+                seen.add(g)
+            marks = [later]
+        covers = [{k for i in at for k in range(i, i + n)} for at in marks]
+        shares[n] = [sum(len(words[k]) for k in c) / chars if chars else 0.0 for c in covers] or [0.0]
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    seen, again = set(), 0
+    for x in lines:
+        again += len(x) if x in seen else 0
+        seen.add(x)
+    return shares, again / sum(map(len, lines)) if lines else 0.0
+
+
+def test_quality_whole(spark, sf_dir, docs):
+    """Every share and the verdict; among equally frequent short n-grams any may be the top one."""
+    rows = [(k, t) for k, (_, t) in enumerate(given_docs(spark, sf_dir) + EDGE)]
+    got = {r.doc_id: r for r in quality_rules(docs(rows)).collect()}
+    n_kept = 0
+    for k, text in rows:
+        row = got.pop(k)
+        shares, line_share = repetition(text)
+        repeat = max(shares[n][0] for n in range(5, 11))
+        assert abs(row.repeat_share - repeat) < 1e-12 and abs(row.dup_line_share - line_share) < 1e-12
+        tops = [s for n in TOP_SHARE for s in shares[n]]
+        assert min(abs(row.top_share - s) for s in [*tops, 0.0]) < 1e-12
+        assert row.top_share >= max(min(shares[n]) for n in TOP_SHARE) - 1e-12
+        bad = base_figures(text)[-1] or line_share > DUPLICATE_LINE_SHARE
+        bad = bad or any(shares[n][0] > limit for n, limit in DUPLICATE_SHARE.items())
+        surely = bad or any(min(shares[n]) > limit for n, limit in TOP_SHARE.items())
+        maybe = bad or any(max(shares[n]) > limit for n, limit in TOP_SHARE.items())
+        assert row.kept in (not surely, not maybe)
+        n_kept += row.kept
+    assert not got and n_kept > len(rows) // 2
+
+
 def test_quality_verdict():
     rng = random.Random(1)
     prose = " ".join("".join(rng.choices(string.ascii_lowercase, k=6)) for _ in range(200))
     assert measure(prose)["kept"]
     assert not measure(prose + "\n" + prose)["kept"]
-    assert not measure(" ".join(f"{w}#" for w in prose.split()))["kept"]
+    assert measure(" ".join(f"{w}#" for w in prose.split()))["kept"]  # symbols are counted, not judged
     assert not measure(("the same words again and " * 3 + "other things here ") * 20)["kept"]
 
 
