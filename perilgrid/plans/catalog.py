@@ -71,6 +71,14 @@ def scan_bbox_saved(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def scan_bbox_clustered(spark, sf_dir):
+    """The box scan of a stored table whose files each cover a compact area."""
+    root = new_dir(spark, "clustered")
+    write_feature_table(inputs.sites(spark, sf_dir), root, "siteexposure_event", cluster_curve=True)
+    return reports.box_scan(read_feature_table(spark, root, "siteexposure_event"))
+
+
 @query
 def scan_attr_filter(spark, sf_dir):
     return reports.portfolio_scan(inputs.sites(spark, sf_dir), PORTFOLIO).select(*_site_columns())
@@ -295,6 +303,12 @@ def loss_by_portfolio_bbox(spark, sf_dir):
     )
 
 
+@query
+def loss_by_portfolio_exact(spark, sf_dir):
+    """Sums that are equal in every bit over any partitioning, without rounding to digits."""
+    return reports.loss_by_portfolio(inputs.sites(spark, sf_dir), inputs.losses(spark, sf_dir), exact=True)
+
+
 @query
 def loss_by_portfolio_bucketed(spark, sf_dir):
     """Sites and losses kept by site id in the catalog: neither side is shuffled for the join."""

@@ -29,6 +29,21 @@ _BINNED = f'SELECT *, {_bucket("max_10", *BUCKETS)} AS "BIN" FROM ({_MAX}) m'
 _BINS = 'SELECT min(max_10) AS "MIN_VAL", max(max_10) AS "MAX_VAL", "BIN", count(*) AS "FREQUENCY" FROM ({}) b {} GROUP BY "BIN" ORDER BY "BIN" {}'
 
 
+def _nearest(value: str) -> str:
+    """Nearest double to the exact sum: integers of 2**-60, halves of which are exact doubles (the sum is above 2**8)."""
+    total = f"sum(CAST({value} * {2.0**60!r}::DOUBLE AS HUGEINT))"
+    high = f"({total} >> 60)"
+    rest = f"({total} - ({total} >> 60) * {1 << 60}::HUGEINT)"
+    low = f"({rest} >> 10) * 2 + CASE WHEN {rest} & 1023 = 0 THEN 0 ELSE 1 END"
+    return f"CAST({high} AS DOUBLE) + CAST({low} AS DOUBLE) / {2.0**51!r}::DOUBLE"
+
+
+_LOSS_EXACT = f"""SELECT portfolio_id, v AS sum_s_udf_met1, v / n AS avg_s_udf_met1, sum_gross_loss FROM (
+  SELECT s.portfolio_id, {_nearest('s.s_udf_met1')} AS v, count(s.s_udf_met1) AS n,
+    {_nearest('l.gross_loss')} AS sum_gross_loss
+  FROM sites s LEFT JOIN losses l ON s.site_id = l.site_id GROUP BY s.portfolio_id)"""
+
+
 def _loss(by: str, where: str = "", extra: str = "") -> str:
     return f"""SELECT s.{by}, round(sum(s.s_udf_met1), 4) AS sum_s_udf_met1,
       round(sum(s.s_udf_met1), 4) / count(s.s_udf_met1) AS avg_s_udf_met1,
@@ -140,6 +155,7 @@ ORACLES: dict[str, str] = {
     "scan_bbox_projection": w(f"SELECT {_SITE}, s_udf_met1 FROM sites WHERE {GULF}", "sites"),
     "scan_bbox_saved": w(f"SELECT {_SITE}, s_udf_met1 FROM sites WHERE {GULF}", "sites"),
     "scan_bbox_count": w(f"SELECT count(*) AS n FROM sites WHERE {GULF}", "sites"),
+    "scan_bbox_clustered": w(f"SELECT {_SITE}, s_udf_met1 FROM sites WHERE {GULF}", "sites"),
     "scan_attr_filter": w(f"{_SITE_ROWS} WHERE portfolio_id = {PORTFOLIO}", "sites"),
     "scan_footprints": w(_EDGES, "footprints", "edges"),
     "footprint_head": w("SELECT OBJECTID, ACRES FROM footprints WHERE OBJECTID < 100 ORDER BY OBJECTID LIMIT 10", "footprints"),
@@ -185,6 +201,7 @@ ORACLES: dict[str, str] = {
     "footprint_overlaps": w(_overlaps(_MULTI, _MULTI, "s.id <> t.id") + " WHERE a < b", "multi_edges"),
     # losses
     "loss_by_portfolio": w(_loss("portfolio_id"), "sites", "losses"),
+    "loss_by_portfolio_exact": w(_LOSS_EXACT, "sites", "losses"),
     "loss_by_portfolio_bucketed": w(_loss("portfolio_id"), "sites", "losses"),
     "loss_by_portfolio_bbox": w(_loss("portfolio_id", f"WHERE {GULF_INTERIOR}"), "sites", "losses"),
     "loss_by_site_bbox": w(_loss("site_id", f"WHERE {GULF}"), "sites", "losses"),

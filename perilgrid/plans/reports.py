@@ -9,7 +9,7 @@ from perilgrid.functions.buckets import width_bucket
 from perilgrid.functions.geometry import Box, edges, st_intersects
 from perilgrid.operators import hexbin
 from perilgrid.operators.keyed_join import row_bytes, sized_join
-from perilgrid.operators.rollup import loss_rollup, sum_and_avg
+from perilgrid.operators.rollup import exact_loss_rollup, loss_rollup, sum_and_avg
 from perilgrid.operators.segments import COLUMNS, layout, matches
 from perilgrid.operators.spatial_join import spatial_join
 from perilgrid.schema import FID
@@ -143,11 +143,16 @@ def coverage_histogram(
 
 
 def loss_by_portfolio(
-    sites: DataFrame, losses: DataFrame, box: Box | None = None, digits: int | None = None
+    sites: DataFrame, losses: DataFrame, box: Box | None = None, digits: int | None = None, exact: bool = False
 ) -> DataFrame:
-    """Exposure and loss by portfolio; with a box only sites strictly inside it."""
+    """Exposure and loss by portfolio; with a box only sites strictly inside it.
+
+    ``exact`` sums are the same in every bit whatever the order of the rows.
+    """
     if box is not None:
         sites = sites.where(box.contains(F.col("geom")))
+    if exact:
+        return exact_loss_rollup(sites, losses, "portfolio_id")
     return loss_rollup(sites, losses, "portfolio_id", digits=digits)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from perilgrid.functions.curve import hilbert_key
 from perilgrid.schema import FEATURE_TYPES, FID, FeatureType, geometry_fields
 from perilgrid.session import drop_dir, new_dir, path_exists
 
@@ -71,13 +72,16 @@ def write_feature_table(
     partition_by: list[str] | None = None,
     cluster_tile: float | None = None,
     files: int | None = None,
+    cluster_curve: bool = False,
 ) -> str:
     """Append (by default) rows to a feature table and return its path.
 
     ``cluster_tile`` range-partitions and sorts the rows by square tiles of the default
     geometry, so that the min/max statistics of each row group cover a small area and box
     filters skip the rest. The feature id is the last range key: it splits a tile that
-    holds a large share of the rows over several files.
+    holds a large share of the rows over several files. ``cluster_curve`` does the same along a
+    Hilbert curve: each file and row group covers a compact area at any density, without a tile
+    size to choose; rows without a place come first.
     ``partition_by`` lays out directories. The rows are rebalanced by its columns first:
     small values share a task, and adaptive execution splits the large ones, so neither
     many small files nor one task for a whole directory result.
@@ -85,13 +89,21 @@ def write_feature_table(
     feature_type = _feature_type(name)
     out = conform(df, name)
     path = table_path(root, name, table)
-    if cluster_tile:
+    if cluster_tile and cluster_curve:
+        raise ValueError("cluster by tiles or along a curve, not both")
+    if cluster_tile or cluster_curve:
         if feature_type.default_geometry is None:
             raise ValueError(f"feature type {name} has no geometry to cluster by")
-        geom = F.col(f"`{feature_type.default_geometry}`")
+        geom = f"`{feature_type.default_geometry}`"
         kind = geometry_fields(feature_type.schema)[feature_type.default_geometry]
-        x, y = (geom["x"], geom["y"]) if kind == "Point" else (geom["bbox"]["xmin"], geom["bbox"]["ymin"])
-        order = [*(partition_by or []), F.floor(y / cluster_tile), F.floor(x / cluster_tile), F.xxhash64(FID)]
+        if cluster_curve:
+            box = f"{geom}.bbox"
+            middle = [f"{geom}.{c}" if kind == "Point" else f"({box}.{c}min + {box}.{c}max) / 2D" for c in "xy"]
+            area = [hilbert_key(*middle)]
+        else:
+            x, y = (f"{geom}.x", f"{geom}.y") if kind == "Point" else (f"{geom}.bbox.xmin", f"{geom}.bbox.ymin")
+            area = [F.floor(F.expr(y) / cluster_tile), F.floor(F.expr(x) / cluster_tile)]
+        order = [*(partition_by or []), *area, F.xxhash64(FID)]
         out = out.repartitionByRange(files, *order) if files else out.repartitionByRange(*order)
         out = out.sortWithinPartitions(*order)
     elif partition_by:

@@ -140,6 +140,7 @@ def load(
     quarantine: str | None = None,
     mode: str = "append",
     cluster_tile: float | None = None,
+    cluster_curve: bool = False,
 ) -> tuple[int, int]:
     """Write the good rows to the feature table and return ``(written, failed)``.
 
@@ -156,14 +157,14 @@ def load(
     )
     good = observed.where("_ok").drop("_ok", "geo_valid")
     if mode == "upsert":
-        if cluster_tile:
+        if cluster_tile or cluster_curve:
             raise ValueError("a table written by feature id is not laid out by area")
         upsert_feature_table(good, root, name)
         written, failed = counts.get["written"], counts.get["failed"]
-    elif cluster_tile:
+    elif cluster_tile or cluster_curve:
         # a range shuffle samples its input first, which would run the observed stage twice
         good = ingested.where("_ok").drop("_ok", "geo_valid")
-        write_feature_table(good, root, name, mode=mode, cluster_tile=cluster_tile)
+        write_feature_table(good, root, name, mode=mode, cluster_tile=cluster_tile, cluster_curve=cluster_curve)
         written, failed = quality_counts(ingested).first()
     else:
         write_feature_table(good, root, name, mode=mode)
