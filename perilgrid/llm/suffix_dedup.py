@@ -8,7 +8,9 @@
 3. The different contexts of the other names meet in groups of bounded size. Their suffixes are
    sorted in shards as Burrows-Wheeler transforms, which are merged by interleave refinement; the
    intervals of the merged order at depth ``length`` say which windows occur again.
-4. Names with very many different contexts are not grouped: their windows are counted by hash.
+4. The windows of names with too many different contexts for one group get longer names, with the
+   smallest hashes by more orders of the strings, and are judged by these as before; at last a
+   window is named by all its bytes.
 """
 
 from __future__ import annotations
@@ -33,7 +35,10 @@ GRAM = 64
 PART_STARTS = 2 << 20
 # Bytes of different contexts merged at once, and the most contexts one name may bring.
 GROUP_BYTES = 1 << 20
-HOT_CONTEXTS = 2_000
+NAME_CONTEXTS = 2_000
+# Further orders of the strings whose minima the longer names hold, step by step; WHOLE for all bytes.
+WHOLE = 0
+ORDERS = (2, 8, 32, WHOLE)
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -68,13 +73,13 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of every ``width`` neighbours, by doubling."""
+    """Minimum of every ``width`` neighbours along the last axis, by doubling."""
     least, reach = values, 1
     while 2 * reach <= width:
-        least = np.minimum(least[:-reach], least[reach:])
+        least = np.minimum(least[..., :-reach], least[..., reach:])
         reach *= 2
     rest = width - reach
-    return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+    return np.minimum(least[..., : least.shape[-1] - rest], least[..., rest:]) if rest else least
 
 
 def runs_of(data: bytes, length: int, gram: int) -> list[tuple[int, int, int]]:
@@ -99,6 +104,34 @@ def runs_of(data: bytes, length: int, gram: int) -> list[tuple[int, int, int]]:
     return runs
 
 
+@lru_cache(maxsize=4)
+def _order_factors(orders: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(orders)
+    first, second = (rng.integers(0, 1 << 63, (orders, 1), np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
+    return first, second
+
+
+def longer_names(data: bytes, begin: int, end: int, name: int, orders: int, length: int, gram: int) -> list[tuple[int, int, int]]:
+    """(begin, end, name) of the parts of a run by the minima of its windows in more orders.
+
+    The windows of a part share the place that named the run, so no two of one part are equal.
+    """
+    part = data[begin : end + length - 1]
+    if orders == WHOLE:
+        return [(begin + k, begin + k + 1, _signed(xxhash.xxh64_intdigest(part[k : k + length]))) for k in range(end - begin)]
+    first, second = _order_factors(orders)
+    with np.errstate(over="ignore"):
+        ranked = gram_hashes(np.frombuffer(part, np.uint8), gram) * first
+        ranked ^= ranked >> np.uint64(31)
+        ranked *= _MIX
+        names = (window_minima(ranked, length - gram + 1) * second).sum(axis=0, dtype=np.uint64)
+        names = (names ^ np.uint64(name & (1 << 64) - 1)) * _MIX
+    begins = np.concatenate([[0], np.nonzero(names[1:] != names[:-1])[0] + 1])
+    ends = np.append(begins[1:], len(names))
+    found = names[begins].view(np.int64)
+    return list(zip((begins + begin).tolist(), (ends + begin).tolist(), found.tolist(), strict=True))
+
+
 def _utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
@@ -193,37 +226,33 @@ def _merged_windows(contexts: DataFrame, groups: int, length: int) -> DataFrame:
     return grouped.applyInArrow(merge, "name long, context long, firsts array<long>, ends array<long>")
 
 
-def _counted_windows(docs: DataFrame, hot: DataFrame, length: int) -> DataFrame:
-    """Spans of the windows of hot runs that occur again, counted by a 128-bit hash."""
-    grouped = hot.groupBy("doc_id", "h_text").agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
-    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "h_text", "begin", "w1", "w2")])
+def _rescan(docs: DataFrame, hot: DataFrame, orders: int, length: int, gram: int) -> DataFrame:
+    """The windows of hot runs as runs with longer names, in the columns of :func:`_scan`."""
+    grouped = hot.groupBy("doc_id", "h_text").agg(F.collect_set(F.struct("begin", "end", "name")).alias("runs"))
+    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "h_text", "begin", "end", "name", "context")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             columns = (part.column(c).to_pylist() for c in ("doc_id", "h_text", "text", "runs"))
             for doc_id, h_text, text, runs in zip(*columns, strict=True):
-                view = memoryview(_utf8(text))
-                rows = []
-                for r in runs:
-                    for at in range(r["begin"], r["end"]):
-                        whole = xxhash.xxh128_intdigest(view[at : at + length])
-                        rows.append((doc_id, h_text, at, _signed(whole >> 64), _signed(whole & (1 << 64) - 1)))
+                data = _utf8(text)
+                view = memoryview(data)
+                rows = [
+                    (doc_id, h_text, b, e, name, _signed(xxhash.xxh64_intdigest(view[b : e + length - 1])))
+                    for r in runs
+                    for b, e, name in longer_names(data, r["begin"], r["end"], r["name"], orders, length, gram)
+                ]
                 yield _batch(schema, rows)
 
-    windows = _with_row_key(docs, grouped, "inner").mapInArrow(run, ", ".join(f"{f.name} long" for f in schema))
-    spark = docs.sparkSession
-    path = new_dir(spark, "hot-windows")
-    windows.write.parquet(path)
-    windows = spark.read.parquet(path)
-    again = windows.groupBy("w1", "w2").count().where("count > 1").drop("count")
-    return windows.join(again, ["w1", "w2"]).select("doc_id", "h_text", "begin", (F.col("begin") + length).alias("end"))
+    joined = _with_row_key(docs, grouped, "inner").select("doc_id", "h_text", "text", "runs")
+    return joined.mapInArrow(run, ", ".join(f"{f.name} long" for f in schema))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(doc_id, h_text, begin, end): byte spans covered by windows that occur again, overlapping."""
+def _judged(docs: DataFrame, scan: DataFrame, length: int, most: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """Spans of the windows of ``scan`` that occur again, and the runs whose names have over ``most`` contexts."""
     spark = docs.sparkSession
     scanned = new_dir(spark, "runs")
-    _scan(docs, length, gram).write.option("compression", "zstd").parquet(scanned)
+    scan.write.option("compression", "zstd").parquet(scanned)
     runs = spark.read.parquet(scanned)
     place = F.struct("doc_id", "h_text", "begin", "end")
     copies = runs.groupBy("name", "context").agg(F.count("*").alias("copies"))
@@ -235,7 +264,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     drop_dir(spark, scanned)  # all that is needed of it is written
     shared = spark.read.parquet(repeated)
     settled = shared.where("kinds = 1").select("doc_id", "h_text", "begin", (F.col("end") + (length - 1)).alias("end"))
-    mixed = shared.where(f"kinds > 1 AND kinds <= {HOT_CONTEXTS}")
+    mixed = shared.where("kinds > 1" if most is None else f"kinds > 1 AND kinds <= {most}")
     first = mixed.groupBy("name", "context").agg(F.min(place).alias("p"), F.count("*").alias("copies"))
     path = new_dir(spark, "contexts")
     first.select("p.*", "name", "context", "copies").write.parquet(path)
@@ -253,10 +282,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         (F.col("base") + F.col("run.firsts")).alias("begin"),
         (F.col("base") + F.col("run.ends") + (length - 1)).alias("end"),
     )
-    hot = shared.where(f"kinds > {HOT_CONTEXTS}")
-    spans = settled.unionByName(merged)
-    if not hot.isEmpty():
-        spans = spans.unionByName(_counted_windows(docs, hot, length))
+    hot = None if most is None else shared.where(f"kinds > {most}").drop("kinds")
+    return settled.unionByName(merged), hot
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(doc_id, h_text, begin, end): byte spans covered by windows that occur again, overlapping."""
+    spans, hot = _judged(docs, _scan(docs, length, gram), length, NAME_CONTEXTS)
+    for orders in ORDERS:
+        if hot is None or hot.isEmpty():
+            break
+        scan = _rescan(docs, hot, orders, length, gram)
+        more, hot = _judged(docs, scan, length, None if orders == WHOLE else NAME_CONTEXTS)
+        spans = spans.unionByName(more)
     return spans
 
 

@@ -81,12 +81,31 @@ def test_small_documents(docs, rows):
     assert found(module.suffix_dedup(docs(rows), 24, 8)) == brute(rows, 24)
 
 
-def test_hot_names_and_long_texts_take_other_paths(docs, rows, monkeypatch):
-    monkeypatch.setattr(module, "HOT_CONTEXTS", 1)
+@pytest.mark.parametrize("most, orders", [(1, module.ORDERS), (3, (2, module.WHOLE)), (2, (module.WHOLE,))])
+def test_names_with_many_contexts_get_longer(docs, rows, monkeypatch, most, orders):
+    monkeypatch.setattr(module, "NAME_CONTEXTS", most)
+    monkeypatch.setattr(module, "ORDERS", orders)
     monkeypatch.setattr(module, "PART_STARTS", 50)
     assert found(module.suffix_dedup(docs(rows), 24, 8)) == brute(rows, 24)
 
 
+def test_longer_names_follow_the_window_alone():
+    """Equal windows get equal names wherever they stand, and two windows of one part are never equal."""
+    rng = random.Random(8)
+    data = bytes(rng.choices(b"ab", k=400))
+    data += data[50:250] + bytes(rng.choices(b"ab", k=40))
+    length, gram = 40, 12
+    for orders in (2, 8, module.WHOLE):
+        seen = {}
+        for begin, end, name in module.runs_of(data, length, gram):
+            parts = module.longer_names(data, begin, end, name, orders, length, gram)
+            assert [p[0] for p in parts] == [begin, *(p[1] for p in parts[:-1])] and parts[-1][1] == end
+            for b, e, longer in parts:
+                windows = [data[i : i + length] for i in range(b, e)]
+                assert len(set(windows)) == len(windows)
+                assert all(seen.setdefault(w, longer) == longer for w in windows)
+
+
 def test_many_groups(docs, rows, monkeypatch):
     monkeypatch.setattr(module, "GROUP_BYTES", 300)
     assert found(module.suffix_dedup(docs(rows), 24, 8)) == brute(rows, 24)
