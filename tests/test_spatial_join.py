@@ -237,3 +237,66 @@ def test_row_bytes_grows_with_strings_and_arrays(spark):
     df = spark.sql("SELECT repeat('x', 1000) AS s, array_repeat(named_struct('x', 1D, 'y', 2D), 50) AS a, map('k', 1L) AS m, array('ab', 'cd') AS t")
     size = df.select(keyed_join.row_bytes(df)).first()[0]
     assert 1000 + 50 * 16 < size < 1000 + 50 * 48 + 400
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "left_rows": 50, "right_rows": 20}])
+def test_weights_add_up_to_the_polygons_of_a_point(spark, world, options):
+    """Whole tiles at one place are one row with their number, in place of one pair each."""
+    sites, polygons, truth = world
+    many = polygons.crossJoin(spark.range(3)).select("geometry")
+    counted = spatial_join(sites, many, "contains", weight="n", **options)
+    want = {}
+    for p, _ in truth["contains"]:
+        want[p] = want.get(p, 0) + 3
+    assert {r[0]: r[1] for r in counted.groupBy("__fid__").agg(F.sum("n")).collect()} == want
+    assert counted.count() < sum(want.values())
+    with pytest.raises(ValueError, match="weights"):
+        spatial_join(sites, polygons, weight="n")
+
+
+def _copies(spark, n):
+    squares = [(k, [[(float(x), float(y)) for x, y in square(k / 1000, 0, 4)]]) for k in range(n)]
+    made = spark.createDataFrame(squares, f"OBJECTID bigint, rings {RINGS}")
+    return made.select("OBJECTID", polygon("rings").alias("geometry"))
+
+
+def test_semi_join_needs_few_tiles_however_many_polygons_cover_a_place(spark):
+    module = sys.modules[spatial_join.__module__]
+    left = []
+    for n in (10, 60):
+        spread = module.separate_parts(_copies(spark, n).select("geometry"), "geometry")
+        tiles, facts = module._measured_tiles(spread, "geometry")
+        reduced = module._uncovered(tiles, [level for level, _ in facts["levels"]])
+        left.append(reduced.where("_whole").count())
+        assert left[-1] < facts["tiles"] / 5
+    assert left[0] == left[1]
+
+
+def test_pairs_are_not_written(spark, world, monkeypatch):
+    sites, polygons, _ = world
+    module, stored = sys.modules[spatial_join.__module__], []
+    plain = module._written
+    monkeypatch.setattr(module, "_written", lambda df, label: stored.append(df) or plain(df, label))
+    spatial_join(sites, _copies(spark, 200), broadcast_bytes=0).columns
+    assert "OBJECTID" not in stored[0].columns
+    places = sites.select("geom").distinct().count()
+    assert stored[0].count() <= 2 * places
+
+
+def test_tiles_are_cut_again_for_many_points(spark):
+    module = sys.modules[spatial_join.__module__]
+    spread = module.separate_parts(_copies(spark, 60).select("geometry"), "geometry")
+    _, facts = module._measured_tiles(spread, "geometry")
+    assert module._cuts(10, facts) == 0 < module._cuts(10**6, facts) <= module._cuts(10**9, facts) <= module.MAX_CUTS
+    finer = module._measured_tiles(spread, "geometry", refinements=1, max_segments=0)[1]
+    assert finer["undecided_area"] < facts["undecided_area"] / 2
+
+
+def test_first_sites_hold_the_first_pairs(world):
+    from perilgrid.plans import reports
+
+    sites, polygons, truth = world
+    few = reports.first_sites(sites, polygons, 10)
+    assert few.count() < sites.count()
+    got = spatial_join(few, polygons, "contains").orderBy("__fid__", "OBJECTID").limit(10)
+    assert [(r["__fid__"], r["OBJECTID"]) for r in got.collect()] == sorted(truth["contains"])[:10]
