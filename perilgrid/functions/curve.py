@@ -2,15 +2,36 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from perilgrid.functions.geometry import let
-
+STEP = 4  # bits of each coordinate that one lookup takes
 WORLD = (-180.0, -90.0, 180.0, 90.0)
 BITS = 20  # cells of about 40 m over the world
 
 
+@functools.cache
+def _steps(width: int) -> str:
+    """SQL array by turn (swapped 1, mirrored 2), x and y of `width` bits: number along the curve and the turn inside."""
+    rows = []
+    for turn in range(4):
+        for xy in range(1 << 2 * width):
+            now, number = turn, 0
+            for b in range(width - 1, -1, -1):
+                at = [xy >> width + b & 1, xy >> b & 1]
+                if now & 1:
+                    at.reverse()
+                px, py = (v ^ now >> 1 for v in at)
+                number = number * 4 + (px * 3 ^ py)
+                if not py:
+                    # the curve inside is swapped, and mirrored as well where px is set
+                    now ^= 1 | px << 1
+            rows.append(now << 2 * width | number)
+    return f"array({', '.join(map(str, rows))})"
+
+
 def hilbert_key(x: str, y: str, bits: int = BITS, extent: tuple[float, float, float, float] = WORLD) -> Column:
     """Number of a point's cell along the curve over 2**bits x 2**bits cells of the extent.
 
@@ -24,15 +45,19 @@ def hilbert_key(x: str, y: str, bits: int = BITS, extent: tuple[float, float, fl
 
     def cell(value: str, low: float, high: float) -> str:
         part = f"(({value}) - {low!r}D) / {high - low!r}D * {cells}D"
-        return f"CASE WHEN {value} IS NOT NULL AND NOT isnan({value}) THEN CAST(floor(least(greatest({part}, 0D), {cells - 1}D)) AS BIGINT) END"
-
-    # From the coarsest bit down: which quarter, its number on the curve, then the quarter turned so that
-    # the curve inside it starts at the origin. Only lower bits are looked at later, so `xor` mirrors.
-    quarter = "((shiftright(p.x, b) & 1L) * 3L) ^ (shiftright(p.y, b) & 1L)"
-    mirror = f"((shiftright(p.x, b) & 1L) * {cells - 1}L)"
-    turned = f"named_struct('x', p.y ^ {mirror}, 'y', p.x ^ {mirror}, 'd', p.d * 4L + ({quarter}))"
-    straight = f"named_struct('x', p.x, 'y', p.y, 'd', p.d * 4L + ({quarter}))"
-    walk = f"""aggregate(sequence({bits - 1}, 0, -1), named_struct('x', _xc, 'y', _yc, 'd', 0L),
-        (p, b) -> CASE WHEN (shiftright(p.y, b) & 1L) = 0L THEN {turned} ELSE {straight} END, p -> p.d)"""
-    body = f"CASE WHEN _xc IS NOT NULL AND _yc IS NOT NULL THEN {walk} END"
-    return F.expr(let("_xc", cell(x, xmin, xmax), let("_yc", cell(y, ymin, ymax), body)))
+        return f"CAST(floor(least(greatest({part}, 0D), {cells - 1}D)) AS BIGINT)"
+
+    # A step takes a few bits of both coordinates and looks up the number of their cell along the curve and how
+    # the curve inside it is turned. Lookups in constant arrays compile, where a loop over the bits would not.
+    place = [cell(x, xmin, xmax), cell(y, ymin, ymax)]
+    turn, key, low = "0", "0L", bits
+    while low:
+        width = low % STEP or STEP
+        low -= width
+        at = " * {0} + ".join(f"(CAST(shiftright({c}, {low}) AS INT) & {(1 << width) - 1})" for c in place).format(1 << width)
+        found = f"element_at({_steps(width)}, ({turn}) * {1 << 2 * width} + {at} + 1)"
+        key = f"({key} * {1 << 2 * width}L + ({found} & {(1 << 2 * width) - 1}))"
+        turn = f"shiftright({found}, {2 * width})"
+    known = " AND ".join(f"{value} IS NOT NULL AND NOT isnan({value})" for value in (x, y))
+    # added, not put into a branch, where Spark would compute repeated parts again and again
+    return F.expr(f"{key} + CASE WHEN {known} THEN 0L END")
