@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perilgrid.functions.curve import hilbert_key
+from perilgrid.operators.keyed_join import BROADCAST_BYTES, row_bytes
 from perilgrid.schema import FEATURE_TYPES, FID, FeatureType, geometry_fields
 from perilgrid.session import drop_dir, new_dir, path_exists
 
 BUCKET = "_bucket"
 BUCKETS = 64
+CODEC = "zstd"  # ids that are hashes in hexadecimal digits take half the bytes
 
 
 def _feature_type(name: str) -> FeatureType:
@@ -103,9 +105,12 @@ def write_feature_table(
         else:
             x, y = (f"{geom}.x", f"{geom}.y") if kind == "Point" else (f"{geom}.bbox.xmin", f"{geom}.bbox.ymin")
             area = [F.floor(F.expr(y) / cluster_tile), F.floor(F.expr(x) / cluster_tile)]
-        order = [*(partition_by or []), *area, F.xxhash64(FID)]
+        # keys are computed once for a row, not by each step that sorts by them
+        keyed = {f"_key{i}": key for i, key in enumerate([*area, F.xxhash64(FID)])}
+        order = [*(partition_by or []), *keyed]
+        out = out.withColumns(keyed)
         out = out.repartitionByRange(files, *order) if files else out.repartitionByRange(*order)
-        out = out.sortWithinPartitions(*order)
+        out = out.sortWithinPartitions(*order).drop(*keyed)
     elif partition_by:
         out = out.hint("rebalance", *partition_by)
     writer = out.write.mode(mode)
@@ -123,7 +128,8 @@ def upsert_feature_table(
     The table lies in directories by a hash of the id. Only those that the new rows fall into are read and
     written again, and they are replaced when all tasks are done. A load that runs again, after a
     failure or by mistake, therefore leaves the same table. Of several new rows with one id the one with the
-    smallest hash stays, so that a retry keeps the same one; rows with a null id are refused.
+    smallest hash stays, so that a retry keeps the same one; rows with a null id are refused. Hashes of ids are
+    shuffled to find copies and replaced rows; whole rows only where ids occur several times.
 
     A table belongs to one way of writing: one that was appended to cannot be upserted.
     """
@@ -139,23 +145,72 @@ def upsert_feature_table(
     one = F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("row")
     known = F.when(F.col(FID).isNull(), F.raise_error(F.lit("a feature id is null"))).otherwise(F.col(FID))
     staged = new_dir(spark, "upsert")
-    fresh = conform(df, name).withColumn(FID, known).groupBy(F.col(FID).alias("_id")).agg(one).select("row.*")
-    fresh.select("*", bucket).write.partitionBy(BUCKET).parquet(staged)
+    fresh = conform(df, name).withColumn(FID, known).select("*", bucket)
+    fresh.write.option("compression", CODEC).parquet(staged)
     fresh = spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(staged)
-    touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]  # at most ``buckets``
-    if not touched:
+    sizes = dict(map(tuple, fresh.groupBy(BUCKET).agg(F.sum(row_bytes(fresh))).collect()))  # at most ``buckets``
+    if not sizes:
         drop_dir(spark, staged)
         return path
-    merged = fresh
+    lists = [new_dir(spark, "upsert-ids") for _ in range(3)]
+    merged = _without_copies(fresh, lists[0], one)
     if path_exists(spark, path):
-        old = spark.read.schema(fresh.schema).parquet(path).where(F.col(BUCKET).isin(touched))
-        merged = old.join(fresh.select(BUCKET, FID), [BUCKET, FID], "left_anti").select(*fresh.columns).union(fresh)
-    writer = merged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        old = spark.read.schema(fresh.schema).parquet(path).where(F.col(BUCKET).isin(list(sizes)))
+        merged = _not_replaced(old, fresh, lists[1:]).unionByName(merged)
+    if sum(sizes.values()) <= BROADCAST_BYTES:  # few rows would make a small file for each task and directory
+        merged = merged.hint("rebalance", BUCKET)
+    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
     writer.partitionBy(BUCKET).parquet(path)
-    drop_dir(spark, staged)
+    for folder in (staged, *lists):
+        drop_dir(spark, folder)
     return path
 
 
+def _hashed(df: DataFrame) -> DataFrame:
+    """Rows with 128 bits of hash of their id, which stand for the id where whole rows need not be shuffled."""
+    return df.withColumns({f"_h{salt}": F.xxhash64(F.lit(salt), FID) for salt in (0, 1)})
+
+
+_HASHES = ["_h0", "_h1"]
+
+
+def _listed(ids: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """Hashes of ids, written and read back, with the size of their rows."""
+    ids.select(*_HASHES).write.parquet(path)
+    stored = ids.sparkSession.read.schema("_h0 bigint, _h1 bigint").parquet(path)
+    return stored, stored.agg(F.sum(row_bytes(stored))).first()[0] or 0
+
+
+def _sized(ids: DataFrame, size: int) -> DataFrame:
+    return F.broadcast(ids) if size <= BROADCAST_BYTES else ids
+
+
+def _without_copies(fresh: DataFrame, path: str, one: Column) -> DataFrame:
+    """One row of each id. Ids that occur once are told by their hashes; the rows of the others alone are grouped."""
+    columns = fresh.columns
+    counts = _hashed(fresh.select(FID)).groupBy(*_HASHES).agg(F.count(F.lit(1)).alias("_n"))
+    several, size = _listed(counts.where("_n > 1"), path)
+    if not size:
+        return fresh
+    rows = _hashed(fresh)
+    single = rows.join(_sized(several, size), _HASHES, "left_anti").select(*columns)
+    copies = rows.join(_sized(several, size), _HASHES, "left_semi")
+    grouped = copies.groupBy(F.col(FID).alias("_id")).agg(one, F.first(BUCKET).alias(BUCKET)).select("row.*", BUCKET)
+    return single.unionByName(grouped)
+
+
+def _not_replaced(old: DataFrame, fresh: DataFrame, paths: list[str]) -> DataFrame:
+    """The stored rows whose id is not among the new ones, by the shorter list of hashes: of those that stay or go."""
+    ids, new = _hashed(old.select(FID)).select(*_HASHES), _hashed(fresh.select(FID)).select(*_HASHES)
+    stay, stay_size = _listed(ids.join(new, _HASHES, "left_anti"), paths[0])
+    rows = _hashed(old)
+    if stay_size > BROADCAST_BYTES:
+        go, go_size = _listed(ids.join(new, _HASHES, "left_semi"), paths[1])
+        if go_size <= BROADCAST_BYTES:
+            return rows.join(F.broadcast(go), _HASHES, "left_anti").select(*old.columns)
+    return rows.join(_sized(stay, stay_size), _HASHES, "left_semi").select(*old.columns)
+
+
 def export_csv(df: DataFrame, path: str, mode: str = "error") -> str:
     """Pipe-delimited text with a header; geometry columns are not exportable as text."""
     if nested := [f.name for f in df.schema if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))]:
