@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _NEVER = "\u0001"
+ROWS_PER_FILE = 250_000  # of a compressed text file, which is not split
 
 
 def read_lines(spark: SparkSession, path: str | list[str], header: bool) -> DataFrame:
@@ -54,18 +55,30 @@ def field(index: int, data_type: T.DataType) -> str:
     return f"CASE WHEN {text} NOT IN ('', 'NULL') THEN try_cast({text} AS {data_type.simpleString()}) END"
 
 
-def write_delimited(df: DataFrame, path: str, header: bool, sep: str = "|", null_token: str = "") -> str:
+def write_delimited(
+    df: DataFrame,
+    path: str,
+    header: bool,
+    sep: str = "|",
+    null_token: str = "",
+    compression: str | None = "gzip",
+    rows_per_file: int = ROWS_PER_FILE,
+) -> str:
     """Write columns as text fields in order, nulls as ``null_token``.
 
-    Every file carries its own header line when one is asked for.
+    Every file carries its own header line when one is asked for. Files are compressed, as wide rows of text repeat
+    themselves; one is read by one task then, so each holds at most ``rows_per_file`` rows.
     """
     texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(null_token)) for c in df.columns]
     lines = df.select(F.concat_ws(sep, *texts).alias(sep.join(df.columns)))
+    writer = lines.write
+    if compression:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", rows_per_file)
     if not header:
-        lines.write.text(path)
+        writer.text(path)
     else:
         (
-            lines.write.option("header", True)
+            writer.option("header", True)
             .option("sep", _NEVER)
             .option("quote", "")
             .option("ignoreLeadingWhiteSpace", False)

@@ -1,11 +1,22 @@
 """Work that grows with the input and not faster: rows compared, bytes written and shuffled, expressions compiled."""
 
+import os
 import random
 
+from pyspark.sql import functions as F
+
+from perilgrid.functions.curve import hilbert_key
 from perilgrid.functions.geometry import multi_polygon
 from perilgrid.functions.sql import create_feature_view, register
+from perilgrid.schema import FID
+from perilgrid.session import new_dir
+from perilgrid.sources import feature_table
+from perilgrid.sources.delimited import read_fields, write_delimited
+from perilgrid.sources.feature_table import read_feature_table, upsert_feature_table
 from tests.conftest import plan_of
 
+PLACED = [549755813888, 549786346499, 550071564952, 553855638772]
+
 
 def test_cells_leave_out_what_a_polygon_cannot_touch(spark):
     register(spark)
@@ -29,3 +40,41 @@ def test_cells_leave_out_what_a_polygon_cannot_touch(spark):
     assert "cast(geometry" not in condition  # no copy of the segments for each pair
     want = [i for i, x, y in points if (x >= 0 and y >= 0 and x + y <= 4) or (x >= 5 and y >= 0 and x - 5 + y <= 1)]
     assert sorted(r.pid for r in joined.collect()) == want
+
+
+def test_hilbert_key_compiles(spark):
+    rows = spark.range(10).selectExpr("CAST(id AS DOUBLE) AS x", "CAST(id * id AS DOUBLE) AS y")
+    keyed = rows.select(hilbert_key("x", "y").alias("k"))
+    assert "lambda" not in plan_of(keyed) and keyed.where("k IS NULL").count() == 0
+    # numbers as the loop over single bits gave them
+    assert [r.k for r in keyed.limit(4).collect()] == PLACED
+
+
+def test_reload_shuffles_no_whole_rows(spark):
+    """A load that replaces rows, adds some and holds copies, large enough to be written without a shuffle."""
+    root = new_dir(spark, "wide")
+    rows = spark.range(3000).selectExpr(f"sha2(CAST(id AS STRING), 256) AS {FID}", "id AS zoom_id", "id * 10 AS zoom_value")
+    plain = feature_table.BROADCAST_BYTES
+    try:
+        for limit in (plain, 0):  # hashes broadcast or shuffled, files rebalanced or not
+            feature_table.BROADCAST_BYTES = limit
+            path = f"{root}/{limit}"
+            upsert_feature_table(rows.where("zoom_id < 2000"), path, "hexzoomevent", buckets=4)
+            later = rows.where("zoom_id >= 1000").withColumn("zoom_value", F.col("zoom_value") + 1)
+            upsert_feature_table(later.unionByName(later.where("zoom_id % 3 = 0")), path, "hexzoomevent", buckets=4)
+            got = {r.zoom_id: r.zoom_value for r in read_feature_table(spark, path, "hexzoomevent").collect()}
+            assert got == {i: 10 * i + (i >= 1000) for i in range(3000)}
+            assert read_feature_table(spark, path, "hexzoomevent").count() == 3000
+    finally:
+        feature_table.BROADCAST_BYTES = plain
+
+
+def test_text_files_are_compressed_and_bounded(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 2).selectExpr("id", "repeat('NULL', 50) AS a")
+    for header in (True, False):
+        path = write_delimited(rows, str(tmp_path / f"text-{header}"), header, rows_per_file=200)
+        files = [f for f in os.listdir(path) if f.startswith("part-")]
+        assert len(files) == 6 and all(f.endswith(".gz") for f in files)
+        assert sum(os.path.getsize(os.path.join(path, f)) for f in files) < 20_000
+        fields = read_fields(spark, path, header).selectExpr("CAST(fields[0] AS BIGINT) AS id")
+        assert sorted(r.id for r in fields.collect()) == list(range(1000))
