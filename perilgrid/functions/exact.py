@@ -54,9 +54,16 @@ def _carried(limbs: str) -> str:
     return f"aggregate(slice({limbs}, 1, size({limbs}) - 1), {start}, (_acc, _limb) -> {step}, _acc -> {end})"
 
 
-def carried(sums: str) -> Column:
+def carried(sums: str, low: int = LOW, high: int = HIGH) -> Column:
     """A column of sums with limbs brought to their range, so that they can be weighted and summed again."""
-    return F.expr(f"named_struct('limbs', {_carried(f'{sums}.limbs')}, 'odd', {sums}.odd, 'n', {sums}.n)")
+    # limb by limb and not in a loop over the array, so that it compiles
+    out, carry = [], "0L"
+    for i in range(high - low):
+        limb = f"({sums}.limbs[{i}] + {carry})"
+        out.append(f"{limb} & {_MASK}L")
+        carry = f"shiftright({limb}, {LIMB_BITS})"
+    limbs = f"array({', '.join(out)}, {sums}.limbs[{high - low}] + {carry})"
+    return F.expr(f"named_struct('limbs', {limbs}, 'odd', {sums}.odd, 'n', {sums}.n)")
 
 
 def merged_sums(sums: str, weight: str = "1L", low: int = LOW, high: int = HIGH) -> Column:
