@@ -2,15 +2,19 @@
 
 import os
 import random
+import uuid
 
 from pyspark.sql import functions as F
 
 from perilgrid.functions.curve import hilbert_key
+from perilgrid.functions.exact import carried, limb_sums
 from perilgrid.functions.geometry import multi_polygon
 from perilgrid.functions.sql import create_feature_view, register
+from perilgrid.operators.polygon_join import polygon_join
 from perilgrid.schema import FID
 from perilgrid.session import new_dir
-from perilgrid.sources import feature_table
+from perilgrid.sources import catalog_tables, feature_table
+from perilgrid.sources.catalog_tables import create_bucketed_table
 from perilgrid.sources.delimited import read_fields, write_delimited
 from perilgrid.sources.feature_table import read_feature_table, upsert_feature_table
 from tests.conftest import plan_of
@@ -78,3 +82,38 @@ def test_text_files_are_compressed_and_bounded(spark, tmp_path):
         assert sum(os.path.getsize(os.path.join(path, f)) for f in files) < 20_000
         fields = read_fields(spark, path, header).selectExpr("CAST(fields[0] AS BIGINT) AS id")
         assert sorted(r.id for r in fields.collect()) == list(range(1000))
+
+
+def test_carried_limbs_compile(spark):
+    rows = spark.createDataFrame([(1, 2.0**40), (1, -3.5), (2, -1e-3)], "k long, v double")
+    sums = rows.groupBy("k").agg(limb_sums("v").alias("s")).select("k", carried("s").alias("s"))
+    assert "lambda" not in plan_of(sums)
+    got = {r.k: r.s.limbs for r in sums.collect()}
+    assert all(0 <= limb < 1 << 24 for limbs in got.values() for limb in limbs[:-1])
+    assert [got[k][-1] for k in (1, 2)] == [0, -1] and all(len(limbs) == 13 for limbs in got.values())
+
+
+def test_polygon_pairs_are_dealt_evenly(spark):
+    squares = spark.range(30).selectExpr("id AS a", "array(array({})) AS parts".format(
+        "array(" + ", ".join(f"named_struct('x', CAST(id AS DOUBLE) + {x}D, 'y', {y}D)" for x, y in ((0, 0), (1.5, 0), (1.5, 1), (0, 1), (0, 0))) + ")"
+    )).select("a", multi_polygon("parts").alias("geometry")).coalesce(1)
+    pairs = polygon_join(squares, squares.withColumnRenamed("a", "b"))
+    assert "RoundRobinPartitioning" in plan_of(pairs)
+    assert sorted(map(tuple, pairs.collect())) == [(a, b) for a in range(30) for b in range(30) if abs(a - b) <= 1]
+    apart = polygon_join(squares, squares.withColumnRenamed("a", "b"), broadcast_bytes=0, left_rows=3)
+    assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, pairs.collect()))
+
+
+def test_large_buckets_are_several_files(spark, monkeypatch):
+    monkeypatch.setattr(catalog_tables, "ROWS_PER_FILE", 100)
+    table = f"bucketed_{uuid.uuid4().hex}"
+    rows = spark.range(1000).selectExpr(f"CAST(id AS STRING) AS {FID}", "CAST(id % 300 AS STRING) AS site_id", "id AS portfolio_id")
+    try:
+        stored = create_bucketed_table(rows, "sitelossanalyzevent", table, ["site_id"], 4)
+        files = stored.selectExpr("input_file_name() AS f", "site_id").groupBy("f").agg(F.collect_list("site_id").alias("s")).collect()
+        assert 4 < len(files) <= 12 and all(list(r.s) == sorted(r.s) for r in files)
+        grouped = stored.groupBy("site_id").count()
+        assert "hashpartitioning" not in plan_of(grouped)
+        assert sorted(r["count"] for r in grouped.collect()) == sorted([4] * 100 + [3] * 200)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
