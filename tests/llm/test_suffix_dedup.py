@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from hypothesis import strategies as st
 
 from perilgrid.llm import suffix_dedup as module
 from perilgrid.llm.bwt_merge import Merged, Transforms, repeated_starts
+from tests.conftest import plan_of
 from tests.llm.conftest import rows_of
 
 
@@ -111,6 +113,38 @@ def test_many_groups(docs, rows, monkeypatch):
     assert found(module.suffix_dedup(docs(rows), 24, 8)) == brute(rows, 24)
 
 
+def test_texts_are_shuffled_once(docs, rows, monkeypatch):
+    """However many steps look at the texts again, the runs go to them."""
+    joined = []
+
+    def join(*args):
+        joined.append(with_row_key(*args))
+        return joined[-1]
+
+    with_row_key = module._with_row_key
+    monkeypatch.setattr(module, "_with_row_key", join)
+    monkeypatch.setattr(module, "NAME_CONTEXTS", 1)
+    result = module.suffix_dedup(docs(rows), 24, 8)
+    assert found(result) == brute(rows, 24)
+    assert len(joined) >= 6
+    for df in [*joined, result]:
+        moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan_of(df))
+        assert moved and not [m for m in moved if re.search(r"\btext#", m)]
+
+
+def test_a_null_id_is_not_zero(docs):
+    """Rows of one text with ids null and 0 are two rows; only what each holds is judged."""
+    text = "".join(random.Random(6).choices("abcd", k=60))
+    for rows in ([(None, text), (0, text)], [(None, text), (0, "x" + text[:20])], [(0, text), (None, None)]):
+        assert found(module.suffix_dedup(docs(rows), 24, 8)) == brute(rows, 24)
+
+
+def test_no_table_stays_in_the_catalog(docs, rows, spark):
+    before = spark.catalog.listTables()
+    assert found(module.suffix_dedup(docs(rows), 24, 8)) == brute(rows, 24)
+    assert spark.catalog.listTables() == before
+
+
 def test_empty_table(docs):
     assert rows_of(module.suffix_dedup(docs([]), 24, 8)) == []
 
