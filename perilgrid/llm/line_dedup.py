@@ -11,8 +11,12 @@ EDITS = 2
 # Lines of fewer characters have no edits to spare: they are repeats only where they are equal.
 MIN_CHARS = 40
 BLANK = " \t\r"  # a line of nothing else is no repeat
-# Shared segment keys that may be broadcast (16 bytes each); beyond it they are shuffled.
+# Shared segment keys that may be broadcast (16 bytes each); beyond it a filter of them is.
 BROADCAST_KEYS = 1 << 20
+FILTER_ROWS = 1 << 13  # rows of the filter at most, each of FILTER_WORDS longs: 32 MB
+FILTER_WORDS = 512
+FILTER_BITS = (13, 28, 43)  # the lowest bits of a key name its row of the filter, those from here its bits there
+FILTER_SHARE = 64  # bits of the filter for a key
 # Characters whose parities make the signature that rules out pairs before they are compared.
 SIGNATURE = "abcdefghijklmnopqrstuvwxyz0123456789"
 
@@ -120,13 +124,44 @@ def _lines(docs: DataFrame) -> DataFrame:
     return lines.withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit(1), "line"))
 
 
+def _filter_places(rows: int) -> list[str]:
+    """SQL for the number of a key's row of the filter and the numbers of its bits there."""
+    bits = FILTER_WORDS * 64
+    return [f"key & {rows - 1}L", *(f"shiftrightunsigned(key, {at}) & {bits - 1}L" for at in FILTER_BITS)]
+
+
+def key_filter(keys: DataFrame, count: int) -> tuple[DataFrame, int]:
+    """(_row, _words) and the number of rows: a Bloom filter of ``key``, all bits of one in one row.
+
+    It has FILTER_SHARE bits a key or more, as long as FILTER_ROWS allow.
+    """
+    rows = min(FILTER_ROWS, 1 << max(count * FILTER_SHARE // (FILTER_WORDS * 64), 1).bit_length())
+    row, *places = _filter_places(rows)
+    bits = keys.selectExpr(f"({row}) * {FILTER_WORDS * 64} AS _start", f"explode(array({', '.join(places)})) AS _bit")
+    masks = bits.selectExpr("shiftright(_start + _bit, 6) AS _word", "shiftleft(1L, CAST(_bit & 63 AS INT)) AS _mask")
+    empty = keys.sparkSession.range(rows * FILTER_WORDS).selectExpr("id AS _word", "0L AS _mask")
+    words = masks.union(empty).groupBy("_word").agg(F.expr("bit_or(_mask) AS _mask"))
+    dense = F.expr("transform(array_sort(collect_list(struct(_word, _mask))), w -> w._mask) AS _words")
+    return words.groupBy(F.expr(f"_word div {FILTER_WORDS} AS _row")).agg(dense), rows
+
+
+def in_filter(keyed: DataFrame, words: DataFrame, rows: int) -> DataFrame:
+    """The rows of ``keyed`` whose key the filter holds, and few others."""
+    row, *places = _filter_places(rows)
+    set_ = [f"getbit(_words[CAST(shiftright({p}, 6) AS INT)], CAST(({p}) & 63 AS INT)) = 1" for p in places]
+    met = keyed.join(F.broadcast(words), F.expr(f"_row = ({row})")).where(" AND ".join(set_))
+    return met.select(*keyed.columns)
+
+
 def near_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(h1, h2, g1, g2): pairs of different lines, by hash, within ``edits`` edits of each other.
 
     First the segment keys of all lines are reduced to those that different lines share (counted
-    per task before the shuffle); only lines with such a key go on. Their index rows (own segments)
-    meet the probing rows by key, a character signature rules out most pairs inside the join, and
-    the rest is verified by the edit distance.
+    per task before the shuffle); only lines with such a key go on. Where these keys are too many to
+    broadcast, a Bloom filter of them is, so that lines are never shuffled once for each of their keys;
+    the few that it lets pass wrongly meet no other line. Index rows (own segments) meet the probing
+    rows by key, a character signature rules out most pairs inside the join, and the rest is verified
+    by the edit distance.
     """
     spark = docs.sparkSession
     keyed = _lines(docs).where(F.length("line") >= min_chars).select("h1", "h2", "line", F.explode(F.expr(segment_keys("line", edits))).alias("k"))
@@ -135,9 +170,11 @@ def near_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     path = new_dir(spark, "segment-keys")
     shared.where("low <> high").select("key").write.parquet(path)
     shared = spark.read.parquet(path)
-    if shared.count() <= BROADCAST_KEYS:
-        shared = F.broadcast(shared)
-    met = keyed.join(shared, "key", "left_semi")
+    count = shared.count()
+    if count <= BROADCAST_KEYS:
+        met = keyed.join(F.broadcast(shared), "key", "left_semi")
+    else:
+        met = in_filter(keyed, *key_filter(shared, count))
     # equal lines are one row from here on
     met = met.groupBy("key", "own", "h1", "h2").agg(F.first("line").alias("line"))
     path = new_dir(spark, "segment-rows")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from perilgrid.llm import line_dedup as module
 from perilgrid.llm.line_dedup import line_dedup, strip_lines, within_edits
+from tests.conftest import plan_of
 from tests.llm.conftest import rows_of
 
 ALPHABET = "abé😀"
@@ -104,6 +105,37 @@ def test_shuffled_keys_and_columns(docs, monkeypatch):
     assert out.where("n_chars <> length(text)").count() == 0
 
 
+def test_key_filter(spark, monkeypatch):
+    """Keys too many to broadcast are filtered where the lines are: no line is shuffled by key."""
+    monkeypatch.setattr(module, "FILTER_SHARE", 16)
+    keys = spark.range(20_000).selectExpr("xxhash64(id) AS key")
+    others = spark.range(20_000, 60_000).selectExpr("xxhash64(id) AS key", "CAST(id AS STRING) AS line", "id % 2 = 0 AS own")
+    words, rows = module.key_filter(keys, 20_000)
+    assert rows == words.count() == 16 and words.where(f"size(_words) <> {module.FILTER_WORDS}").count() == 0
+    assert module.in_filter(keys, words, rows).count() == 20_000
+    passed = module.in_filter(others, words, rows)
+    assert passed.columns == others.columns and passed.count() < 800
+    plan = plan_of(passed)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert module.in_filter(keys.limit(0), *module.key_filter(keys.limit(0), 0)).count() == 0
+
+
+def test_many_keys_stay_off_the_disk(docs, spark, monkeypatch):
+    """Where shared keys are too many to broadcast, no shuffle takes a line once for each of its keys."""
+    monkeypatch.setattr(module, "BROADCAST_KEYS", 0)
+    rng = random.Random(3)
+    lines = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=600)) for _ in range(400)]
+    df = docs([(k, line) for k, line in enumerate([*lines, lines[0][:-1] + "é"])], extra=False)
+    met = []
+    monkeypatch.setattr(module, "in_filter", lambda *a, f=module.in_filter: met.append(f(*a)) or met[0])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert line_dedup(df).where("n_removed > 0").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert 6 <= met[0].count() < 200  # of 12 keys of each line
+
+
 def test_short_license_lines(docs):
     lines = ["Released under the MIT License.", "All rights reserved.", "Licensed under CC BY-NC 4.0."]
     rows = [(k, f"own text {k}\n{lines[k % 3]}\n\nend {k}") for k in range(9)]
