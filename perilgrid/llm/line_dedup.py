@@ -264,15 +264,14 @@ def strip_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
 
     Rows that lose all their text stay, with an empty one.
     """
-    # the row goes along as one value, so that no column of it can clash with those of the work
-    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    # the rest of the row goes along as one value, so that no column of it can clash with those of the work
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    whole = docs.select("doc_id", "text", rest.alias("_row"))
     out = _kept_text(_rebuilt(whole, edits, min_chars))
     columns = []
     for c in docs.columns:
-        value = F.col("_row")[c]
-        if c == "text":
-            value = F.col("text")
-        elif c == "n_chars":
+        value = F.col("text") if c == "text" else F.col("_row")[c]
+        if c == "n_chars":
             value = F.when(F.col("_removed").isNotNull(), F.length("text").cast(docs.schema[c].dataType)).otherwise(value)
         columns.append(value.alias(c))
     return out.select(*columns)

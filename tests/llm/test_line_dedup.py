@@ -154,6 +154,13 @@ def test_clashing_columns(docs):
     assert [tuple(r) for r in out.orderBy("doc_id").collect()] == [(1, "one\ntwo", *range(8)), (2, "three", *range(8))]
 
 
+def test_text_goes_along_once(docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(module, "_rebuilt", lambda df, *a, f=module._rebuilt: seen.append(df) or f(df, *a))
+    assert strip_lines(docs([(1, "one\ntwo"), (2, "two\nthree")])).count() == 2
+    assert "text" in seen[0].columns and "text" not in seen[0].schema["_row"].dataType.fieldNames()
+
+
 def test_empty_table(docs):
     assert line_dedup(docs([])).count() == 0
 
