@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from perilgrid.functions.geometry import polygon
-from perilgrid.operators import keyed_join
-from perilgrid.operators.spatial_join import polygon_tiles, spatial_join
-from tests.conftest import plan_of
+from perilgrid.operators import keyed_join, segments
+from perilgrid.operators.spatial_join import TILE_KEYS, polygon_tiles, spatial_join
+from perilgrid.plans import inputs
+from tests.conftest import SF_DIR, plan_of
 
 RINGS = "array<array<struct<x:double,y:double>>>"
 
@@ -300,3 +301,23 @@ def test_first_sites_hold_the_first_pairs(world):
     assert few.count() < sites.count()
     got = spatial_join(few, polygons, "contains").orderBy("__fid__", "OBJECTID").limit(10)
     assert [(r["__fid__"], r["OBJECTID"]) for r in got.collect()] == sorted(truth["contains"])[:10]
+
+
+def test_tile_test_checks_no_nulls(spark, tmp_path):
+    """Stored tiles lose that their columns are never null; the join gets them flat and without nulls, the test is the same."""
+    fires = inputs.footprints(spark, SF_DIR).limit(40).select("geometry")
+    at = str(tmp_path / "tiles")
+    polygon_tiles(fires, max_segments=2).write.parquet(at)
+    tiles = spark.read.parquet(at).select(*TILE_KEYS, "_side", *segments.COLUMNS)
+    flat = segments.plain(tiles)
+    assert "_box" not in flat.columns
+    assert [f.name for f in flat.schema if f.nullable and f.name.startswith(("_x", "_y", "_whole", "_base"))] == []
+    steps = spark.range(5).selectExpr("id / 4D AS _u").crossJoin(spark.range(5).selectExpr("id / 4D AS _v"))
+    for predicate in ("intersects", "contains"):
+        want, got = (
+            rows.crossJoin(steps).selectExpr("*", "(_tx + _u) * _side AS px", "(_ty + _v) * _side AS py")
+            .withColumn("hit", segments.matches("px", "py", predicate, True, flat=is_flat))
+            for rows, is_flat in ((tiles, False), (flat, True))
+        )
+        count = lambda df: {tuple(r) for r in df.groupBy(*TILE_KEYS, "px", "py", "hit").count().collect()}
+        assert count(want) == count(got) and {h for *_, h, _ in count(want)} == {True, False}
